@@ -1,25 +1,34 @@
-"""Typed access to VARIANT leaves.
+"""Typed access to VARIANT leaves, and checks of whole groups of leaves.
 
 A leaf can be missing, an explicit JSON null, a usable value or a value of the
-wrong kind, and the parsers treat the four differently. ``try_variant_get(...,
-'string')`` is NULL for the first two only, so it doubles as the presence test.
+wrong kind, and the parsers treat the four differently.
+
+Checks look at all leaves of a kind at once, through one text and one pattern.
+A rule per leaf would generate a method too long for the JIT compiler, and the
+parse would run interpreted.
 """
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Text the JVM reads as a double although it is no decimal number: 1.5d, 2f, 0x1p3.
-_JVM_ONLY_NUMBER = r"[xX]|[0-9.][dDfF]\s*$"
-
-
-class Leaf(NamedTuple):
-    """A typed value and whether the raw leaf was there but unusable."""
-
-    value: Column
-    bad: Column
+# --- fixed values: what counts as a number -----------------------------------
+# A JSON null, boolean or number, or text holding a decimal number. The JVM also
+# reads 1.5d, 2f and 0x1p3 as numbers; those are no decimal numbers.
+_NUMBER = (
+    r"(?:null|true|false|-?[0-9][0-9.eE+-]*"
+    r'|"\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))\s*")'
+)
+ALL_NUMBERS = rf"^\[{_NUMBER}(?:,{_NUMBER})*\]$"
+ALL_WHOLE = r"^(?:(?:BIGINT|VOID)(?:,|$))*$"
+ALL_COMPARABLE = r"^(?:(?:BIGINT|DOUBLE|BOOLEAN|DECIMAL\([0-9]+,[0-9]+\))(?:,|$))*$"
+ALL_OBJECTS = r"^(?:OBJECT(?:,|$))*$"
+# Range of a timestamp with a four-digit year, in seconds.
+FIRST_SECOND, LAST_SECOND = -62135596800, 253402300799
+# ------------------------------------------------------------------------------
 
 
 def with_computed(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -47,45 +56,27 @@ def items(doc: Column, path: str) -> Column:
     return F.try_variant_get(doc, path, "array<variant>")
 
 
-def text(doc: Column, path: str) -> Column:
+def text(doc: Column, path: str = "$") -> Column:
     """The leaf as text; arrays and objects keep their JSON form."""
     return F.try_variant_get(doc, path, "string")
 
 
-def kind(doc: Column, path: str) -> Column:
-    """STRING, BIGINT, DECIMAL(p,s), DOUBLE, BOOLEAN, VOID, ARRAY<..> or OBJECT<..>."""
-    return F.schema_of_variant(node(doc, path))
-
-
-def is_object_or_missing(doc: Column, path: str) -> Column:
-    """True unless something other than an object sits at ``path``."""
-    return F.coalesce(kind(doc, path).startswith("OBJECT"), F.lit(True))
-
-
-def _coerced(doc: Column, path: str, data_type: str) -> Leaf:
-    raw = text(doc, path)
-    value = F.try_variant_get(doc, path, data_type)
-    return Leaf(value, F.when(value.isNull(), raw.isNotNull()).otherwise(raw.rlike(_JVM_ONLY_NUMBER)))
-
-
-def number(doc: Column, path: str) -> Leaf:
-    """Number, or text holding one, as double."""
-    return _coerced(doc, path, "double")
+def number(doc: Column, path: str = "$") -> Column:
+    """Number, or text holding one, as double. See :func:`bad_numbers`."""
+    return F.try_variant_get(doc, path, "double")
 
 
-def integer(doc: Column, path: str) -> Leaf:
-    """Number cut toward zero, or text holding a whole number, as int."""
-    return _coerced(doc, path, "int")
+def integer(doc: Column, path: str = "$") -> Column:
+    """Number cut toward zero, or text holding a whole number, as int. See :func:`bad_integers`."""
+    return F.try_variant_get(doc, path, "int")
 
 
-def strict_integer(doc: Column, path: str) -> Leaf:
-    """A JSON whole number in int range; anything else but null is bad."""
-    value = F.try_variant_get(doc, path, "int")
-    whole = F.when(kind(doc, path) == "BIGINT", value)
-    return Leaf(whole, whole.isNull() & text(doc, path).isNotNull())
+def kind(doc: Column, path: str = "$") -> Column:
+    """STRING, BIGINT, DECIMAL(p,s), DOUBLE, BOOLEAN, VOID, ARRAY<..> or OBJECT<..>."""
+    return F.schema_of_variant(doc if path == "$" else node(doc, path))
 
 
-def truth(doc: Column, path: str) -> Column:
+def truth(doc: Column, path: str = "$") -> Column:
     """Truthiness: 0, empty text, [] and {} are false; any other text is true."""
     raw = text(doc, path)
     return F.coalesce(
@@ -95,22 +86,60 @@ def truth(doc: Column, path: str) -> Column:
     )
 
 
-def epoch(doc: Column, path: str) -> Leaf:
-    """Epoch seconds as timestamp.
+def is_object(doc: Column, path: str = "$") -> Column:
+    return F.coalesce(kind(doc, path).startswith("OBJECT"), F.lit(False))
 
-    Falsy leaves (0, false, empty text, [], {}) are NULL. Non-numeric leaves
-    and years outside 1..9999 are bad.
-    """
-    raw = text(doc, path)
-    seconds = F.when(kind(doc, path) != "STRING", F.try_variant_get(doc, path, "double"))
-    usable = F.when(seconds.between(-62135596800, 253402300799) & (seconds != 0), seconds)
-    falsy = raw.isNull() | raw.isin("", "[]", "{}") | F.coalesce(seconds == 0, F.lit(False))
-    return Leaf(F.timestamp_seconds(usable), usable.isNull() & ~falsy)
-
-
-def any_bad(*leaves: Leaf) -> Column:
-    """True when at least one leaf is bad."""
-    flag = leaves[0].bad
-    for leaf in leaves[1:]:
-        flag = flag | leaf.bad
-    return flag
+
+def _present(raw: Column) -> Column:
+    return raw.isNotNull() & ~F.is_variant_null(raw)
+
+
+def _kinds(raws: tuple[Column, ...]) -> Column:
+    """The kinds of the leaves that are there, comma separated."""
+    return F.concat_ws(",", *[F.schema_of_variant(raw) for raw in raws])
+
+
+def bad_numbers(*raws: Column) -> Column:
+    """True when a leaf is there but :func:`number` must not be used on it."""
+    return ~F.to_json(F.array(*raws)).rlike(ALL_NUMBERS)
+
+
+def bad_integers(*raws: Column) -> Column:
+    """True when a leaf is there but is no int: other text, or out of range."""
+    return reduce(or_, [integer(raw).isNull() & _present(raw) for raw in raws])
+
+
+def bad_whole(*raws: Column) -> Column:
+    """True when a leaf is there but is no JSON whole number in int range."""
+    return ~_kinds(raws).rlike(ALL_WHOLE) | bad_integers(*raws)
+
+
+def bad_measures(*raws: Column) -> Column:
+    """True when a leaf is there, explicit nulls included, but compares to no number."""
+    return ~_kinds(raws).rlike(ALL_COMPARABLE)
+
+
+def bad_sections(*raws: Column) -> Column:
+    """True when something other than an object is there, explicit nulls included."""
+    return ~F.concat_ws(",", *[F.left(F.schema_of_variant(raw), F.lit(6)) for raw in raws]).rlike(ALL_OBJECTS)
+
+
+def _seconds(raw: Column) -> Column:
+    return F.when(kind(raw) != "STRING", number(raw))
+
+
+def epoch(doc: Column, path: str) -> Column:
+    """Epoch seconds as timestamp; 0 and other falsy leaves are NULL. See :func:`bad_epochs`."""
+    seconds = _seconds(node(doc, path))
+    usable = seconds.between(FIRST_SECOND, LAST_SECOND) & (seconds != 0)
+    return F.timestamp_seconds(F.when(usable, seconds))
+
+
+def bad_epochs(*raws: Column) -> Column:
+    """True when a leaf is neither falsy nor a number of seconds in the years 1 to 9999."""
+
+    def bad(raw: Column) -> Column:
+        usable = F.coalesce(_seconds(raw).between(FIRST_SECOND, LAST_SECOND), F.lit(False))
+        return _present(raw) & ~usable & ~text(raw).isin("", "[]", "{}")
+
+    return reduce(or_, [bad(raw) for raw in raws])

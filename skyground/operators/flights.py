@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skyground.functions import text as X, variant as V
-from skyground.functions.variant import Leaf
 from skyground.sources.landing import explode_states
 
 # --- fixed values: slots of a state array -----------------------------------
@@ -28,7 +27,6 @@ STATE_SLOTS = [
     (15, "spi", "truth"),
     (16, "position_source", "integer"),
 ]
-LAST_SLOT = "$[16]"
 
 FEET_PER_METRE = 3.28084
 KNOTS_PER_METRE_PER_SECOND = 1.94384
@@ -36,15 +34,16 @@ FEET_PER_MINUTE_PER_METRE_PER_SECOND = 196.85
 # ----------------------------------------------------------------------------
 
 
-def _slot(state: Column, position: int, form: str) -> Leaf:
-    path = f"$[{position}]"
-    if form == "number":
-        return V.number(state, path)
-    if form == "integer":
-        return V.integer(state, path)
-    if form == "truth":
-        return Leaf(V.truth(state, path), F.lit(False))
-    return Leaf(X.strip(V.text(state, path)), F.lit(False))
+_READ = {
+    "text": lambda slot: X.strip(V.text(slot)),
+    "integer": V.integer,
+    "number": V.number,
+    "truth": V.truth,
+}
+
+
+def _slots(*forms: str) -> list[Column]:
+    return [F.get("slots", F.lit(position)) for position, _, form in STATE_SLOTS if form in forms]
 
 
 def parse_states(landing: DataFrame) -> DataFrame:
@@ -55,33 +54,30 @@ def parse_states(landing: DataFrame) -> DataFrame:
     array), ``bad_cast`` (a number slot holds something else), ``no_position``.
     """
     states = explode_states(landing)
-    state = F.col("state")
-    slots = {name: _slot(state, position, form) for position, name, form in STATE_SLOTS}
-    no_position = slots["longitude"].value.isNull() | slots["latitude"].value.isNull()
-    reason = (
-        F.when(V.node(state, LAST_SLOT).isNull(), "arity")
-        .when(V.any_bad(*(slots[name] for _, name, form in STATE_SLOTS if form in ("number", "integer"))), "bad_cast")
-        .when(no_position, "no_position")
+    typed = states.select(
+        *[_READ[form](F.get("slots", F.lit(position))).alias(name) for position, name, form in STATE_SLOTS],
+        *states.columns,
+        (V.bad_numbers(*_slots("number")) | V.bad_integers(*_slots("integer"))).alias("bad_cast"),
     )
-    return states.select(
-        *[leaf.value.alias(name) for name, leaf in slots.items()],
-        *[name for name in states.columns if name != "state"],
-        reason.alias("reject_reason"),
-        "state",
+    reason = (
+        F.when(F.coalesce(F.size("slots"), F.lit(0)) < len(STATE_SLOTS), "arity")
+        .when(F.col("bad_cast"), "bad_cast")
+        .when(F.col("longitude").isNull() | F.col("latitude").isNull(), "no_position")
     )
+    return V.with_computed(typed, "reject_reason", reason).drop("bad_cast")
 
 
 def accepted_states(parsed: DataFrame) -> DataFrame:
     """States that passed every rule."""
-    return parsed.filter(F.col("reject_reason").isNull()).drop("reject_reason", "state")
+    return parsed.filter(F.col("reject_reason").isNull()).drop("reject_reason", "slots")
 
 
 def rejected_states(parsed: DataFrame) -> DataFrame:
     """One row per dropped state: its reason and its raw text, other landing columns kept."""
-    slots = [name for _, name, _ in STATE_SLOTS]
+    names = [name for _, name, _ in STATE_SLOTS]
     return parsed.filter(F.col("reject_reason").isNotNull()).select(
-        *[name for name in parsed.columns if name not in (*slots, "state")],
-        F.to_json("state").alias("raw"),
+        *[name for name in parsed.columns if name not in (*names, "slots")],
+        F.to_json("slots").alias("raw"),
     )
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from skyground.functions import variant as V
-from skyground.functions.variant import Leaf
 from skyground.schemas import GEOGRAPHY_PLACES, conform
 
 CITY = "CITY"
@@ -17,24 +16,13 @@ def country_places(landing: DataFrame, targets: DataFrame) -> DataFrame:
     return landing.join(F.broadcast(targets.select("country_code")), "country_code")
 
 
-def _numeric(item: Column, path: str) -> Column:
-    """True when a number (or boolean) sits at ``path``."""
-    return V.kind(item, path).rlike("^(BIGINT|DECIMAL|DOUBLE|BOOLEAN)")
+def _or_zero(item: Column, path: str) -> Column:
+    """The number at ``path``, 0 when the key is missing."""
+    return F.when(V.node(item, path).isNull(), 0.0).otherwise(V.number(item, path))
 
 
-def _measure_or_zero(item: Column, path: str) -> Leaf:
-    """A number, 0 when the key is missing; an explicit null or other kind is bad."""
-    missing = V.node(item, path).isNull()
-    return Leaf(
-        F.when(missing, 0.0).otherwise(V.number(item, path).value), ~missing & ~F.coalesce(_numeric(item, path), F.lit(False))
-    )
-
-
-def _longitude(item: Column) -> Leaf:
-    """A number or number text; missing, null and empty leaves are NULL."""
-    empty = F.coalesce(V.text(item, "$.longitude").isin("", "[]", "{}", "false"), F.lit(False))
-    leaf = V.number(item, "$.longitude")
-    return Leaf(F.when(~empty, leaf.value), ~empty & leaf.bad)
+def _zero_as_null(value: Column) -> Column:
+    return F.nullif(value, F.lit(0.0)).cast("float")
 
 
 def _is_city(item: Column) -> Column:
@@ -42,12 +30,15 @@ def _is_city(item: Column) -> Column:
 
 
 def _spoils_document(item: Column) -> Column:
-    """An item that is no object, or a city whose measures cannot be compared or converted."""
-    no_object = ~F.coalesce(V.kind(item, "$").startswith("OBJECT"), F.lit(False))
-    measures = V.any_bad(
-        _measure_or_zero(item, "$.population"), _measure_or_zero(item, "$.latitude"), _longitude(item)
+    """An item that is no object, or a city whose measures cannot be compared or converted.
+
+    A longitude is only converted, and not even that when it is falsy.
+    """
+    no_longitude = F.coalesce(V.text(item, "$.longitude").isin("", "[]", "{}"), F.lit(False))
+    bad_city = V.bad_measures(V.node(item, "$.population"), V.node(item, "$.latitude")) | (
+        ~no_longitude & V.bad_numbers(V.node(item, "$.longitude"))
     )
-    return no_object | (_is_city(item) & measures)
+    return ~V.is_object(item) | (_is_city(item) & bad_city)
 
 
 def parse_places(
@@ -78,23 +69,21 @@ def parse_places(
     if scope == "row":
         rows = rows.withColumn("spoilt", _spoils_document(item))
     cities = rows.filter(_is_city(item))
-    place_id = V.strict_integer(item, "$.id")
-    population = V.strict_integer(item, "$.population")
-    unpopulated = V.node(item, "$.population").isNull()
+    population = V.node(item, "$.population")
     reason = F.when(F.col("spoilt"), f"bad_{'document' if scope == 'document' else 'item'}").when(
-        V.any_bad(place_id, population), "bad_cast"
+        V.bad_whole(V.node(item, "$.id"), population), "bad_cast"
     )
     return cities.select(
-        place_id.value.alias("place_id"),
+        V.integer(item, "$.id").alias("place_id"),
         V.text(item, "$.name").alias("place_name"),
         V.text(item, "$.type").alias("place_type"),
         "country_code",
         F.lit(None).cast("string").alias("country_name"),
         V.text(item, "$.region").alias("region"),
         V.text(item, "$.regionCode").alias("region_code"),
-        F.nullif(_measure_or_zero(item, "$.latitude").value, F.lit(0.0)).cast("float").alias("latitude"),
-        F.nullif(_longitude(item).value, F.lit(0.0)).cast("float").alias("longitude"),
-        F.when(unpopulated, 0).otherwise(population.value).alias("population"),
+        _zero_as_null(_or_zero(item, "$.latitude")).alias("latitude"),
+        _zero_as_null(V.number(item, "$.longitude")).alias("longitude"),
+        F.when(population.isNull(), 0).otherwise(V.integer(population)).alias("population"),
         F.lit(None).cast("int").alias("elevation_meters"),
         F.lit(None).cast("string").alias("timezone"),
         extraction_timestamp.alias("extraction_timestamp"),
@@ -161,16 +150,16 @@ def parse_place_list(items: DataFrame, extraction_timestamp: Column) -> DataFram
     """Listing items as places with the country of the payload; no categories."""
     item = F.col("item")
     return items.select(
-        V.integer(item, "$.id").value.alias("place_id"),
+        V.integer(item, "$.id").alias("place_id"),
         V.text(item, "$.name").alias("place_name"),
         V.text(item, "$.type").alias("place_type"),
         V.text(item, "$.countryCode").alias("country_code"),
         V.text(item, "$.country").alias("country_name"),
         V.text(item, "$.region").alias("region"),
         V.text(item, "$.regionCode").alias("region_code"),
-        V.number(item, "$.latitude").value.alias("latitude"),
-        V.number(item, "$.longitude").value.alias("longitude"),
-        V.integer(item, "$.population").value.alias("population"),
+        V.number(item, "$.latitude").alias("latitude"),
+        V.number(item, "$.longitude").alias("longitude"),
+        V.integer(item, "$.population").alias("population"),
         extraction_timestamp.alias("extraction_timestamp"),
     )
 
@@ -181,12 +170,12 @@ def parse_nearby(landing: DataFrame, extraction_timestamp: Column) -> DataFrame:
     item = F.col("item")
     return rows.select(
         *[name for name in rows.columns if name != "item"],
-        V.integer(item, "$.id").value.alias("city_id"),
+        V.integer(item, "$.id").alias("city_id"),
         V.text(item, "$.name").alias("city_name"),
         V.text(item, "$.countryCode").alias("country_code"),
-        V.number(item, "$.latitude").value.alias("latitude"),
-        V.number(item, "$.longitude").value.alias("longitude"),
-        V.integer(item, "$.population").value.alias("population"),
-        V.number(item, "$.distance").value.alias("distance_km"),
+        V.number(item, "$.latitude").alias("latitude"),
+        V.number(item, "$.longitude").alias("longitude"),
+        V.integer(item, "$.population").alias("population"),
+        V.number(item, "$.distance").alias("distance_km"),
         extraction_timestamp.alias("extraction_timestamp"),
     )

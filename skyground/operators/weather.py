@@ -10,20 +10,21 @@ from skyground.schemas import CURRENT_WEATHER, conform
 
 # --- fixed values: paths in a weather document ------------------------------
 SECTIONS = ["$.main", "$.wind", "$.clouds", "$.sys"]
-MEASURES = [
-    ("timezone_offset", "$.timezone", V.strict_integer),
-    ("temperature", "$.main.temp", V.number),
-    ("feels_like", "$.main.feels_like", V.number),
-    ("humidity", "$.main.humidity", V.strict_integer),
-    ("pressure", "$.main.pressure", V.strict_integer),
-    ("cloudiness", "$.clouds.all", V.strict_integer),
-    ("visibility", "$.visibility", V.strict_integer),
-    ("wind_speed", "$.wind.speed", V.number),
-    ("wind_direction", "$.wind.deg", V.strict_integer),
-    ("wind_gust", "$.wind.gust", V.number),
-    ("sunrise", "$.sys.sunrise", V.epoch),
-    ("sunset", "$.sys.sunset", V.epoch),
+NUMBERS = [
+    ("temperature", "$.main.temp"),
+    ("feels_like", "$.main.feels_like"),
+    ("wind_speed", "$.wind.speed"),
+    ("wind_gust", "$.wind.gust"),
 ]
+WHOLE_NUMBERS = [
+    ("timezone_offset", "$.timezone"),
+    ("humidity", "$.main.humidity"),
+    ("pressure", "$.main.pressure"),
+    ("cloudiness", "$.clouds.all"),
+    ("visibility", "$.visibility"),
+    ("wind_direction", "$.wind.deg"),
+]
+EPOCHS = [("sunrise", "$.sys.sunrise"), ("sunset", "$.sys.sunset")]
 CONDITIONS = [
     ("weather_main", "$.weather[0].main"),
     ("weather_description", "$.weather[0].description"),
@@ -34,12 +35,15 @@ PLACEHOLDERS = [("timezone", "string"), ("dew_point", "double"), ("uvi", "double
 # ----------------------------------------------------------------------------
 
 
+def _nodes(doc: Column, leaves: list[tuple[str, str]]) -> list[Column]:
+    return [V.node(doc, path) for _, path in leaves]
+
+
 def _bad_conditions(doc: Column) -> Column:
     """``weather`` may be absent or falsy, or an array that starts with an object."""
     listed = V.text(doc, "$.weather")
     absent = listed.isNull() | listed.isin("", "[]", "{}", "0", "false")
-    first = F.coalesce(V.kind(doc, "$.weather[0]").startswith("OBJECT"), F.lit(False))
-    return ~absent & ~first
+    return ~absent & ~V.is_object(doc, "$.weather[0]")
 
 
 def parse_weather(landing: DataFrame) -> DataFrame:
@@ -51,18 +55,24 @@ def parse_weather(landing: DataFrame) -> DataFrame:
     """
     docs = V.with_computed(landing, "doc", V.document("payload")).drop("payload")
     doc = F.col("doc")
-    leaves = {name: read(doc, path) for name, path, read in MEASURES}
-    bad = ~F.coalesce(V.kind(doc, "$").startswith("OBJECT"), F.lit(False))
-    for section in SECTIONS:
-        bad = bad | ~V.is_object_or_missing(doc, section)
-    bad = bad | _bad_conditions(doc) | V.any_bad(*leaves.values())
-    return docs.select(
-        *[name for name in docs.columns if name not in ("doc", "http_status")],
-        *[leaf.value.alias(name) for name, leaf in leaves.items()],
+    bad = (
+        ~V.is_object(doc)
+        | V.bad_sections(*[V.node(doc, path) for path in SECTIONS])
+        | _bad_conditions(doc)
+        | V.bad_numbers(*_nodes(doc, NUMBERS))
+        | V.bad_whole(*_nodes(doc, WHOLE_NUMBERS))
+        | V.bad_epochs(*_nodes(doc, EPOCHS))
+    )
+    typed = docs.select(
+        *[name for name in docs.columns if name != "doc"],
+        *[V.number(doc, path).alias(name) for name, path in NUMBERS],
+        *[V.integer(doc, path).alias(name) for name, path in WHOLE_NUMBERS],
+        *[V.epoch(doc, path).alias(name) for name, path in EPOCHS],
         *[V.text(doc, path).alias(name) for name, path in CONDITIONS],
         *[F.lit(None).cast(data_type).alias(name) for name, data_type in PLACEHOLDERS],
-        classify_fetch(F.col("http_status"), bad).alias("outcome"),
+        bad.alias("bad"),
     )
+    return V.with_computed(typed, "outcome", classify_fetch(F.col("http_status"), F.col("bad"))).drop("http_status", "bad")
 
 
 def good_weather(parsed: DataFrame) -> DataFrame:

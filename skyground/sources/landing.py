@@ -32,9 +32,10 @@ def read_documents(spark: SparkSession, path: str, run_at: dt.datetime) -> DataF
 
 
 def explode_states(landing: DataFrame) -> DataFrame:
-    """One row per state of each snapshot, as VARIANT column ``state``.
+    """One row per state of each snapshot, its slots as an array of VARIANT.
 
-    Null, empty or absent ``states`` and text that is not JSON give no rows.
+    Null, empty or absent ``states`` and text that is not JSON give no rows. A
+    state that is no array has NULL ``slots``.
     """
-    states = V.items(V.document("payload"), "$.states")
-    return landing.select("*", F.explode(states).alias("state")).drop("payload")
+    states = F.try_variant_get(V.document("payload"), "$.states", "array<array<variant>>")
+    return landing.select("*", F.explode(states).alias("slots")).drop("payload")
