@@ -19,6 +19,8 @@ def spark():
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
+            # Plans are checked in full.
+            "spark.sql.maxMetadataStringLength": "10000",
             # The dates of a plan must not depend on the time zone of the machine.
             "spark.driver.extraJavaOptions": "-Duser.timezone=America/New_York",
         },
