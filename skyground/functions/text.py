@@ -5,9 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+# --- fixed values: white space ------------------------------------------------
+# Tab to carriage return, the four separators, space, NEL, NBSP, Ogham space,
+# en quad to hair space, line and paragraph separator, narrow NBSP, mathematical
+# and ideographic space.
+WHITE_SPACE = "".join(
+    map(
+        chr,
+        [
+            *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F,
+            0x205F, 0x3000,
+        ],
+    )
+)
+# ------------------------------------------------------------------------------
+
+
 def strip(value: Column) -> Column:
     """Remove all leading and trailing white space, tabs, newlines and NBSP included."""
-    return F.regexp_replace(value, r"^[\s\p{Z}]+|[\s\p{Z}]+$", "")
+    return F.btrim(value, F.lit(WHITE_SPACE))
 
 
 def or_default(value: Column, default: Column) -> Column:

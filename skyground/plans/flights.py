@@ -23,11 +23,15 @@ def flights_table(landing: DataFrame) -> DataFrame:
     return conform(O.enrich_flights(O.accepted_states(O.parse_states(landing))), CURRENT_FLIGHTS)
 
 
-def run_flights(landing: DataFrame, table: str, *, rejects: str | None = None, replace: bool = True, compact: bool = False) -> FlightsRun:
+def run_flights(
+    landing: DataFrame, table: str, *, rejects: str | None = None, replace: bool = True, compact: bool = False
+) -> FlightsRun:
     """Write the day table, and the rejected states to ``rejects`` if there are any.
 
     Rejects are counted while the table is written. The landing is parsed a
-    second time only when there is something to write to ``rejects``.
+    second time only when there is something to write to ``rejects``. With
+    ``compact`` the counts are taken before a shuffle, and rows of a task that
+    had to run again count twice in them; the tables themselves do not change.
     """
     parsed = O.parse_states(landing)
     seen = Observation()

@@ -8,12 +8,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 # UTC is required: extraction_date is a cast of a timestamp and would otherwise
-# depend on the session time zone. The rest are Spark's own adaptive switches.
+# depend on the session time zone. Stream state goes to RocksDB, on local disk
+# instead of the heap. The rest are Spark's own adaptive switches.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 

@@ -13,10 +13,13 @@ def _counted(df: DataFrame, compact: bool) -> tuple[DataFrame, Observation]:
     ``compact`` is for frames that span several days: a rebalance shuffle lets
     adaptive execution write files of even size per day, and splits a day that
     holds most of the rows over several tasks. A frame of one day needs no shuffle.
+
+    The counter sits in the writing stage, where Spark counts each task once
+    even when it has to run again.
     """
     seen = Observation()
-    df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    return (df.hint("rebalance", DAY) if compact else df), seen
+    balanced = df.hint("rebalance", DAY) if compact else df
+    return balanced.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
 def append_by_day(df: DataFrame, path: str, *, fmt: str = "parquet", compact: bool = False) -> int:

@@ -218,7 +218,7 @@ def q26_parse_nearby(spark: SparkSession, sf: str) -> DataFrame:
 
 def q27_reject_rows(spark: SparkSession, sf: str) -> DataFrame:
     rejected = FL.rejected_states(FL.parse_states(_states_landing(spark, sf)))
-    return rejected.select("event_id", "reject_reason", F.substring("raw", 3, 6).alias("icao24"))
+    return rejected.select("event_id", "reject_reason", F.get_json_object("raw", "$[0]").alias("icao24"))
 
 
 def q28_daily_run(spark: SparkSession, sf: str) -> DataFrame:
