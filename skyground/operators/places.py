@@ -96,6 +96,13 @@ def accepted_places(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("reject_reason").isNull()).drop("reject_reason")
 
 
+def rejected_places(parsed: DataFrame) -> DataFrame:
+    """One row per dropped city and its reason."""
+    return parsed.filter(F.col("reject_reason").isNotNull()).select(
+        "country_code", "place_id", "place_name", "reject_reason", "extraction_timestamp"
+    )
+
+
 def enrich_places(places: DataFrame) -> DataFrame:
     """Categories and the extraction day, as the ``geography_places`` relation.
 

@@ -80,6 +80,11 @@ def good_weather(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("outcome") == "ok").drop("outcome")
 
 
+def failed_weather(parsed: DataFrame, *key: str) -> DataFrame:
+    """The other documents: the ``key`` columns and how they failed."""
+    return parsed.filter(F.col("outcome") != "ok").select(*key, "outcome")
+
+
 def fetched_for(airports: DataFrame, landing: DataFrame, *, few_airports: bool) -> DataFrame:
     """Landed weather documents of the given airports, airport columns alongside.
 

@@ -39,3 +39,8 @@ def explode_states(landing: DataFrame) -> DataFrame:
     """
     states = F.try_variant_get(V.document("payload"), "$.states", "array<array<variant>>")
     return landing.select("*", F.explode(states).alias("slots")).drop("payload")
+
+
+def unreadable_documents(landing: DataFrame) -> DataFrame:
+    """Landed rows whose payload is no JSON object, e.g. an error page; they hold no states."""
+    return landing.filter(~V.is_object(V.document("payload")))

@@ -96,8 +96,11 @@ PLACES = (
   cast(cast(nullif(longitude, 0) AS float) AS double) AS longitude,
   CASE WHEN population_missing THEN 0 ELSE population END AS population,
   cast(NULL AS integer) AS elevation_meters, cast(NULL AS varchar) AS timezone, {RUN_EPOCH} AS extraction_epoch
-FROM cities WHERE country_code NOT IN (SELECT country_code FROM cities
-  WHERE latitude IS NULL OR (population IS NULL AND NOT population_missing))""",
+FROM cities WHERE country_code NOT IN (SELECT country_code FROM spoilt)""",
+)
+SPOILT = (
+    "spoilt",
+    """SELECT country_code FROM cities WHERE latitude IS NULL OR (population IS NULL AND NOT population_missing)""",
 )
 CATEGORISED = (
     "categorised",
@@ -188,7 +191,7 @@ GATE_PLACES = "\nUNION ALL ".join(
 )
 
 WEATHER_RELATIONS = (AIRPORTS_SRC, WEATHER_SRC, AIRPORTS, OBSERVED, WEATHER)
-PLACES_RELATIONS = (PLACES_SRC, CITIES, PLACES, CATEGORISED)
+PLACES_RELATIONS = (PLACES_SRC, CITIES, SPOILT, PLACES, CATEGORISED)
 # The countries wanted on the day: places of other countries are not written.
 WANTED = (
     "wanted",
@@ -231,7 +234,7 @@ FROM near GROUP BY airport_iata_code""",
     ),
     "q10_countries": _with("SELECT * FROM countries", COUNTRIES_SRC, COUNTRIES),
     "q11_target_countries": _with("SELECT * FROM wanted", COUNTRIES_SRC, LISTED, KNOWN, WANTED),
-    "q12_parse_places": _with("SELECT * FROM places", PLACES_SRC, CITIES, PLACES),
+    "q12_parse_places": _with("SELECT * FROM places", PLACES_SRC, CITIES, SPOILT, PLACES),
     "q13_enrich_places": _with("SELECT * FROM categorised", *PLACES_RELATIONS),
     "q14_place_list": _with(
         f"""SELECT cast(place_id AS integer) AS place_id, place_name, place_type, country_code, cast(NULL AS varchar) AS country_name,
@@ -300,6 +303,7 @@ UNION ALL SELECT 'all', bool_and(passed), count(threshold) FROM gates""",
         WANTED,
         PLACES_SRC,
         CITIES,
+        SPOILT,
         (PLACES[0], f"{PLACES[1]} AND country_code IN (SELECT country_code FROM wanted)"),
         CATEGORISED,
     ),
@@ -330,4 +334,15 @@ FROM airports a JOIN weather_src w ON a.iata_code = w.iata_code GROUP BY outcome
     "q33_flights_table": _with(
         f"SELECT * EXCLUDE (event_id, extraction_timestamp), {EPOCH}, {DERIVED} FROM accepted", STATES_SRC, ACCEPTED
     ),
+    "q34_rejected_places": _with(
+        f"""SELECT country_code, cast(place_id AS integer) AS place_id, place_name, 'bad_document' AS reject_reason,
+  {RUN_EPOCH} AS extraction_epoch
+FROM cities WHERE country_code IN (SELECT country_code FROM spoilt)""",
+        PLACES_SRC,
+        CITIES,
+        SPOILT,
+    ),
+    "q35_failed_weather": _with(
+        f"SELECT * FROM (SELECT iata_code, {OUTCOME} AS outcome FROM weather_src) WHERE outcome <> 'ok'", WEATHER_SRC
+    ),
 }

@@ -273,6 +273,15 @@ def q33_flights_table(spark: SparkSession, sf: str) -> DataFrame:
     return comparable(PF.flights_table(_states_landing(spark, sf)))
 
 
+def q34_rejected_places(spark: SparkSession, sf: str) -> DataFrame:
+    wanted = PL.country_places(_documents(spark, sf), known_countries(spark))
+    return comparable(PL.rejected_places(PL.parse_places(wanted, utc_timestamp(RUN_AT))))
+
+
+def q35_failed_weather(spark: SparkSession, sf: str) -> DataFrame:
+    return WE.failed_weather(WE.parse_weather(_weather_landing(spark, sf)), "iata_code")
+
+
 def _pinned(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(pin_session(spark), sf_dir)
@@ -317,5 +326,7 @@ QUERIES: dict[str, Query] = {
         q31_flights_near_all_airports,
         q32_airport_outcomes,
         q33_flights_table,
+        q34_rejected_places,
+        q35_failed_weather,
     )
 }

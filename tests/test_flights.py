@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skyground.operators import flights as O
 from skyground.plans.flights import flights_table, run_flights
-from skyground.sources.landing import explode_states
+from skyground.sources.landing import explode_states, unreadable_documents
 
 GOOD = ["abc123", "CALL1   ", "Spain", 1700000000, 1700000001, 1.5, 2.5, 100.0, False, 50.5, 90, -1.5, None, 110.0, "1234", False, 0]
 
@@ -178,3 +178,8 @@ def test_run_counts_and_keeps_rejects(spark, tmp_path):
 
 def test_table_columns(spark):
     assert len(flights_table(landing(spark, "{}")).columns) == 25
+
+
+def test_unreadable_documents(spark):
+    docs = landing(spark, "{}", {"states": None}, "<html>", "[]", "null", "")
+    assert sorted(r.payload for r in unreadable_documents(docs).collect()) == ["", "<html>", "[]", "null"]
