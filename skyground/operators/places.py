@@ -7,8 +7,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from skyground.functions import variant as V
 from skyground.schemas import GEOGRAPHY_PLACES, conform
 
+# --- fixed values: names of the ranges below each population -----------------
 CITY = "CITY"
 PLACES_PER_COUNTRY = 10
+POPULATION_STEPS = [(100_000, "Small"), (500_000, "Medium"), (2_000_000, "Large")]
+LARGEST_POPULATION = "Metropolitan"
+ELEVATION_STEPS = [(1_000, "Small"), (100_000, "Medium"), (1_000_000, "Large")]
+LARGEST_ELEVATION = "Very High"
+# ------------------------------------------------------------------------------
 
 
 def country_places(landing: DataFrame, targets: DataFrame) -> DataFrame:
@@ -103,6 +109,14 @@ def rejected_places(parsed: DataFrame) -> DataFrame:
     )
 
 
+def _step(value: Column, steps: list[tuple[int, str]], last: str) -> Column:
+    """The name of the first step the value is below."""
+    name = F.lit(last)
+    for limit, label in reversed(steps):
+        name = F.when(value < limit, label).otherwise(name)
+    return F.when(value.isNull(), "Unknown").otherwise(name)
+
+
 def enrich_places(places: DataFrame) -> DataFrame:
     """Categories and the extraction day, as the ``geography_places`` relation.
 
@@ -113,18 +127,8 @@ def enrich_places(places: DataFrame) -> DataFrame:
     return conform(
         places.select(
             *places.columns,
-            F.when(population.isNull(), "Unknown")
-            .when(population < 100000, "Small")
-            .when(population < 500000, "Medium")
-            .when(population < 2000000, "Large")
-            .otherwise("Metropolitan")
-            .alias("population_category"),
-            F.when(population.isNull(), "Unknown")
-            .when(population < 1000, "Small")
-            .when(population < 100000, "Medium")
-            .when(population < 1000000, "Large")
-            .otherwise("Very High")
-            .alias("elevation_category"),
+            _step(population, POPULATION_STEPS, LARGEST_POPULATION).alias("population_category"),
+            _step(population, ELEVATION_STEPS, LARGEST_ELEVATION).alias("elevation_category"),
             F.when(latitude > 0, "Northern").when(latitude < 0, "Southern").otherwise("Equatorial").alias("hemisphere"),
             F.to_date("extraction_timestamp").alias("extraction_date"),
         ),

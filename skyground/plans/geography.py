@@ -23,7 +23,7 @@ def countries_table(pages: DataFrame, extraction_timestamp: Column) -> DataFrame
 
 
 def targets(pages: DataFrame) -> DataFrame:
-    """The countries to take places from."""
+    """The countries to take places from; ``pages`` are those of one run."""
     return C.target_countries(C.listed_codes(country_items(pages)), known_countries(pages.sparkSession))
 
 

@@ -20,110 +20,53 @@ STATIC_AIRPORTS = [
 ]
 # ----------------------------------------------------------------------------
 
+TEXT, INT, DOUBLE, FLOAT = T.StringType(), T.IntegerType(), T.DoubleType(), T.FloatType()
+BOOL, TIME, DATE = T.BooleanType(), T.TimestampType(), T.DateType()
+
+
+def relation(**columns: T.DataType) -> T.StructType:
+    """Columns by name and type, in order."""
+    return T.StructType([T.StructField(name, data_type) for name, data_type in columns.items()])
+
+
 # A landed document: what a fetch stored, next to the time of the run.
-LANDING = T.StructType([
-    T.StructField("payload", T.StringType()),
-    T.StructField("extraction_timestamp", T.TimestampType()),
-])
-
-AIRPORT_INFO = T.StructType([
-    T.StructField("iata_code", T.StringType()),
-    T.StructField("icao_code", T.StringType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("lat", T.DoubleType()),
-    T.StructField("lon", T.DoubleType()),
-    T.StructField("elevation_ft", T.IntegerType()),
-    T.StructField("municipality", T.StringType()),
-    T.StructField("country", T.StringType()),
-])
-
-CURRENT_FLIGHTS = T.StructType([
-    T.StructField("icao24", T.StringType()),
-    T.StructField("callsign", T.StringType()),
-    T.StructField("origin_country", T.StringType()),
-    T.StructField("time_position", T.IntegerType()),
-    T.StructField("last_contact", T.IntegerType()),
-    T.StructField("longitude", T.DoubleType()),
-    T.StructField("latitude", T.DoubleType()),
-    T.StructField("baro_altitude", T.DoubleType()),
-    T.StructField("on_ground", T.BooleanType()),
-    T.StructField("velocity", T.DoubleType()),
-    T.StructField("true_track", T.DoubleType()),
-    T.StructField("vertical_rate", T.DoubleType()),
-    T.StructField("sensors", T.StringType()),
-    T.StructField("geo_altitude", T.DoubleType()),
-    T.StructField("squawk", T.StringType()),
-    T.StructField("spi", T.BooleanType()),
-    T.StructField("position_source", T.IntegerType()),
-    T.StructField("extraction_timestamp", T.TimestampType()),
-    T.StructField("altitude_ft", T.DoubleType()),
-    T.StructField("velocity_knots", T.DoubleType()),
-    T.StructField("vertical_rate_fpm", T.DoubleType()),
-    T.StructField("flight_status", T.StringType()),
-    T.StructField("has_position", T.BooleanType()),
-    T.StructField("has_altitude", T.BooleanType()),
-    T.StructField("extraction_date", T.DateType()),
-])
-
-CURRENT_WEATHER = T.StructType([
-    T.StructField("airport_iata_code", T.StringType()),
-    T.StructField("airport_icao_code", T.StringType()),
-    T.StructField("airport_name", T.StringType()),
-    T.StructField("airport_municipality", T.StringType()),
-    T.StructField("airport_country", T.StringType()),
-    T.StructField("latitude", T.DoubleType()),
-    T.StructField("longitude", T.DoubleType()),
-    T.StructField("elevation_ft", T.IntegerType()),
-    T.StructField("timezone", T.StringType()),
-    T.StructField("timezone_offset", T.IntegerType()),
-    T.StructField("temperature", T.DoubleType()),
-    T.StructField("feels_like", T.DoubleType()),
-    T.StructField("humidity", T.IntegerType()),
-    T.StructField("pressure", T.IntegerType()),
-    T.StructField("dew_point", T.DoubleType()),
-    T.StructField("uvi", T.DoubleType()),
-    T.StructField("cloudiness", T.IntegerType()),
-    T.StructField("visibility", T.IntegerType()),
-    T.StructField("wind_speed", T.DoubleType()),
-    T.StructField("wind_direction", T.IntegerType()),
-    T.StructField("wind_gust", T.DoubleType()),
-    T.StructField("weather_main", T.StringType()),
-    T.StructField("weather_description", T.StringType()),
-    T.StructField("weather_icon", T.StringType()),
-    T.StructField("sunrise", T.TimestampType()),
-    T.StructField("sunset", T.TimestampType()),
-    T.StructField("extraction_timestamp", T.TimestampType()),
-    T.StructField("extraction_date", T.DateType()),
-])
-
-GEOGRAPHY_PLACES = T.StructType([
-    T.StructField("place_id", T.IntegerType()),
-    T.StructField("place_name", T.StringType()),
-    T.StructField("place_type", T.StringType()),
-    T.StructField("country_code", T.StringType()),
-    T.StructField("country_name", T.StringType()),
-    T.StructField("region", T.StringType()),
-    T.StructField("region_code", T.StringType()),
-    T.StructField("latitude", T.FloatType()),
-    T.StructField("longitude", T.FloatType()),
-    T.StructField("population", T.IntegerType()),
-    T.StructField("elevation_meters", T.IntegerType()),
-    T.StructField("timezone", T.StringType()),
-    T.StructField("extraction_timestamp", T.TimestampType()),
-    T.StructField("population_category", T.StringType()),
-    T.StructField("elevation_category", T.StringType()),
-    T.StructField("hemisphere", T.StringType()),
-    T.StructField("extraction_date", T.DateType()),
-])
-
-GEOGRAPHY_COUNTRIES = T.StructType([
-    T.StructField("country_code", T.StringType()),
-    T.StructField("country_name", T.StringType()),
-    T.StructField("currency_code", T.StringType()),
-    T.StructField("continent", T.StringType()),
-    T.StructField("extraction_timestamp", T.TimestampType()),
-    T.StructField("extraction_date", T.DateType()),
-])
+LANDING = relation(
+    payload=TEXT, extraction_timestamp=TIME,
+)
+
+AIRPORT_INFO = relation(
+    iata_code=TEXT, icao_code=TEXT, name=TEXT, lat=DOUBLE, lon=DOUBLE, elevation_ft=INT, municipality=TEXT,
+    country=TEXT,
+)
+
+CURRENT_FLIGHTS = relation(
+    icao24=TEXT, callsign=TEXT, origin_country=TEXT, time_position=INT, last_contact=INT, longitude=DOUBLE,
+    latitude=DOUBLE, baro_altitude=DOUBLE, on_ground=BOOL, velocity=DOUBLE, true_track=DOUBLE,
+    vertical_rate=DOUBLE, sensors=TEXT, geo_altitude=DOUBLE, squawk=TEXT, spi=BOOL, position_source=INT,
+    extraction_timestamp=TIME, altitude_ft=DOUBLE, velocity_knots=DOUBLE, vertical_rate_fpm=DOUBLE,
+    flight_status=TEXT, has_position=BOOL, has_altitude=BOOL, extraction_date=DATE,
+)
+
+CURRENT_WEATHER = relation(
+    airport_iata_code=TEXT, airport_icao_code=TEXT, airport_name=TEXT, airport_municipality=TEXT,
+    airport_country=TEXT, latitude=DOUBLE, longitude=DOUBLE, elevation_ft=INT, timezone=TEXT,
+    timezone_offset=INT, temperature=DOUBLE, feels_like=DOUBLE, humidity=INT, pressure=INT, dew_point=DOUBLE,
+    uvi=DOUBLE, cloudiness=INT, visibility=INT, wind_speed=DOUBLE, wind_direction=INT, wind_gust=DOUBLE,
+    weather_main=TEXT, weather_description=TEXT, weather_icon=TEXT, sunrise=TIME, sunset=TIME,
+    extraction_timestamp=TIME, extraction_date=DATE,
+)
+
+GEOGRAPHY_PLACES = relation(
+    place_id=INT, place_name=TEXT, place_type=TEXT, country_code=TEXT, country_name=TEXT, region=TEXT,
+    region_code=TEXT, latitude=FLOAT, longitude=FLOAT, population=INT, elevation_meters=INT, timezone=TEXT,
+    extraction_timestamp=TIME, population_category=TEXT, elevation_category=TEXT, hemisphere=TEXT,
+    extraction_date=DATE,
+)
+
+GEOGRAPHY_COUNTRIES = relation(
+    country_code=TEXT, country_name=TEXT, currency_code=TEXT, continent=TEXT, extraction_timestamp=TIME,
+    extraction_date=DATE,
+)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
