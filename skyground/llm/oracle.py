@@ -19,15 +19,15 @@ FROM d WINDOW w AS (PARTITION BY text_sha256)
 
 LINE_DEDUP = f"""
 WITH l AS (
-  SELECT doc_id, source, trim(line, ' ') AS line, line AS raw, at
+  SELECT doc_id, source, trim(line, ' ') AS line, line AS raw, pos
   FROM (SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at FROM documents)
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents)
 ), b AS (
   SELECT line FROM l WHERE length(line) >= {MIN_CHARS}
   GROUP BY line HAVING count(DISTINCT coalesce(source, '')) >= {MIN_SITES}
 )
 SELECT doc_id, count(*) AS n_lines, count(b.line) AS n_removed,
-       sha256(coalesce(string_agg(raw, chr(10) ORDER BY at) FILTER (WHERE b.line IS NULL), '')) AS kept_sha256
+       sha256(coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (WHERE b.line IS NULL), '')) AS kept_sha256
 FROM l LEFT JOIN b USING (line) GROUP BY doc_id
 """
 
