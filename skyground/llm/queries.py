@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyground.llm import exact_dedup, line_dedup, secret_scan, url_lists
+from skyground.llm import exact_dedup, line_dedup, packing, secret_scan, url_lists
 from skyground.llm.common import table
 
 
@@ -29,6 +29,12 @@ def secret_scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(docs).drop("source")
 
 
+def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def list_events(pages: DataFrame) -> DataFrame:
     """Dated list events derived from the hosts of the pages and their first path segments."""
     url = F.col("url")
@@ -84,5 +90,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": exact_dedup_query,
     "op4_line_dedup": line_dedup_query,
     "op5_secret_scan": secret_scan_query,
+    "op8_packing": packing_query,
     "op10_url_lists": url_lists_query,
 }
