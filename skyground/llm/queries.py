@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyground.llm import exact_dedup, line_dedup, packing, secret_scan, url_lists
+from skyground.llm import exact_dedup, language_id, line_dedup, packing, secret_scan, url_lists
 from skyground.llm.common import table
 
 
@@ -16,6 +16,11 @@ def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(docs, exact_dedup.DigestIndex(spark), columns=["doc_id"])
 
 
+def language_id_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     out = line_dedup.remove_boilerplate(docs)
@@ -88,6 +93,7 @@ def url_lists_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": exact_dedup_query,
+    "op3_language_id": language_id_query,
     "op4_line_dedup": line_dedup_query,
     "op5_secret_scan": secret_scan_query,
     "op8_packing": packing_query,
