@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyground.llm import exact_dedup, language_id, line_dedup, packing, secret_scan, url_lists
+from skyground.llm import exact_dedup, language_id, line_dedup, packing, piece_codec, secret_scan, url_lists
 from skyground.llm.common import table
 
 
@@ -40,6 +40,12 @@ def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def piece_codec_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return piece_codec.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def list_events(pages: DataFrame) -> DataFrame:
     """Dated list events derived from the hosts of the pages and their first path segments."""
     url = F.col("url")
@@ -97,5 +103,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_line_dedup": line_dedup_query,
     "op5_secret_scan": secret_scan_query,
     "op8_packing": packing_query,
+    "op9_piece_codec": piece_codec_query,
     "op10_url_lists": url_lists_query,
 }
