@@ -7,6 +7,20 @@ from skyground.llm.secret_scan import ACCESS, ASSIGN, HEX, TOKEN
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+CODE_SEARCH = """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, r.vec_id, list_inner_product(q.e, r.e) AS score
+  FROM v q JOIN v r ON q.vec_id <> r.vec_id AND len(q.e) = len(r.e) WHERE q.vec_id % 20 = 0
+), o AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s
+)
+SELECT query_id, rank, vec_id, score FROM o WHERE rank <= 20
+"""
+
 EXACT_DEDUP = f"""
 WITH d AS (SELECT doc_id, sha256({LOWERED}) AS text_sha256 FROM documents)
 SELECT doc_id,
@@ -133,6 +147,7 @@ FROM p LEFT JOIN best USING (row)
 """
 
 ORACLE: dict[str, str] = {
+    "op1_code_search": CODE_SEARCH,
     "op2_exact_dedup": EXACT_DEDUP,
     "op4_line_dedup": LINE_DEDUP,
     "op5_secret_scan": SECRET_SCAN,

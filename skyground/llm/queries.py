@@ -7,10 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyground.llm import exact_dedup, language_id, line_dedup, packing, piece_codec, secret_scan, url_lists
+from skyground.llm import (
+    code_search,
+    exact_dedup,
+    language_id,
+    line_dedup,
+    packing,
+    piece_codec,
+    secret_scan,
+    url_lists,
+)
 from skyground.llm.common import table
 
 
+def code_search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_search.search(table(spark, sf_dir, "embeddings"))
+
+
 def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup.deduplicate(docs, exact_dedup.DigestIndex(spark), columns=["doc_id"])
@@ -98,6 +111,7 @@ def url_lists_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_code_search": code_search_query,
     "op2_exact_dedup": exact_dedup_query,
     "op3_language_id": language_id_query,
     "op4_line_dedup": line_dedup_query,
