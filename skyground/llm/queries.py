@@ -15,6 +15,7 @@ from skyground.llm import (
     packing,
     piece_codec,
     secret_scan,
+    suffix_dedup,
     url_lists,
 )
 from skyground.llm.common import table
@@ -47,6 +48,10 @@ def secret_scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(docs).drop("source")
 
 
+def suffix_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -116,6 +121,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": language_id_query,
     "op4_line_dedup": line_dedup_query,
     "op5_secret_scan": secret_scan_query,
+    "op7_suffix_dedup": suffix_dedup_query,
     "op8_packing": packing_query,
     "op9_piece_codec": piece_codec_query,
     "op10_url_lists": url_lists_query,
