@@ -97,7 +97,8 @@ def remove_boilerplate(
         .groupBy("_row")
         .agg(F.collect_list("_at").alias("_removed"))
     )
-    joined = numbered.join(staged(removed, "removed"), "_row", "left")
+    # Always by shuffle: the list of removals grows with the documents.
+    joined = numbered.join(staged(removed, "removed").hint("merge"), "_row", "left")
     parts = F.split(F.coalesce("text", F.lit("")), "\n")
     kept = F.when(F.col("_removed").isNull(), F.coalesce("text", F.lit(""))).otherwise(
         F.array_join(
