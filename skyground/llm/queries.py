@@ -12,6 +12,7 @@ from skyground.llm import (
     exact_dedup,
     language_id,
     line_dedup,
+    ngram_join,
     packing,
     piece_codec,
     secret_scan,
@@ -48,6 +49,10 @@ def secret_scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(docs).drop("source")
 
 
+def ngram_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def suffix_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
@@ -121,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": language_id_query,
     "op4_line_dedup": line_dedup_query,
     "op5_secret_scan": secret_scan_query,
+    "op6_ngram_join": ngram_join_query,
     "op7_suffix_dedup": suffix_dedup_query,
     "op8_packing": packing_query,
     "op9_piece_codec": piece_codec_query,
