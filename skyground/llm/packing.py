@@ -152,4 +152,5 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
             )
 
-    return pieces.join(offsets, ["task", "length"]).mapInArrow(place, PLACED)
+    # By shuffle: there are as many offsets as tasks times lengths.
+    return pieces.join(offsets.hint("merge"), ["task", "length"]).mapInArrow(place, PLACED)
