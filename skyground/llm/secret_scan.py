@@ -39,6 +39,7 @@ TOKEN = r"[A-Za-z0-9_-]{24,}"
 MAX_OWNERS = 1
 
 SPAN = "array<struct<kind:string,start:int,end:int,secret:string>>"
+JUDGED = "array<struct<kind:string,start:int,end:int,secret:string,live:boolean>>"
 RESULTS = ("n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_owned", "n_live", "n_example")
 
 
@@ -133,48 +134,84 @@ def ownership(candidates: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
     )
 
 
-def scan(docs: DataFrame, owner: str = "source", max_owners: int = MAX_OWNERS) -> DataFrame:
-    """Every row of ``docs`` without its text, with :data:`RESULTS`."""
-    carried = [c for c in docs.columns if c not in RESULTS and c != "text"]
-    found = find(docs)
-    rows = staged(
-        found.select(
-            *carried,
-            F.monotonically_increasing_id().alias("_row"),
-            F.coalesce(F.col(owner), F.lit("")).alias("_owner"),
-            "_base",
-            "_tokens",
-        ),
-        "spans",
+def _found(docs: DataFrame, owner: str, columns: list[str]) -> DataFrame:
+    """``columns`` of ``docs`` with a row number, the owner, ``_base`` and ``_tokens``; written once."""
+    found = find(docs.withColumn("_owner", F.coalesce(F.col(owner), F.lit(""))))
+    return staged(
+        found.select(*columns, F.monotonically_increasing_id().alias("_row"), "_owner", "_base", "_tokens"), "spans"
     )
-    # Only documents with candidates take part in what follows; a document names a secret once.
+
+
+def _judged(rows: DataFrame, max_owners: int) -> DataFrame:
+    """``_row, _judged``: all spans and candidates of each row that has some, each with ``live``."""
     candidates = (
         rows.filter(F.size("_base") + F.size("_tokens") > 0)
         .select("_row", "_owner", F.explode(F.concat("_base", "_tokens")).alias("s"))
-        .select("_row", "_owner", "s", F.sha2("s.secret", 256).alias("_hash"))
+        .withColumn("_hash", F.sha2("s.secret", 256))
     )
+    # A document names a secret once.
     verdicts = staged(
         ownership(candidates.select("_row", "_hash", "_owner").distinct(), max_owners), "ownership"
     )
     # Both sides are plain shuffles, so adaptive execution splits a secret that a third of the rows hold.
-    judged = (
-        candidates.join(verdicts, "_hash")
+    return (
+        candidates.join(verdicts.hint("merge"), "_hash")
         .groupBy("_row")
-        .agg(
-            F.collect_list(F.when((F.col("s.kind") == "owned") & F.col("live"), F.col("s"))).alias("_owned"),
-            F.count_if((F.col("s.kind") != "owned") & F.col("live")).alias("_live"),
-            F.count_if((F.col("s.kind") != "owned") & ~F.col("live")).alias("_example"),
-        )
+        .agg(F.collect_list(F.struct("s.kind", "s.start", "s.end", "s.secret", "live")).alias("_judged"))
     )
-    none = F.array().cast(SPAN)
+
+
+def _pick(condition) -> Column:
+    """Judged spans for which ``condition`` holds; none where nothing was judged."""
+    return F.coalesce(F.filter("_judged", condition), F.array().cast(JUDGED))
+
+
+def scan(docs: DataFrame, owner: str = "source", max_owners: int = MAX_OWNERS) -> DataFrame:
+    """Every row of ``docs`` without its text, with :data:`RESULTS`."""
+    carried = [c for c in docs.columns if c not in RESULTS and c != "text"]
+    rows = _found(docs, owner, carried)
     kind_count = lambda kind: F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long")
-    owned = F.coalesce("_owned", none)
-    return rows.join(judged, "_row", "left").select(
+    number = lambda condition: F.size(_pick(condition)).cast("long")
+    return rows.join(_judged(rows, max_owners).hint("merge"), "_row", "left").select(
         *carried,
         *[kind_count(kind).alias(f"n_{kind}") for kind in KINDS],
         F.sha2(_joined(F.col("_base")).cast("binary"), 256).alias("base_sha256"),
-        _joined(_ordered(F.concat("_base", owned))).alias("spans"),
-        F.size(owned).cast("long").alias("n_owned"),
-        F.coalesce("_live", F.lit(0)).alias("n_live"),
-        F.coalesce("_example", F.lit(0)).alias("n_example"),
+        _joined(_ordered(_pick(lambda s: (s["kind"] != "owned") | s["live"]))).alias("spans"),
+        number(lambda s: (s["kind"] == "owned") & s["live"]).alias("n_owned"),
+        number(lambda s: (s["kind"] != "owned") & s["live"]).alias("n_live"),
+        number(lambda s: (s["kind"] != "owned") & ~s["live"]).alias("n_example"),
+    )
+
+
+def redact(
+    docs: DataFrame, owner: str = "source", max_owners: int = MAX_OWNERS, mark: str = "[secret]"
+) -> DataFrame:
+    """``docs`` with ``mark`` in place of every span that looks live; spans that overlap give one mark.
+
+    Rows without candidates do not move.
+    """
+    rows = _found(docs, owner, docs.columns)
+    text = F.coalesce("text", F.lit(""))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    done = F.aggregate(
+        _ordered(_pick(lambda s: s["live"])),
+        start,
+        lambda acc, s: F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            F.when(
+                s["start"] >= acc["at"],
+                F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)),
+            )
+            .otherwise(acc["out"])
+            .alias("out"),
+        ),
+    )
+    some = F.size("_base") + F.size("_tokens") > 0
+    judged = rows.filter(some).join(_judged(rows, max_owners).hint("merge"), "_row", "left").withColumn("_done", done)
+    masked = judged.withColumn(
+        "text",
+        F.when(F.col("_done.at") == 0, F.col("text")).otherwise(
+            F.concat("_done.out", F.substr(text, F.col("_done.at") + 1))
+        ),
     )
+    return rows.filter(~some).select(*docs.columns).union(masked.select(*docs.columns))
