@@ -33,6 +33,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def others(docs: DataFrame, results: tuple[str, ...], *dropped: str) -> list[str]:
+    """Columns of ``docs`` to carry along: all but those named like a result, in any case, or dropped."""
+    names = {r.lower() for r in (*results, *dropped)}
+    return [c for c in docs.columns if c.lower() not in names]
+
+
+def boxed(columns: list[str]) -> Column:
+    """``columns`` as one, so that no name of theirs meets a working name."""
+    return F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_box")
+
+
+def unboxed(columns: list[str]) -> list[Column]:
+    return [F.col(f"_box.`{c}`").alias(c) for c in columns]
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z become a-z, everything else stays; null becomes the empty text."""
     return F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)

@@ -18,7 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyground.llm.common import ascii_lower, scratch, shuffle_partitions, staged
+from skyground.llm.common import ascii_lower, boxed, others, scratch, shuffle_partitions, staged, unboxed
 
 RESULTS = ("keep_id", "group_size", "kept", "text_sha256")
 
@@ -49,24 +49,20 @@ class DigestIndex:
         self.spark.catalog.refreshTable(self.name)
 
 
-def with_digest(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_digest`` of the normalised text and a row number ``_row``."""
-    return docs.withColumns(
-        {
-            "_digest": F.sha2(ascii_lower(F.col("text")).cast("binary"), 256),
-            "_row": F.monotonically_increasing_id(),
-        }
-    )
-
-
 def deduplicate(docs: DataFrame, index: DigestIndex, columns: list[str] | None = None) -> DataFrame:
     """Every row of ``docs`` with :data:`RESULTS`; appends what is new to ``index``.
 
     ``columns`` limits what is carried along (default: all of ``docs``); the text is read once.
     """
-    carried = [c for c in (columns if columns is not None else docs.columns) if c not in RESULTS]
+    carried = others(docs.select(*columns) if columns is not None else docs, RESULTS)
     rows = staged(
-        with_digest(docs).select("_digest", "_row", F.col("doc_id").alias("_doc"), *carried), "digests"
+        docs.select(
+            F.sha2(ascii_lower(F.col("text")).cast("binary"), 256).alias("_digest"),
+            F.monotonically_increasing_id().alias("_row"),
+            F.col("doc_id").cast("long").alias("_doc"),
+            boxed(carried),
+        ),
+        "digests",
     )
     groups = rows.groupBy("_digest").agg(
         F.max(F.struct("_doc", "_row")).alias("_keeper"), F.count("*").alias("_size")
@@ -88,8 +84,8 @@ def deduplicate(docs: DataFrame, index: DigestIndex, columns: list[str] | None =
     fresh = verdicts.select(F.col("_digest").alias("digest"), "keep_id", "group_size")
     index.append(fresh.join(index.read().hint("merge"), "digest", "left_anti"))
     # Both sides are plain shuffles here: adaptive execution splits a digest that a third of the rows carry.
-    return rows.join(verdicts, "_digest").select(
-        *carried,
+    return rows.join(verdicts.hint("merge"), "_digest").select(
+        *unboxed(carried),
         "keep_id",
         "group_size",
         F.coalesce(F.col("_row") == F.col("_keep_row"), F.lit(False)).alias("kept"),
@@ -99,4 +95,6 @@ def deduplicate(docs: DataFrame, index: DigestIndex, columns: list[str] | None =
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with its columns."""
-    return deduplicate(docs, DigestIndex(docs.sparkSession)).filter("kept").select(*docs.columns)
+    whole = docs.select("doc_id", "text", boxed(docs.columns))
+    kept = deduplicate(whole, DigestIndex(docs.sparkSession), ["_box"]).filter("kept")
+    return kept.select(*unboxed(docs.columns))

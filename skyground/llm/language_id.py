@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyground.llm.chunks import slices
-from skyground.llm.common import staged
+from skyground.llm.common import others
 
 DIMS = 1024
 N = 3
@@ -157,7 +157,7 @@ def learn(docs: DataFrame, fit_rows: int = FIT_ROWS, dims: int = DIMS, n: int =
 
 def predict(docs: DataFrame, learnt: dict[str, np.ndarray], n: int = N) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1: the cosine, or 0 if negative), in one pass without shuffle."""
-    carried = [c for c in docs.columns if c not in RESULTS]
+    carried = others(docs, RESULTS)
     names = list(learnt)
     protos = np.stack([learnt[k] for k in names]).astype(np.float32) if names else np.zeros((0, 1), np.float32)
     dims = protos.shape[1]

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyground.llm.common import staged
+from skyground.llm.common import boxed, others, staged, unboxed
 
 MIN_SITES = 6
 MIN_CHARS = 10
@@ -83,11 +83,11 @@ def remove_boilerplate(
     band: float = BAND,
 ) -> DataFrame:
     """Every document with its line counts and ``kept_text``."""
-    carried = [c for c in docs.columns if c not in RESULTS]
-    numbered = docs.select(*carried).withColumn("_row", F.xxhash64("doc_id", "text"))
-    lines = staged(
-        _lines(numbered.select("_row", F.col(site).alias("site"), "text"), min_chars), "lines"
+    carried = others(docs, RESULTS)
+    numbered = docs.select(
+        F.xxhash64("doc_id", "text").alias("_row"), F.col(site).alias("site"), "text", boxed(carried)
     )
+    lines = staged(_lines(numbered.select("_row", "site", "text"), min_chars), "lines")
     drop = staged(boilerplate(lines, min_sites, log_k, band), "boilerplate")
     # A document's removed lines fit beside its text. Repeated rows share _row and get the same list.
     removed = (
@@ -106,7 +106,7 @@ def remove_boilerplate(
         )
     )
     return joined.select(
-        *carried,
+        *unboxed(carried),
         F.size(parts).cast("long").alias("n_lines"),
         F.coalesce(F.size("_removed"), F.lit(0)).cast("long").alias("n_removed"),
         kept.alias("kept_text"),

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyground.llm.chunks import slices
-from skyground.llm.common import shuffle_partitions, staged
+from skyground.llm.common import boxed, shuffle_partitions, staged, unboxed
 from skyground.llm.components import components
 
 N = 5
@@ -540,8 +540,8 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
 def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """One document of each class, with its columns: the one with the smallest id (null last); of several
     with that id the one with the smallest hash, and one of rows that repeat it."""
-    rows = staged(numbered(docs), "numbered")
+    rows = staged(numbered(docs.select("doc_id", "text", boxed(docs.columns))), "numbered")
     found = classes(rows.select("_row", "doc_id", "text"), n, percent)
     first = found.groupBy("_class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "_row")).alias("k"))
     kept = rows.join(first.select("k._row").hint("merge"), "_row", "left_semi")
-    return kept.dropDuplicates(["_row"]).select(*docs.columns)
+    return kept.dropDuplicates(["_row"]).select(*unboxed(docs.columns))

@@ -30,6 +30,7 @@ from sentencepiece import sentencepiece_model_pb2 as pb
 from tokenizers import Regex, Tokenizer, models, normalizers
 
 from skyground.llm.chunks import ChunkCache, encode_lists, slices
+from skyground.llm.common import others
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -183,7 +184,7 @@ def piece_codec(path: str) -> PieceCodec:
 
 def encode(docs: DataFrame, model: str) -> DataFrame:
     """``docs`` with ``ids`` and ``parity`` (the rebuilt tokenizer gives the library's ids)."""
-    carried = [c for c in docs.columns if c not in RESULTS]
+    carried = others(docs, RESULTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = piece_codec(model)
@@ -208,7 +209,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
     """``encoded`` with ``decoded``, the text of its ``ids``; null ids give null."""
-    carried = [c for c in encoded.columns if c != "decoded"]
+    carried = others(encoded, ("decoded",))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = piece_codec(model)

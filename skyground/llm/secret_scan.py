@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skyground.llm.common import staged
+from skyground.llm.common import boxed, others, staged, unboxed
 
 # The three patterns and the least lengths. Letters of the first are spelt in both cases.
 ASSIGN = (
@@ -135,10 +135,10 @@ def ownership(candidates: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
 
 
 def _found(docs: DataFrame, owner: str, columns: list[str]) -> DataFrame:
-    """``columns`` of ``docs`` with a row number, the owner, ``_base`` and ``_tokens``; written once."""
-    found = find(docs.withColumn("_owner", F.coalesce(F.col(owner), F.lit(""))))
+    """``columns`` of ``docs`` boxed, with a row number, the owner, ``_base`` and ``_tokens``; written once."""
+    found = find(docs.select("text", F.coalesce(F.col(owner), F.lit("")).alias("_owner"), boxed(columns)))
     return staged(
-        found.select(*columns, F.monotonically_increasing_id().alias("_row"), "_owner", "_base", "_tokens"), "spans"
+        found.select("_box", F.monotonically_increasing_id().alias("_row"), "_owner", "_base", "_tokens"), "spans"
     )
 
 
@@ -168,12 +168,12 @@ def _pick(condition) -> Column:
 
 def scan(docs: DataFrame, owner: str = "source", max_owners: int = MAX_OWNERS) -> DataFrame:
     """Every row of ``docs`` without its text, with :data:`RESULTS`."""
-    carried = [c for c in docs.columns if c not in RESULTS and c != "text"]
+    carried = others(docs, RESULTS, "text")
     rows = _found(docs, owner, carried)
     kind_count = lambda kind: F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long")
     number = lambda condition: F.size(_pick(condition)).cast("long")
     return rows.join(_judged(rows, max_owners).hint("merge"), "_row", "left").select(
-        *carried,
+        *unboxed(carried),
         *[kind_count(kind).alias(f"n_{kind}") for kind in KINDS],
         F.sha2(_joined(F.col("_base")).cast("binary"), 256).alias("base_sha256"),
         _joined(_ordered(_pick(lambda s: (s["kind"] != "owned") | s["live"]))).alias("spans"),
@@ -191,7 +191,7 @@ def redact(
     Rows without candidates do not move.
     """
     rows = _found(docs, owner, docs.columns)
-    text = F.coalesce("text", F.lit(""))
+    text = F.coalesce("_box.text", F.lit(""))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     done = F.aggregate(
         _ordered(_pick(lambda s: s["live"])),
@@ -208,10 +208,8 @@ def redact(
     )
     some = F.size("_base") + F.size("_tokens") > 0
     judged = rows.filter(some).join(_judged(rows, max_owners).hint("merge"), "_row", "left").withColumn("_done", done)
-    masked = judged.withColumn(
-        "text",
-        F.when(F.col("_done.at") == 0, F.col("text")).otherwise(
-            F.concat("_done.out", F.substr(text, F.col("_done.at") + 1))
-        ),
+    masked = F.when(F.col("_done.at") == 0, F.col("_box.text")).otherwise(
+        F.concat("_done.out", F.substr(text, F.col("_done.at") + 1))
     )
-    return rows.filter(~some).select(*docs.columns).union(masked.select(*docs.columns))
+    columns = [masked.alias(c) if c.lower() == "text" else unboxed([c])[0] for c in docs.columns]
+    return rows.filter(~some).select(*unboxed(docs.columns)).union(judged.select(*columns))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyground.llm.common import staged
+from skyground.llm.common import boxed, others, staged, unboxed
 
 RESULTS = ("host", "verdict", "kind", "pattern", "valid_from", "n_active")
 FOREVER = "9999-12-31 00:00:00"
@@ -85,15 +85,23 @@ def keys(url: Column) -> Column:
 
 def judge(captures: DataFrame, events: DataFrame) -> DataFrame:
     """Every capture (``url``, ``fetched_at``) with :data:`RESULTS`; ``verdict`` is null where no entry was active."""
-    carried = [c for c in captures.columns if c not in RESULTS]
-    rows = staged(captures.select(*carried).withColumn("_row", F.monotonically_increasing_id()), "captures")
-    asked = rows.filter(host_of(F.col("url")).isNotNull() & F.col("fetched_at").isNotNull()).select(
-        "_row", F.col("fetched_at").alias("_at"), F.explode(F.array_distinct(keys(F.col("url")))).alias("_key")
+    carried = others(captures, RESULTS)
+    rows = staged(
+        captures.select(
+            F.monotonically_increasing_id().alias("_row"),
+            F.col("url").alias("_url"),
+            F.col("fetched_at").alias("_at"),
+            boxed(carried),
+        ),
+        "captures",
+    )
+    asked = rows.filter(host_of(F.col("_url")).isNotNull() & F.col("_at").isNotNull()).select(
+        "_row", "_at", F.explode(F.array_distinct(keys(F.col("_url")))).alias("_key")
     )
     asked = asked.select("_row", "_at", F.col("_key.kind").alias("kind"), F.col("_key.pattern").alias("pattern"))
     # Intervals of an entry do not overlap: a capture meets at most one of each verdict per key. The list
     # is written first, so that both sides are plain shuffles and a host with a third of the captures is split.
-    active = asked.join(staged(intervals(events), "intervals"), ["kind", "pattern"]).filter(
+    active = asked.join(staged(intervals(events), "intervals").hint("merge"), ["kind", "pattern"]).filter(
         "valid_from <= _at and _at < valid_to"
     )
     best = active.groupBy("_row").agg(
@@ -109,9 +117,9 @@ def judge(captures: DataFrame, events: DataFrame) -> DataFrame:
         ).alias("_best"),
         F.count("*").alias("_n"),
     )
-    return rows.join(best, "_row", "left").select(
-        *carried,
-        host_of(F.col("url")).alias("host"),
+    return rows.join(best.hint("merge"), "_row", "left").select(
+        *unboxed(carried),
+        host_of(F.col("_url")).alias("host"),
         *[F.col(f"_best.{c}").alias(c) for c in ("verdict", "kind", "pattern", "valid_from")],
         F.coalesce("_n", F.lit(0)).alias("n_active"),
     )
