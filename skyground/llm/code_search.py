@@ -3,9 +3,9 @@
 The index holds for each vector the signs of its rotated, centred form as packed bits, and scalars that correct the
 estimate: the residual's norm, and the inner product of the unit residual with its own code. For a query, the inner
 product with a row is estimated from the row's bits and scalars, with a bound on the error
-that fails with the probability ``WIDTH`` stands for. In each block of rows, the k-th largest lower bound is a
-threshold; every row whose upper bound reaches it is computed exactly in double precision,
-and the block's best k go on. The best k over all blocks are the result.
+that fails with the probability ``WIDTH`` stands for. In each block of rows the best few by estimate are computed
+exactly, and their k-th is a threshold: every row whose upper bound reaches it is reranked by its exact
+inner product in double precision, and the block's best k go on. The best k over all blocks are the result.
 
 Rows are dealt evenly to blocks and queries to query blocks, each pair of blocks is one group of bounded size, and all
 rows of the table are in some block; nothing is capped. Of equal vectors in a block only the k + 1
@@ -126,10 +126,6 @@ def index(rows: DataFrame, centres: dict[int, tuple[int, np.ndarray]], block: in
     )
 
 
-def _best(query_id: int, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    return np.lexsort((ids, -scores))[:k]
-
-
 def _few_copies(table: pa.Table, k: int) -> pa.Table:
     """``table`` with the k + 1 smallest ids of each vector, ordered by id."""
     table = table.sort_by("vec_id")
@@ -156,27 +152,37 @@ def _search(k: int, width: float, centres: dict[int, np.ndarray]):
             packed = np.frombuffer(b"".join(rows["code"].to_pylist()), np.uint8).reshape(len(ids), -1)
             signs = np.unpackbits(packed, axis=1, count=dims).astype(np.float32) * 2 - 1
             norm, fit = rows["norm"].to_numpy(), rows["fit"].to_numpy()
-            scale = norm / (fit * np.sqrt(dims))
+            scale = (norm / (fit * np.sqrt(dims))).astype(np.float32)
             slack = norm * np.sqrt(np.maximum(1 - fit**2, 0)) / fit * width / np.sqrt(max(dims - 1, 1))
+            # What single precision rounds away is added to the bound.
+            slack = (slack + 1e-5 * (norm + np.linalg.norm(centres[dims]))).astype(np.float32)
             lengths = np.linalg.norm(queries, axis=1)
-            shift = queries @ centres[dims]
             # Queries at unit length, so that single precision cannot overflow.
-            turned = (queries / lengths[:, None] @ rotation(dims).T).astype(np.float32)
+            unit = queries / lengths[:, None]
+            shift = (unit @ centres[dims]).astype(np.float32)
+            turned = (unit @ rotation(dims).T).astype(np.float32)
+            first = min(len(ids), 3 * k)
             for at in range(0, len(own), PART):
                 part = slice(at, at + PART)
-                guess = (turned[part] @ signs.T) * scale + (shift[part] / lengths[part])[:, None]
-                lower, upper = guess - slack, guess + slack
-                self_ = own[part][:, None] == ids
-                lower[self_] = upper[self_] = -np.inf
-                if len(ids) > k:
-                    threshold = np.partition(lower, len(ids) - k, axis=1)[:, len(ids) - k]
-                else:
-                    threshold = np.full(len(lower), -np.inf)
-                for j in range(len(lower)):
-                    some = np.flatnonzero((upper[j] >= threshold[j]) & ~self_[j])
+                guess = turned[part] @ signs.T
+                guess *= scale
+                guess += shift[part][:, None]
+                guess[own[part][:, None] == ids] = -np.inf
+                likely = np.argpartition(guess, len(ids) - first, axis=1)[:, len(ids) - first :]
+                guess += slack
+                for j in range(len(guess)):
+                    # The best by estimate give a threshold; whatever may reach it is computed.
+                    some = likely[j][guess[j, likely[j]] > -np.inf]
+                    if len(some) >= k:
+                        exact = np.sort(raw[some] @ unit[at + j])[-k]
+                        some = np.flatnonzero(guess[j] >= exact - 1e-9 * abs(exact))
+                    rough = raw[some] @ unit[at + j]
+                    if len(some) > k:
+                        limit = np.partition(rough, len(some) - k)[len(some) - k]
+                        some = some[rough >= limit - 1e-9 * np.abs(rough).max()]
                     # One product after another, so that equal vectors have equal scores everywhere.
-                    scores = (raw[some] * queries[at + j]).cumsum(axis=1)[:, -1]
-                    best = _best(own[at + j], ids[some], scores, k)
+                    scores = (raw[some] * queries[at + j]).cumsum(axis=1)[:, -1] if len(some) else np.zeros(0)
+                    best = np.lexsort((ids[some], -scores))[:k]
                     out.append((np.full(len(best), own[at + j]), ids[some][best], scores[best]))
         columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0)] * 3
         return pa.table(
