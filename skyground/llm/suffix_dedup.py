@@ -118,9 +118,9 @@ def _ranks(key: np.ndarray) -> np.ndarray:
     return np.unique(key, return_inverse=True)[1].astype(np.uint64)
 
 
-def _triple(names: np.ndarray, at: np.ndarray, step: int) -> np.ndarray:
-    """Names of the positions ``at`` by the triples of names at steps from them."""
-    a, b, c = (names[np.minimum(at + i * step, len(names) - 1)] for i in range(3))
+def _triple(names: np.ndarray, at: np.ndarray, second: int, third: int) -> np.ndarray:
+    """Names of the positions ``at`` by the triples of names there and two steps on."""
+    a, b, c = (names[np.minimum(at + step, len(names) - 1)] for step in (0, second, third))
     bits = np.uint64(max(1, int(names.max()).bit_length()))
     if int(bits) <= 21:
         return _ranks((a << bits | b) << bits | c)
@@ -140,19 +140,15 @@ def starts_again(text: np.ndarray, windows: np.ndarray, length: int) -> np.ndarr
     cover = np.arange(len(text))
     cover = cover[cover % 3 != 0]
     names, span = _ranks(symbol), 8
-    while True:
+    while span * 3 <= length - 2:
         named = np.zeros(len(text), np.uint64)
-        named[cover] = _triple(names, cover, span)
+        named[cover] = _triple(names, cover, span, 2 * span)
         names, span = named, span * 3
-        if 2 * span >= length - 2:
-            break
-    # Two names that overlap span all but 2 to 4 bytes of a window.
-    step = max(0, (length - 2 - span) // 3 * 3)
+    # A last triple, whose names overlap, spans all but 2 to 4 bytes of a window.
+    step = (length - 2 - span) // 3 * 3
     rest = length - step - span
-    bits = np.uint64(max(1, int(names.max()).bit_length()))
-    pair = names << bits | np.concatenate([names[step:], np.zeros(step, np.uint64)])
     final = np.zeros(len(text) + 2, np.uint64)
-    final[cover] = _ranks(pair[cover])
+    final[cover] = _triple(names, cover, min(step, span), step)
 
     def bytes_at(p: np.ndarray, n: int) -> np.ndarray:
         out = np.zeros(len(p), np.uint64)
