@@ -48,6 +48,13 @@ def unboxed(columns: list[str]) -> list[Column]:
     return [F.col(f"_box.`{c}`").alias(c) for c in columns]
 
 
+def free_name(columns: list[str], name: str = "_text") -> str:
+    """``name``, made longer until no column has it in any case."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z become a-z, everything else stays; null becomes the empty text."""
     return F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyground.llm.chunks import slices
-from skyground.llm.common import others
+from skyground.llm.common import free_name, others
 
 DIMS = 1024
 N = 3
@@ -197,7 +197,7 @@ def predict(docs: DataFrame, learnt: dict[str, np.ndarray], n: int = N) -> DataF
             )
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in carried)
-    return docs.select(*carried, F.col("text").alias("_text")).mapInArrow(
+    return docs.select(*carried, F.col("text").alias(free_name(carried))).mapInArrow(
         run, f"{kinds}, lang_pred string, score double"
     )
 

@@ -30,7 +30,7 @@ from sentencepiece import sentencepiece_model_pb2 as pb
 from tokenizers import Regex, Tokenizer, models, normalizers
 
 from skyground.llm.chunks import ChunkCache, encode_lists, slices
-from skyground.llm.common import others
+from skyground.llm.common import free_name, others
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
@@ -202,7 +202,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
                 )
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in carried)
-    return docs.select(*carried, F.col("text").alias("_text")).mapInArrow(
+    return docs.select(*carried, F.col("text").alias(free_name(carried))).mapInArrow(
         run, f"{kinds}, ids array<int>, parity boolean"
     )
 
@@ -215,14 +215,14 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
         codec = piece_codec(model)
         for batch in batches:
             texts = [
-                None if x is None else codec.decode(x.values.to_numpy()) for x in batch.column(len(carried))
+                codec.decode(x.values.to_numpy()) if x.is_valid else None for x in batch.column(len(carried))
             ]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(texts, pa.string())], names=[*carried, "decoded"]
             )
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema if f.name in carried)
-    return encoded.select(*carried, F.col("ids").alias("_ids")).mapInArrow(run, f"{kinds}, decoded string")
+    return encoded.select(*carried, F.col("ids").alias(free_name(carried))).mapInArrow(run, f"{kinds}, decoded string")
 
 
 def digests(docs: DataFrame, model: str) -> DataFrame:
