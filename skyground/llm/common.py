@@ -26,6 +26,8 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch(df.sparkSession, name)
     df.write.option("compression", "zstd").mode("overwrite").parquet(path)
+    # The shuffle files of the job just done go with its objects, not some time later.
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -466,9 +466,15 @@ def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     crowd = max(1, math.ceil(total / TOGETHER))
     lists = staged(_lists(docs, common, n, percent, crowd), "lists")
     crowded = lists.filter("kind = 1").select("gram", F.col("u").alias("node"), "size", "at")
-    # Each set of a long list meets one hub of about its size: the smallest node of the list and size class.
+    # Each set of a long list meets one hub of about its size. The set with the most n-grams in long lists is
+    # the least changed of its kind, and so the likeliest to reach the others.
     class_of = F.floor(F.log("size") / math.log(100 / percent))
-    hubs = crowded.groupBy("gram", class_of.alias("c")).agg(F.min("node").alias("hub"))
+    weights = crowded.groupBy("node").agg(F.count("*").alias("weight"))
+    hubs = (
+        crowded.join(weights.hint("merge"), "node")
+        .groupBy("gram", class_of.alias("c"))
+        .agg(F.max(F.struct("weight", "node"))["node"].alias("hub"))
+    )
     stars = (
         crowded.withColumn("c", F.explode(F.array(class_of, class_of - 1)))
         .join(hubs.hint("merge"), ["gram", "c"])
@@ -540,7 +546,7 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
 def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """One document of each class, with its columns: the one with the smallest id (null last); of several
     with that id the one with the smallest hash, and one of rows that repeat it."""
-    rows = staged(numbered(docs.select("doc_id", "text", boxed(docs.columns))), "numbered")
+    rows = numbered(docs.select("doc_id", "text", boxed(docs.columns)))
     found = classes(rows.select("_row", "doc_id", "text"), n, percent)
     first = found.groupBy("_class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "_row")).alias("k"))
     kept = rows.join(first.select("k._row").hint("merge"), "_row", "left_semi")
