@@ -19,8 +19,8 @@ def schedulable_airports(airports: DataFrame) -> DataFrame:
     )
 
 
-def first_by_name(airports: DataFrame, limit: int | None = 500) -> DataFrame:
-    """The first airports by name, unnamed ones first, code as tie-break."""
+def first_by_name(airports: DataFrame, limit: int | None = None) -> DataFrame:
+    """The first airports by name, unnamed ones first, code as tie-break; all of them without a limit."""
     ordered = airports.orderBy(F.col("name").asc_nulls_first(), F.col("iata_code").asc())
     return airports if limit is None else ordered.limit(limit)
 
@@ -32,6 +32,7 @@ def normalize_airports(airports: DataFrame) -> DataFrame:
     """
     elevation = F.col("elevation_ft").try_cast("int")
     usable = airports.filter(F.col("elevation_ft").isNull() | elevation.isNotNull())
+    # The default labels.
     unknown = F.lit("Unknown")
     return conform(
         usable.select(
@@ -53,8 +54,8 @@ def drop_null_island(airports: DataFrame) -> DataFrame:
     return airports.filter(~((F.col("lat") == 0.0) & (F.col("lon") == 0.0)))
 
 
-def select_airports(airports: DataFrame, limit: int | None = 500) -> DataFrame:
-    """Schedulable airports, the first ``limit`` by name, normalised.
+def select_airports(airports: DataFrame, limit: int | None = None) -> DataFrame:
+    """Schedulable airports, all or the first ``limit`` by name, normalised.
 
     The limit counts rows before normalisation, so fewer may remain.
     """

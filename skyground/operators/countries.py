@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from skyground.functions import variant as V
 from skyground.schemas import GEOGRAPHY_COUNTRIES, conform
 
+# Fixed value: the least number of countries to take places from.
 MIN_TARGETS = 10
 
 
@@ -36,11 +37,13 @@ def listed_codes(items: DataFrame) -> DataFrame:
 def target_countries(api: DataFrame, known: DataFrame, minimum: int = MIN_TARGETS) -> DataFrame:
     """Known codes of the listing in its order, then further known codes up to ``minimum``.
 
-    ``api`` is one listing cut to a small limit and ``known`` the allow-list, so
-    the window that numbers the result sees a few dozen rows at most.
+    A code that is listed more than once counts where it comes first. What is numbered are codes of
+    the allow-list ``known``, so its window sees a few dozen rows however long the listings are.
     """
-    matched = api.join(F.broadcast(known), "country_code").select(
-        "country_code", F.lit(True).alias("is_match"), F.col("api_pos").cast("int").alias("pos")
+    matched = (
+        api.join(F.broadcast(known), "country_code")
+        .groupBy("country_code")
+        .agg(F.lit(True).alias("is_match"), F.min("api_pos").cast("int").alias("pos"))
     )
     fill = known.join(api, "country_code", "left_anti").select(
         "country_code", F.lit(False).alias("is_match"), F.col("known_pos").alias("pos")

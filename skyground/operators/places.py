@@ -7,14 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from skyground.functions import variant as V
 from skyground.schemas import GEOGRAPHY_PLACES, conform
 
-# --- fixed values: names of the ranges below each population -----------------
+# Fixed value: the type of places that count.
 CITY = "CITY"
-PLACES_PER_COUNTRY = 10
-POPULATION_STEPS = [(100_000, "Small"), (500_000, "Medium"), (2_000_000, "Large")]
-LARGEST_POPULATION = "Metropolitan"
-ELEVATION_STEPS = [(1_000, "Small"), (100_000, "Medium"), (1_000_000, "Large")]
-LARGEST_ELEVATION = "Very High"
-# ------------------------------------------------------------------------------
 
 
 def country_places(landing: DataFrame, targets: DataFrame) -> DataFrame:
@@ -50,24 +44,23 @@ def _spoils_document(item: Column) -> Column:
 def parse_places(
     landing: DataFrame,
     extraction_timestamp: Column,
-    limit: int = PLACES_PER_COUNTRY,
+    limit: int | None = None,
     scope: str = "document",
 ) -> DataFrame:
     """Cities of the landed documents, plus ``reject_reason`` (NULL = accepted).
 
-    ``landing`` has the requested ``country_code`` and ``payload``, one document
-    per country. The first ``limit`` items count, then only cities. With scope
+    ``landing`` has the requested ``country_code`` and ``payload``; a country may have many
+    documents. All items of a document count, or its first ``limit``, then only cities. With scope
     ``document`` one bad item drops all cities of its document (``bad_document``),
     with scope ``row`` only itself (``bad_item``). An id or population that is no
     int drops its row in both (``bad_cast``).
 
-    The check looks at no more than ``limit`` items within a document, so it
-    needs no join or shuffle.
+    The check looks at the items of one document, so it needs no join or shuffle.
     """
     if scope not in ("document", "row"):
         raise ValueError(f"scope must be 'document' or 'row', not {scope!r}")
-    first = F.slice(V.items(V.document("payload"), "$.data"), 1, limit)
-    docs = landing.withColumn("items", first).drop("payload")
+    items = V.items(V.document("payload"), "$.data")
+    docs = landing.withColumn("items", items if limit is None else F.slice(items, 1, limit)).drop("payload")
     if scope == "document":
         docs = docs.withColumn("spoilt", F.exists("items", _spoils_document))
     rows = docs.select("*", F.explode("items").alias("item")).drop("items")
@@ -109,12 +102,28 @@ def rejected_places(parsed: DataFrame) -> DataFrame:
     )
 
 
-def _step(value: Column, steps: list[tuple[int, str]], last: str) -> Column:
-    """The name of the first step the value is below."""
-    name = F.lit(last)
-    for limit, label in reversed(steps):
-        name = F.when(value < limit, label).otherwise(name)
-    return F.when(value.isNull(), "Unknown").otherwise(name)
+# --- fixed values: the ranges of population behind both categories ----------
+def population_category(population: Column) -> Column:
+    return (
+        F.when(population.isNull(), "Unknown")
+        .when(population < 100_000, "Small")
+        .when(population < 500_000, "Medium")
+        .when(population < 2_000_000, "Large")
+        .otherwise("Metropolitan")
+    )
+
+
+def elevation_category(population: Column) -> Column:
+    return (
+        F.when(population.isNull(), "Unknown")
+        .when(population < 1_000, "Small")
+        .when(population < 100_000, "Medium")
+        .when(population < 1_000_000, "Large")
+        .otherwise("Very High")
+    )
+
+
+# ------------------------------------------------------------------------------
 
 
 def enrich_places(places: DataFrame) -> DataFrame:
@@ -127,8 +136,8 @@ def enrich_places(places: DataFrame) -> DataFrame:
     return conform(
         places.select(
             *places.columns,
-            _step(population, POPULATION_STEPS, LARGEST_POPULATION).alias("population_category"),
-            _step(population, ELEVATION_STEPS, LARGEST_ELEVATION).alias("elevation_category"),
+            population_category(population).alias("population_category"),
+            elevation_category(population).alias("elevation_category"),
             F.when(latitude > 0, "Northern").when(latitude < 0, "Southern").otherwise("Equatorial").alias("hemisphere"),
             F.to_date("extraction_timestamp").alias("extraction_date"),
         ),
@@ -142,19 +151,17 @@ def largest_request(
     place_type: str = CITY,
     min_population: int = 10000,
     descending: bool = False,
-    limit: int = 1000,
+    limit: int | None = None,
 ) -> DataFrame:
     """What the general list asks the service for: one type, a minimum population, sorted by it.
 
-    The limit is the highest offset a listing may reach; Spark keeps that many
-    rows per task instead of sorting the table.
+    With a limit Spark keeps that many rows per task instead of sorting the table.
     """
     population = F.col("population")
-    return (
-        places.filter((F.col("place_type") == place_type) & (population >= min_population))
-        .orderBy(population.desc() if descending else population.asc(), F.col("place_id").asc())
-        .limit(limit)
+    ordered = places.filter((F.col("place_type") == place_type) & (population >= min_population)).orderBy(
+        population.desc() if descending else population.asc(), F.col("place_id").asc()
     )
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def parse_place_list(items: DataFrame, extraction_timestamp: Column) -> DataFrame:

@@ -85,7 +85,7 @@ def failed_weather(parsed: DataFrame, *key: str) -> DataFrame:
     return parsed.filter(F.col("outcome") != "ok").select(*key, "outcome")
 
 
-def fetched_for(airports: DataFrame, landing: DataFrame, *, few_airports: bool) -> DataFrame:
+def fetched_for(airports: DataFrame, landing: DataFrame, *, few_airports: bool = False) -> DataFrame:
     """Landed weather documents of the given airports, airport columns alongside.
 
     Joining before parsing means only wanted documents are parsed. Set

@@ -11,6 +11,8 @@ from skyground.operators import quality as Q
 from skyground.plans.flights import run_flights
 from skyground.plans.geography import run_geography
 from skyground.plans.weather import run_weather
+from skyground.schemas import CURRENT_FLIGHTS, CURRENT_WEATHER, GEOGRAPHY_PLACES
+from skyground.sources.tables import read_table
 
 
 def run_daily(
@@ -24,19 +26,24 @@ def run_daily(
     place_documents: DataFrame,
     run_at: dt.datetime,
     compact_flights: bool = False,
+    few_airports: bool = False,
+    replace: bool = False,
+    fmt: str = "parquet",
 ) -> DataFrame:
     """Write the four tables below ``out`` and return the gate rows of the day.
 
-    Running a day again replaces it. Call :func:`skyground.operators.quality.enforce`
+    A run appends; with ``replace`` it writes the days it holds anew. A day without rows gives
+    gates that fail, whether or not the tables held anything before. Call :func:`skyground.operators.quality.enforce`
     on the result to stop on a failed gate.
     """
     stamp = utc_timestamp(run_at)
-    run_flights(states, f"{out}/current_flights", compact=compact_flights)
-    run_weather(airports, weather, stamp, f"{out}/current_weather")
-    run_geography(country_pages, place_documents, stamp, f"{out}/geography_places", f"{out}/geography_countries")
+    how = {"replace": replace, "fmt": fmt}
+    run_flights(states, f"{out}/current_flights", compact=compact_flights, **how)
+    run_weather(airports, weather, stamp, f"{out}/current_weather", few_airports=few_airports, **how)
+    run_geography(country_pages, place_documents, stamp, f"{out}/geography_places", f"{out}/geography_countries", **how)
     day = run_at.astimezone(dt.timezone.utc).date()
     return (
-        Q.gate_flights(spark.read.parquet(f"{out}/current_flights"), day)
-        .unionByName(Q.gate_weather(spark.read.parquet(f"{out}/current_weather"), day))
-        .unionByName(Q.gate_places(spark.read.parquet(f"{out}/geography_places"), day))
+        Q.gate_flights(read_table(spark, f"{out}/current_flights", CURRENT_FLIGHTS, fmt), day)
+        .unionByName(Q.gate_weather(read_table(spark, f"{out}/current_weather", CURRENT_WEATHER, fmt), day))
+        .unionByName(Q.gate_places(read_table(spark, f"{out}/geography_places", GEOGRAPHY_PLACES, fmt), day))
     )

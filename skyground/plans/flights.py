@@ -24,9 +24,15 @@ def flights_table(landing: DataFrame) -> DataFrame:
 
 
 def run_flights(
-    landing: DataFrame, table: str, *, rejects: str | None = None, replace: bool = True, compact: bool = False
+    landing: DataFrame,
+    table: str,
+    *,
+    rejects: str | None = None,
+    replace: bool = False,
+    compact: bool = False,
+    fmt: str = "parquet",
 ) -> FlightsRun:
-    """Write the day table, and the rejected states to ``rejects`` if there are any.
+    """Append to the day table, or replace its days on request, and write the rejected states to ``rejects`` if there are any.
 
     Rejects are counted while the table is written. The landing is parsed a
     second time only when there is something to write to ``rejects``. With
@@ -39,9 +45,9 @@ def run_flights(
         seen, *[F.count_if(F.col("reject_reason") == reason).alias(reason) for reason in REASONS]
     )
     flights = conform(O.enrich_flights(O.accepted_states(counted)), CURRENT_FLIGHTS)
-    written = (replace_day if replace else append_by_day)(flights, table, compact=compact)
+    written = (replace_day if replace else append_by_day)(flights, table, compact=compact, fmt=fmt)
     rejected = {reason: seen.get[reason] for reason in REASONS}
     if rejects and any(rejected.values()):
         dropped = O.rejected_states(parsed).withColumn("extraction_date", F.to_date("extraction_timestamp"))
-        (replace_day if replace else append_by_day)(dropped, rejects, compact=compact)
+        (replace_day if replace else append_by_day)(dropped, rejects, compact=compact, fmt=fmt)
     return FlightsRun(written, rejected)

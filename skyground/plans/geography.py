@@ -9,22 +9,20 @@ from skyground.schemas import known_countries
 from skyground.sources.pages import assemble_pages
 from skyground.sources.tables import append_by_day, replace_day
 
-COUNTRIES_PER_RUN = 15
 
-
-def country_items(pages: DataFrame, limit: int = COUNTRIES_PER_RUN) -> DataFrame:
+def country_items(pages: DataFrame, limit: int | None = None) -> DataFrame:
     """Items of the country listing; feeds both the table and the choice of targets."""
-    return assemble_pages(pages, page_size=10, max_offset=200, limit=limit)
+    return assemble_pages(pages, page_size=10, limit=limit)
 
 
-def countries_table(pages: DataFrame, extraction_timestamp: Column) -> DataFrame:
-    """The ``geography_countries`` relation."""
-    return C.parse_countries(country_items(pages), extraction_timestamp)
+def countries_table(items: DataFrame, extraction_timestamp: Column) -> DataFrame:
+    """The ``geography_countries`` relation of the listing's items."""
+    return C.parse_countries(items, extraction_timestamp)
 
 
-def targets(pages: DataFrame) -> DataFrame:
-    """The countries to take places from; ``pages`` are those of one run."""
-    return C.target_countries(C.listed_codes(country_items(pages)), known_countries(pages.sparkSession))
+def targets(items: DataFrame) -> DataFrame:
+    """The countries to take places from; ``items`` are those of one run's listing."""
+    return C.target_countries(C.listed_codes(items), known_countries(items.sparkSession))
 
 
 def places_table(documents: DataFrame, wanted: DataFrame, extraction_timestamp: Column) -> DataFrame:
@@ -40,11 +38,19 @@ def run_geography(
     places: str,
     countries: str,
     *,
-    replace: bool = True,
+    replace: bool = False,
+    fmt: str = "parquet",
 ) -> tuple[int, int]:
-    """Write both day tables; returns their numbers of rows."""
+    """Append to both day tables, or replace their days on request; returns their numbers of rows.
+
+    The listing is put together once for both.
+    """
     write = replace_day if replace else append_by_day
-    return (
-        write(places_table(documents, targets(pages), extraction_timestamp), places),
-        write(countries_table(pages, extraction_timestamp), countries),
-    )
+    items = country_items(pages).persist()
+    try:
+        return (
+            write(places_table(documents, targets(items), extraction_timestamp), places, fmt=fmt),
+            write(countries_table(items, extraction_timestamp), countries, fmt=fmt),
+        )
+    finally:
+        items.unpersist()

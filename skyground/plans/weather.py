@@ -9,25 +9,36 @@ from skyground.operators.fetches import fetch_outcomes
 from skyground.sources.tables import append_by_day, replace_day
 
 
-def parsed_weather(airports: DataFrame, landing: DataFrame, *, few_airports: bool = True) -> DataFrame:
+def parsed_weather(airports: DataFrame, landing: DataFrame, *, few_airports: bool = False) -> DataFrame:
     """Parsed documents of the selected airports with their outcome."""
     return O.parse_weather(O.fetched_for(airports, landing, few_airports=few_airports))
 
 
 def weather_table(
-    airports: DataFrame, landing: DataFrame, extraction_timestamp: Column, *, few_airports: bool = True
+    airports: DataFrame, landing: DataFrame, extraction_timestamp: Column, *, few_airports: bool = False
 ) -> DataFrame:
     """The ``current_weather`` relation."""
     return O.airport_weather(parsed_weather(airports, landing, few_airports=few_airports), extraction_timestamp)
 
 
-def weather_outcomes(airports: DataFrame, landing: DataFrame, *, few_airports: bool = True) -> DataFrame:
+def weather_outcomes(airports: DataFrame, landing: DataFrame, *, few_airports: bool = False) -> DataFrame:
     """How the fetches of the selected airports ended."""
     return fetch_outcomes(parsed_weather(airports, landing, few_airports=few_airports))
 
 
 def run_weather(
-    airports: DataFrame, landing: DataFrame, extraction_timestamp: Column, table: str, *, replace: bool = True
+    airports: DataFrame,
+    landing: DataFrame,
+    extraction_timestamp: Column,
+    table: str,
+    *,
+    replace: bool = False,
+    few_airports: bool = False,
+    fmt: str = "parquet",
 ) -> int:
-    """Write the day table; returns the number of rows."""
-    return (replace_day if replace else append_by_day)(weather_table(airports, landing, extraction_timestamp), table)
+    """Append to the day table, or replace its days on request; returns the number of rows.
+
+    ``few_airports`` asks for a broadcast of the airports, for callers who bound their number.
+    """
+    weather = weather_table(airports, landing, extraction_timestamp, few_airports=few_airports)
+    return (replace_day if replace else append_by_day)(weather, table, fmt=fmt)

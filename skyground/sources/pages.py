@@ -2,46 +2,101 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from skyground.functions import variant as V
 
 
+def _answers(pages: DataFrame, listing: str, max_offset: int | None) -> DataFrame:
+    """One row per listing and offset: its latest good answer, or any other where no good one landed.
+
+    ``status`` is ``ok``, ``failed`` (another status than 200 and 429), ``unanswered`` (only 429 or none)
+    or ``not_json`` (no JSON object). ``fetched_at`` orders answers where the pages have it.
+    """
+    if "http_status" not in pages.columns:
+        pages = pages.withColumn("http_status", F.lit(200))
+    if "fetched_at" not in pages.columns:
+        pages = pages.withColumn("fetched_at", F.lit(None).cast("timestamp"))
+    if max_offset is not None:
+        pages = pages.filter(F.col("page_offset") < max_offset)
+    code = F.coalesce("http_status", F.lit(429))
+    document = V.document("payload")
+    status = (
+        F.when(code == 429, "unanswered")
+        .when(code != 200, "failed")
+        .when(F.coalesce(V.is_object(document), F.lit(False)), "ok")
+        .otherwise("not_json")
+    )
+    judged = pages.withColumn("status", status)
+    # A refusal counts only where nothing else ever came.
+    order = F.struct(
+        (F.col("status") == "ok").alias("good"), (F.col("status") != "unanswered").alias("came"), "fetched_at", "payload"
+    )
+    others = [c for c in pages.columns if c not in (listing, "page_offset", "payload", "http_status", "fetched_at")]
+    answer = F.struct("payload", "status", *others)
+    best = judged.groupBy(listing, "page_offset").agg(F.max_by(answer, order).alias("answer"))
+    return best.select(listing, "page_offset", "answer.*")
+
+
+def _with_sizes(answers: DataFrame) -> DataFrame:
+    items = V.items(V.document("payload"), "$.data")
+    return answers.withColumn("items", F.when(F.col("status") == "ok", items)).withColumn(
+        "size", F.coalesce(F.size("items"), F.lit(0))
+    )
+
+
+def _listings(answers: DataFrame, page_size: int, listing: str) -> DataFrame:
+    """Where each listing stops, and why it is void if it is; page headers are all this reads.
+
+    All pages before the stop are full, so their number says whether one is missing.
+    """
+    heads = answers.select(listing, "page_offset", "status", "size")
+    short = (F.col("status") == "ok") & (F.col("size") < page_size)
+    stops = heads.groupBy(listing).agg(F.min(F.when(short, F.col("page_offset"))).alias("stop"))
+    before = F.col("stop").isNull() | (F.col("page_offset") < F.col("stop"))
+    ends = heads.join(stops, listing).groupBy(listing, "stop").agg(
+        F.min(F.when(before & (F.col("status") != "ok"), F.struct("page_offset", "status"))).alias("bad"),
+        F.count_if(before & (F.col("status") == "ok")).alias("full"),
+        F.max("page_offset").alias("last"),
+    )
+    expected = F.coalesce(F.col("stop"), F.col("last") + page_size)
+    reason = F.coalesce(F.col("bad.status"), F.when(F.col("full") * page_size != expected, "gap"))
+    return ends.select(listing, "stop", reason.alias("void_reason"))
+
+
 def assemble_pages(
     pages: DataFrame,
     *,
     page_size: int = 10,
-    max_offset: int = 200,
-    limit: int = 100,
+    max_offset: int | None = None,
+    limit: int | None = None,
     listing: str = "listing",
 ) -> DataFrame:
-    """Items of each listing in order, as (listing columns, page_offset, pos, item).
+    """Items of each whole listing in order, as (listing columns, page_offset, pos, item).
 
-    Pages at or past ``max_offset`` or ``limit`` are not part of a listing. Reading
-    stops at the first page with fewer than ``page_size`` items, which still counts
-    unless it is empty. A page whose ``http_status`` is
-    there and not 200 voids its listing when it comes before that stop; a 429
-    does not, because the same page is fetched again.
+    A listing ends with its first page of fewer than ``page_size`` items, which still counts unless it is
+    empty. Each offset is read once, by its latest good answer. A page before the end that failed, that was never
+    answered, that is no JSON object, or that never landed makes its listing void: none of its items come out, and
+    :func:`void_listings` names it. ``max_offset`` and ``limit`` cut every listing, by default nothing does.
 
-    A listing has at most ``max_offset / page_size`` pages, so its window is small
-    however many listings there are. Both windows share one shuffle on ``listing``.
+    No window holds the items of a listing: all pages before its end are full, so an item's
+    place is its page's offset and its place there.
     """
-    if "http_status" not in pages.columns:
-        pages = pages.withColumn("http_status", F.lit(200))
-    answered = pages.filter((F.col("page_offset") < min(max_offset, limit)) & (F.coalesce("http_status", F.lit(0)) != 429)).select(
-        "*", V.items(V.document("payload"), "$.data").alias("items")
-    )
-    before = Window.partitionBy(listing).orderBy("page_offset").rowsBetween(Window.unboundedPreceding, -1)
-    size = F.coalesce(F.size("items"), F.lit(0))
-    reached = answered.withColumn("stopped", F.coalesce(F.max(size < page_size).over(before), F.lit(False))).filter(
-        ~F.col("stopped")
+    # A page that begins at the limit or beyond would not be asked for.
+    asked = [x for x in (max_offset, limit) if x is not None]
+    answers = _with_sizes(_answers(pages, listing, min(asked, default=None)))
+    ends = _listings(answers, page_size, listing).filter(F.col("void_reason").isNull())
+    reached = answers.join(ends.select(listing, "stop"), listing).filter(
+        F.col("stop").isNull() | (F.col("page_offset") <= F.col("stop"))
     )
-    whole = reached.withColumn(
-        "failed",
-        F.max(F.coalesce("http_status", F.lit(0)) != 200).over(Window.partitionBy(listing)),
-    ).filter(~F.col("failed"))
-    items = whole.drop("payload", "http_status", "stopped", "failed").select(
-        "*", F.posexplode("items").alias("pos", "item")
-    ).drop("items")
-    rank = F.row_number().over(Window.partitionBy(listing).orderBy("page_offset", "pos"))
-    return items.withColumn("rank", rank).filter(F.col("rank") <= limit).drop("rank")
+    items = reached.drop("payload", "status", "size", "stop").select("*", F.posexplode("items").alias("pos", "item"))
+    items = items.drop("items")
+    return items if limit is None else items.filter(F.col("page_offset") + F.col("pos") < limit)
+
+
+def void_listings(
+    pages: DataFrame, *, page_size: int = 10, max_offset: int | None = None, listing: str = "listing"
+) -> DataFrame:
+    """Listings that are not whole, with ``void_reason``: ``failed``, ``unanswered``, ``not_json`` or ``gap``."""
+    answers = _with_sizes(_answers(pages, listing, max_offset))
+    return _listings(answers, page_size, listing).filter(F.col("void_reason").isNotNull()).select(listing, "void_reason")

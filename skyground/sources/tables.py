@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 DAY = "extraction_date"
 
@@ -22,6 +23,11 @@ def _counted(df: DataFrame, compact: bool) -> tuple[DataFrame, Observation]:
     return balanced.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
+def read_table(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """The table at ``path``; no rows where nothing was ever written to it."""
+    return spark.read.schema(schema).format(fmt).load(path)
+
+
 def append_by_day(df: DataFrame, path: str, *, fmt: str = "parquet", compact: bool = False) -> int:
     """Append to the table at ``path`` by day; returns the number of rows written."""
     out, seen = _counted(df, compact)

@@ -2,51 +2,83 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from skyground.operators.flights import accepted_states, enrich_flights, parse_states
 from skyground.schemas import CURRENT_FLIGHTS, LANDING, conform
+from skyground.sources.tables import DAY, append_by_day, read_table
 
-DEDUP_KEY = ["icao24", "last_contact"]
+MAX_FILES = 1000
 
 
 def landing_stream(
-    spark: SparkSession, path: str, schema: StructType = LANDING, fmt: str = "parquet", max_files: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: StructType = LANDING,
+    fmt: str = "parquet",
+    max_files: int | None = MAX_FILES,
 ) -> DataFrame:
-    """New landing files as they arrive."""
+    """New landing files as they arrive, at most ``max_files`` in a batch."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)
 
 
-def flights_stream(landing: DataFrame, delay: str = "2 days") -> DataFrame:
-    """Parsed and enriched flights; a state that was landed twice comes out once.
+def flights_stream(landing: DataFrame) -> DataFrame:
+    """Parsed and enriched flights; nothing is dropped for being late."""
+    return conform(enrich_flights(accepted_states(parse_states(landing))), CURRENT_FLIGHTS)
 
-    The watermark is on ``extraction_timestamp``, which every row has;
-    ``time_position`` may be NULL. ``delay`` bounds how far apart two copies of
-    a state may be, and how late a file may arrive without its rows being
-    dropped, so choose it above the longest outage. State is one row per key
-    within the delay.
+
+def state_key() -> Column:
+    """What makes two rows copies of one state: all that was parsed or derived, and the time of the snapshot only
+    where no contact time or aircraft tells them apart."""
+    same = [name for name in CURRENT_FLIGHTS.fieldNames() if name != "extraction_timestamp"]
+    unknown = F.col("icao24").isNull() | F.col("last_contact").isNull()
+    snapshot = F.when(unknown, F.col("extraction_timestamp").cast("string"))
+    return F.sha2(F.to_json(F.struct(*same, snapshot.alias("snapshot")), {"ignoreNullFields": "false"}), 256)
+
+
+def _append_new(table: str, fmt: str):
+    """Append a batch without copies in itself or of rows the table has for the same days.
+
+    A batch that runs again after a failure finds its rows in the table, so nothing is written twice; rows
+    are never lost, however late they are.
     """
-    flights = accepted_states(parse_states(landing))
-    once = flights.withWatermark("extraction_timestamp", delay).dropDuplicatesWithinWatermark(DEDUP_KEY)
-    return conform(enrich_flights(once), CURRENT_FLIGHTS)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fresh = batch.withColumn("_key", state_key()).dropDuplicates([DAY, "_key"]).persist()
+        try:
+            # Days, not rows: they limit what is read of the table.
+            days = [row[DAY] for row in fresh.select(DAY).distinct().collect()]
+            if not days:
+                return
+            try:
+                there = read_table(spark, table, CURRENT_FLIGHTS, fmt).filter(F.col(DAY).isin(days))
+                fresh_rows = fresh.join(there.select(DAY, state_key().alias("_key")), [DAY, "_key"], "left_anti")
+            except AnalysisException as missing:
+                if missing.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                fresh_rows = fresh
+            append_by_day(conform(fresh_rows, CURRENT_FLIGHTS), table, fmt=fmt)
+        finally:
+            fresh.unpersist()
+
+    return write
 
 
 def ingest(flights: DataFrame, table: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
     """Append everything that has arrived to the day table, then stop.
 
-    The checkpoint holds the offsets, the dedup state and the sink's log, so a
-    restart, after a failure or the next day, goes on where the last run ended.
+    The table is an ordinary one: batch runs may append to it as well. The checkpoint holds the
+    offsets, so a restart, after a failure or the next day, goes on where the last run ended.
     """
     return (
-        flights.writeStream.format(fmt)
-        .outputMode("append")
-        .partitionBy("extraction_date")
-        .option("path", table)
+        flights.writeStream.foreachBatch(_append_new(table, fmt))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

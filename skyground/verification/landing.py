@@ -13,8 +13,9 @@ from skyground.operators.spatial import nearby_places
 from skyground.verification import adapters as A
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
-# A country document holds more items than the parser may use.
-ITEMS_PER_COUNTRY = 20
+# Places of a country whose ids fall into one range share a document, so that documents stay small.
+IDS_PER_DOCUMENT = 300
+IDS_PER_LISTING = 150
 
 
 def _quoted(value: str) -> Column:
@@ -100,23 +101,24 @@ def _place(population: Column) -> Column:
 
 
 def country_documents(places: DataFrame) -> DataFrame:
-    """The first places of each country by id; Spark cuts to them before the shuffle."""
-    rank = F.row_number().over(Window.partitionBy("country_code").orderBy("place_id"))
-    first = places.withColumn("rank", rank).filter(F.col("rank") <= ITEMS_PER_COUNTRY)
+    """All places of each country, in as many small documents as that takes."""
+    chunked = places.withColumn("chunk", F.expr(f"place_id div {IDS_PER_DOCUMENT}"))
     # Explicit nulls stay; a missing population has no key at all.
     full = F.to_json(_place(F.col("population")), KEEP_NULLS)
     bare = F.to_json(_place(F.col("population")).dropFields("population"), KEEP_NULLS)
-    return _documents(first, ["country_code"], "rank", F.when(F.col("population_missing"), bare).otherwise(full))
+    documents = _documents(
+        chunked, ["country_code", "chunk"], "place_id", F.when(F.col("population_missing"), bare).otherwise(full)
+    )
+    return documents.drop("chunk")
 
 
 def place_pages(places: DataFrame) -> DataFrame:
-    """The general place list in pages of 10, as the service would cut it."""
-    asked = largest_request(places)
-    # At most as many rows as the largest offset.
-    at = F.row_number().over(Window.orderBy("population", "place_id")) - 1
+    """General place lists in pages of 10, as the service would cut them; one list per range of ids."""
+    asked = largest_request(places).withColumn("listing", F.expr(f"place_id div {IDS_PER_LISTING}").cast("string"))
+    at = F.row_number().over(Window.partitionBy("listing").orderBy("population", "place_id")) - 1
     numbered = asked.withColumn("at", at).withColumn("page_offset", F.floor(F.col("at") / 10).cast("int") * 10)
     item = F.to_json(_place(F.col("population")), KEEP_NULLS)
-    return _documents(numbered.withColumn("listing", F.lit("places")), ["listing", "page_offset"], "at", item)
+    return _documents(numbered, ["listing", "page_offset"], "at", item)
 
 
 def nearby_documents(places: DataFrame, airports: DataFrame) -> DataFrame:
@@ -133,7 +135,7 @@ def nearby_documents(places: DataFrame, airports: DataFrame) -> DataFrame:
         ),
         KEEP_NULLS,
     )
-    near = nearby_places(places, airports, few_airports=True)
+    near = nearby_places(places, airports)
     return _documents(near, ["airport_iata_code"], "rank", item)
 
 

@@ -53,8 +53,8 @@ FROM (SELECT * FROM airports_src
 WHERE NOT (latitude_deg = 0 AND longitude_deg = 0)"""
 
 
-AIRPORTS = ("airports", _airports("LIMIT 500"))
-ALL_AIRPORTS = ("airports", _airports(""))
+FIRST_AIRPORTS = ("airports", _airports("LIMIT 500"))
+AIRPORTS = ("airports", _airports(""))
 
 OUTCOME = """CASE WHEN http_status IN (401, 403) THEN 'auth' WHEN http_status = 429 THEN 'rate_limited'
   WHEN http_status >= 400 THEN 'http_error' WHEN main_is_null THEN 'bad_payload' ELSE 'ok' END"""
@@ -85,9 +85,7 @@ KNOWN = (
 
 CITIES = (
     "cities",
-    """SELECT * FROM (
-  SELECT *, row_number() OVER (PARTITION BY country_code ORDER BY place_id) AS nth FROM places_src
-) WHERE nth <= 10 AND place_type = 'CITY'""",
+    "SELECT *, place_id // 300 AS chunk FROM places_src WHERE place_type = 'CITY'",
 )
 PLACES = (
     "places",
@@ -96,11 +94,11 @@ PLACES = (
   cast(cast(nullif(longitude, 0) AS float) AS double) AS longitude,
   CASE WHEN population_missing THEN 0 ELSE population END AS population,
   cast(NULL AS integer) AS elevation_meters, cast(NULL AS varchar) AS timezone, {RUN_EPOCH} AS extraction_epoch
-FROM cities WHERE country_code NOT IN (SELECT country_code FROM spoilt)""",
+FROM cities WHERE (country_code, chunk) NOT IN (SELECT (country_code, chunk) FROM spoilt)""",
 )
 SPOILT = (
     "spoilt",
-    """SELECT country_code FROM cities WHERE latitude IS NULL OR (population IS NULL AND NOT population_missing)""",
+    """SELECT country_code, chunk FROM cities WHERE latitude IS NULL OR (population IS NULL AND NOT population_missing)""",
 )
 CATEGORISED = (
     "categorised",
@@ -117,7 +115,7 @@ COUNTRIES = (
     "countries",
     f"""SELECT code AS country_code, name AS country_name, first_currency AS currency_code, continent,
   {RUN_EPOCH} AS extraction_epoch, {DAY} AS extraction_date
-FROM countries_src ORDER BY pos LIMIT 15""",
+FROM countries_src""",
 )
 
 
@@ -201,7 +199,23 @@ WANTED = (
   SELECT k.country_code, false, k.known_pos FROM known k WHERE k.country_code NOT IN (SELECT code FROM listed)
 ) QUALIFY is_match OR position <= 10""",
 )
-LISTED = ("listed", "SELECT * FROM countries_src ORDER BY pos LIMIT 15")
+LISTED = ("listed", "SELECT * FROM countries_src")
+
+# Lists of places by range of ids; those with more than two full pages lack the third in some way.
+LANDED_PAGES = (
+    (
+        "listed_items",
+        """SELECT *, cast(place_id // 150 AS varchar) AS listing FROM places_src
+WHERE place_type = 'CITY' AND population >= 10000""",
+    ),
+    (
+        "listed_pages",
+        """SELECT listing, ceil(count(*) / 10.0) AS full_pages,
+  CASE cast(listing AS integer) % 7 WHEN 1 THEN 'failed' WHEN 2 THEN 'unanswered' WHEN 3 THEN 'not_json'
+    WHEN 4 THEN 'gap' END AS reason
+FROM listed_items GROUP BY listing""",
+    ),
+)
 
 PER_DAY = """SELECT extraction_date, count(*) AS flights, count(altitude_ft) AS with_altitude,
   round(sum(velocity_knots), 3) AS sum_knots FROM flights GROUP BY extraction_date"""
@@ -217,7 +231,7 @@ ORACLE: dict[str, str] = {
         f"SELECT * EXCLUDE (extraction_timestamp), {EPOCH} FROM states_src WHERE on_ground = false", STATES_SRC
     ),
     "q04_enrich_flights": _with(f"SELECT * EXCLUDE (extraction_timestamp), {EPOCH} FROM flights", STATES_SRC, FLIGHTS),
-    "q05_airports": _with("SELECT * FROM airports", AIRPORTS_SRC, AIRPORTS),
+    "q05_airports": _with("SELECT * FROM airports", AIRPORTS_SRC, FIRST_AIRPORTS),
     "q06_static_airports": _with(
         """SELECT airport_iata_code, count(*) AS flights, min(distance_km) AS nearest_km, max(distance_km) AS farthest_km
 FROM near GROUP BY airport_iata_code""",
@@ -239,12 +253,13 @@ FROM near GROUP BY airport_iata_code""",
     "q14_place_list": _with(
         f"""SELECT cast(place_id AS integer) AS place_id, place_name, place_type, country_code, cast(NULL AS varchar) AS country_name,
   region, region_code, latitude, longitude, population, {RUN_EPOCH} AS extraction_epoch
-FROM places_src WHERE place_type = 'CITY' AND population >= 10000 ORDER BY population, place_id LIMIT 500""",
+FROM places_src WHERE place_type = 'CITY' AND population >= 10000""",
         PLACES_SRC,
     ),
     "q15_location_key": _with(
-        """SELECT c_custkey, printf('%+.4f%+.4f', latitude_deg, longitude_deg) AS location_key
-FROM airports_src WHERE latitude_deg IS NOT NULL AND longitude_deg IS NOT NULL""",
+        """SELECT c_custkey, printf('%+.4f%+.4f', (c_custkey * 7919 % 18000000) / 100000.0e0 - 90.0e0,
+  (c_custkey * 104729 % 36000000) / 100000.0e0 - 180.0e0) AS location_key
+FROM airports_src""",
         AIRPORTS_SRC,
     ),
     "q16_gate_flights": _with(_gate_flights("flights"), STATES_SRC, FLIGHTS),
@@ -272,9 +287,10 @@ UNION ALL SELECT 'all', bool_and(passed), count(threshold) FROM gates""",
     "q23_day_partitions": _with(PER_DAY, STATES_SRC, FLIGHTS),
     "q24_replace_day": _with(PER_DAY, STATES_SRC, FLIGHTS),
     "q25_stream_ingest": _with(
-        """SELECT origin_country, count(*) AS flights FROM (
-  SELECT DISTINCT icao24, last_contact, origin_country FROM accepted
-) GROUP BY origin_country""",
+        """SELECT icao24, last_contact, origin_country, latitude, longitude, altitude_ft, squawk, extraction_date FROM (
+  SELECT DISTINCT * EXCLUDE (event_id, extraction_timestamp), baro_altitude * 3.28084e0 AS altitude_ft,
+    cast(extraction_timestamp AS date) AS extraction_date FROM accepted
+)""",
         STATES_SRC,
         ACCEPTED,
     ),
@@ -308,9 +324,11 @@ UNION ALL SELECT 'all', bool_and(passed), count(threshold) FROM gates""",
         CATEGORISED,
     ),
     "q29_day_tables": _with(
-        """SELECT 'current_weather' AS dataset, extraction_date, count(*) AS rows FROM weather GROUP BY extraction_date
-UNION ALL SELECT 'geography_places', extraction_date, count(*) FROM categorised GROUP BY extraction_date
-UNION ALL SELECT 'geography_countries', extraction_date, count(*) FROM countries GROUP BY extraction_date""",
+        """SELECT how, dataset, key, text, extraction_date FROM (
+  SELECT 'current_weather' AS dataset, airport_iata_code AS key, airport_name AS text, extraction_date FROM weather
+  UNION ALL SELECT 'geography_places', cast(place_id AS varchar), population_category, extraction_date FROM categorised
+  UNION ALL SELECT 'geography_countries', country_code, country_name, extraction_date FROM countries
+), (VALUES ('appended'), ('appended'), ('replaced')) AS runs(how)""",
         *WEATHER_RELATIONS,
         *PLACES_RELATIONS,
         COUNTRIES_SRC,
@@ -323,7 +341,7 @@ UNION ALL SELECT 'geography_countries', extraction_date, count(*) FROM countries
 FROM weather""",
         *WEATHER_RELATIONS,
     ),
-    "q31_flights_near_all_airports": _with("SELECT * FROM near", STATES_SRC, AIRPORTS_SRC, ALL_AIRPORTS, _near(100)),
+    "q31_flights_near_all_airports": _with("SELECT * FROM near", STATES_SRC, AIRPORTS_SRC, AIRPORTS, _near(100)),
     "q32_airport_outcomes": _with(
         f"""SELECT {OUTCOME} AS outcome, count(*) AS fetches
 FROM airports a JOIN weather_src w ON a.iata_code = w.iata_code GROUP BY outcome""",
@@ -337,7 +355,7 @@ FROM airports a JOIN weather_src w ON a.iata_code = w.iata_code GROUP BY outcome
     "q34_rejected_places": _with(
         f"""SELECT country_code, cast(place_id AS integer) AS place_id, place_name, 'bad_document' AS reject_reason,
   {RUN_EPOCH} AS extraction_epoch
-FROM cities WHERE country_code IN (SELECT country_code FROM spoilt)""",
+FROM cities WHERE (country_code, chunk) IN (SELECT (country_code, chunk) FROM spoilt)""",
         PLACES_SRC,
         CITIES,
         SPOILT,
@@ -345,4 +363,49 @@ FROM cities WHERE country_code IN (SELECT country_code FROM spoilt)""",
     "q35_failed_weather": _with(
         f"SELECT * FROM (SELECT iata_code, {OUTCOME} AS outcome FROM weather_src) WHERE outcome <> 'ok'", WEATHER_SRC
     ),
+    "q36_void_listings": _with(
+        """SELECT listing, reason AS void_reason FROM listed_pages
+WHERE full_pages >= 3 AND reason IS NOT NULL""",
+        PLACES_SRC,
+        *LANDED_PAGES,
+    ),
+    "q37_whole_listings": _with(
+        """SELECT cast(place_id AS integer) AS place_id, place_name, population FROM listed_items JOIN listed_pages USING (listing)
+WHERE full_pages < 3 OR reason IS NULL""",
+        PLACES_SRC,
+        *LANDED_PAGES,
+    ),
+    "q38_empty_day": _with(
+        "\nUNION ALL ".join(
+            [
+                _gate_flights("no_flights"),
+                GATE_WEATHER.replace("FROM weather", "FROM no_weather"),
+                GATE_PLACES.replace("FROM categorised", "FROM no_places"),
+            ]
+        ),
+        *WEATHER_RELATIONS,
+        *PLACES_RELATIONS,
+        ("no_flights", f"SELECT {DAY} AS extraction_date WHERE false"),
+        ("no_weather", "SELECT * FROM weather WHERE false"),
+        ("no_places", "SELECT * FROM categorised WHERE false"),
+    ),
+    "q39_row_counts": _with(
+        """SELECT 'flights' AS dataset, (SELECT count(*) FROM accepted) AS written
+UNION ALL SELECT 'weather', (SELECT count(*) FROM weather)
+UNION ALL SELECT 'places', (SELECT count(*) FROM categorised)
+UNION ALL SELECT 'countries', (SELECT count(*) FROM countries)""",
+        STATES_SRC,
+        ACCEPTED,
+        *WEATHER_RELATIONS,
+        COUNTRIES_SRC,
+        COUNTRIES,
+        LISTED,
+        KNOWN,
+        WANTED,
+        PLACES_SRC,
+        CITIES,
+        SPOILT,
+        (PLACES[0], f"{PLACES[1]} AND country_code IN (SELECT country_code FROM wanted)"),
+        CATEGORISED,
+    ),
 }

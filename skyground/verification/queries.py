@@ -16,7 +16,7 @@ from skyground.plans import daily, flights as PF, geography as PG, weather as PW
 from skyground.schemas import known_countries
 from skyground.session import pin_session, shared_folder
 from skyground.sources.airports import airports_or_static
-from skyground.sources.pages import assemble_pages
+from skyground.sources.pages import assemble_pages, void_listings
 from skyground.sources.tables import append_by_day, replace_day
 from skyground.streaming.ingest import flights_stream, ingest, landing_stream
 from skyground.verification import landing as L
@@ -51,7 +51,7 @@ def _flights(spark: SparkSession, sf: str) -> DataFrame:
     return FL.enrich_flights(L.states(spark, sf))
 
 
-def _airports(spark: SparkSession, sf: str, limit: int | None = 500) -> DataFrame:
+def _airports(spark: SparkSession, sf: str, limit: int | None = None) -> DataFrame:
     return AP.select_airports(L.airports(spark, sf), limit)
 
 
@@ -67,6 +67,10 @@ def _country_pages(spark: SparkSession, sf: str) -> DataFrame:
     return L.country_pages(L.countries(spark, sf))
 
 
+def _country_items(spark: SparkSession, sf: str) -> DataFrame:
+    return PG.country_items(_country_pages(spark, sf))
+
+
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return L.country_documents(L.places(spark, sf))
 
@@ -98,7 +102,7 @@ def q04_enrich_flights(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q05_airports(spark: SparkSession, sf: str) -> DataFrame:
-    return _airports(spark, sf)
+    return _airports(spark, sf, 500)
 
 
 def q06_static_airports(spark: SparkSession, sf: str) -> DataFrame:
@@ -123,11 +127,11 @@ def q09_fetch_outcomes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q10_countries(spark: SparkSession, sf: str) -> DataFrame:
-    return comparable(PG.countries_table(_country_pages(spark, sf), utc_timestamp(RUN_AT)))
+    return comparable(PG.countries_table(_country_items(spark, sf), utc_timestamp(RUN_AT)))
 
 
 def q11_target_countries(spark: SparkSession, sf: str) -> DataFrame:
-    return PG.targets(_country_pages(spark, sf))
+    return PG.targets(_country_items(spark, sf))
 
 
 def q12_parse_places(spark: SparkSession, sf: str) -> DataFrame:
@@ -140,13 +144,18 @@ def q13_enrich_places(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q14_place_list(spark: SparkSession, sf: str) -> DataFrame:
-    items = assemble_pages(L.place_pages(L.places(spark, sf)), page_size=10, max_offset=1000, limit=500)
+    items = assemble_pages(L.place_pages(L.places(spark, sf)), page_size=10)
     return comparable(PL.parse_place_list(items, utc_timestamp(RUN_AT)))
 
 
 def q15_location_key(spark: SparkSession, sf: str) -> DataFrame:
-    placed = L.airports(spark, sf).filter(F.col("latitude_deg").isNotNull() & F.col("longitude_deg").isNotNull())
-    return placed.select("c_custkey", location_key(F.col("latitude_deg"), F.col("longitude_deg")).alias("location_key"))
+    # Five places, so that every second key is a half, or next to one, before it is rounded.
+    fine = L.airports(spark, sf).select(
+        "c_custkey",
+        F.expr("(c_custkey * 7919L % 18000000) / 100000.0d - 90.0d").alias("lat"),
+        F.expr("(c_custkey * 104729L % 36000000) / 100000.0d - 180.0d").alias("lon"),
+    )
+    return fine.select("c_custkey", location_key(F.col("lat"), F.col("lon")).alias("location_key"))
 
 
 def q16_gate_flights(spark: SparkSession, sf: str) -> DataFrame:
@@ -166,12 +175,12 @@ def q19_gate_all(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q20_flights_near_airport(spark: SparkSession, sf: str) -> DataFrame:
-    near = SP.flights_near_airport(L.states(spark, sf), _airports(spark, sf), 200, few_airports=True)
+    near = SP.flights_near_airport(L.states(spark, sf), _airports(spark, sf), 200)
     return near.select("event_id", "icao24", "airport_iata_code", "distance_km")
 
 
 def q21_nearby_places(spark: SparkSession, sf: str) -> DataFrame:
-    return SP.nearby_places(_cities(spark, sf), _airports(spark, sf), 1000, 50, few_airports=True)
+    return SP.nearby_places(_cities(spark, sf), _airports(spark, sf), 1000, 50)
 
 
 def q22_current_flights(spark: SparkSession, sf: str) -> DataFrame:
@@ -205,10 +214,11 @@ def q25_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     landed = _states_landing(spark, sf).drop("event_id")
     for _ in range(2):
         landed.write.mode("append").parquet(f"{folder}/landing")
-        # The delay spans all days of the tables, so no copy and no row counts as late.
-        flights = flights_stream(landing_stream(spark, f"{folder}/landing"), delay="60 days")
+        flights = flights_stream(landing_stream(spark, f"{folder}/landing"))
         ingest(flights, f"{folder}/table", f"{folder}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{folder}/table").groupBy("origin_country").agg(F.count(F.lit(1)).alias("flights"))
+    return spark.read.parquet(f"{folder}/table").select(
+        "icao24", "last_contact", "origin_country", "latitude", "longitude", "altitude_ft", "squawk", "extraction_date"
+    )
 
 
 def q26_parse_nearby(spark: SparkSession, sf: str) -> DataFrame:
@@ -236,23 +246,32 @@ def q28_daily_run(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q29_day_tables(spark: SparkSession, sf: str) -> DataFrame:
+    # Two runs append to the same day; a replaced day then holds one.
     folder = shared_folder(spark, "q29")
-    tables = {
-        "current_weather": _weather(spark, sf),
-        "geography_places": _places(spark, sf),
-        "geography_countries": PG.countries_table(_country_pages(spark, sf), utc_timestamp(RUN_AT)),
-    }
-    counts = None
-    for name, table in tables.items():
-        append_by_day(table, f"{folder}/{name}")
-        rows = (
-            spark.read.parquet(f"{folder}/{name}")
-            .groupBy("extraction_date")
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .select(F.lit(name).alias("dataset"), "extraction_date", "rows")
-        )
-        counts = rows if counts is None else counts.unionByName(rows)
-    return counts
+    for name, write in (("appended", append_by_day), ("replaced", replace_day)):
+        for _ in range(2):
+            write(_weather(spark, sf), f"{folder}/{name}/current_weather")
+            write(_places(spark, sf), f"{folder}/{name}/geography_places")
+            write(
+                PG.countries_table(_country_items(spark, sf), utc_timestamp(RUN_AT)),
+                f"{folder}/{name}/geography_countries",
+            )
+    rows = None
+    for name in ("appended", "replaced"):
+        for dataset, key, text in (
+            ("current_weather", "airport_iata_code", "airport_name"),
+            ("geography_places", "place_id", "population_category"),
+            ("geography_countries", "country_code", "country_name"),
+        ):
+            part = spark.read.parquet(f"{folder}/{name}/{dataset}").select(
+                F.lit(name).alias("how"),
+                F.lit(dataset).alias("dataset"),
+                F.col(key).cast("string").alias("key"),
+                F.col(text).alias("text"),
+                "extraction_date",
+            )
+            rows = part if rows is None else rows.unionByName(part)
+    return rows
 
 
 def q30_current_weather(spark: SparkSession, sf: str) -> DataFrame:
@@ -261,7 +280,7 @@ def q30_current_weather(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q31_flights_near_all_airports(spark: SparkSession, sf: str) -> DataFrame:
-    near = SP.flights_near_airport(L.states(spark, sf), _airports(spark, sf, None), 100, few_airports=False)
+    near = SP.flights_near_airport(L.states(spark, sf), _airports(spark, sf), 100)
     return near.select("event_id", "icao24", "airport_iata_code", "distance_km")
 
 
@@ -282,6 +301,55 @@ def q35_failed_weather(spark: SparkSession, sf: str) -> DataFrame:
     return WE.failed_weather(WE.parse_weather(_weather_landing(spark, sf)), "iata_code")
 
 
+def _landed_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Place lists that lack something: pages that failed, were refused, hold no JSON, never landed or landed twice."""
+    pages = L.place_pages(L.places(spark, sf)).withColumn("n", F.col("listing").cast("int") % 7)
+    last = F.col("page_offset") == 20
+    odd = pages.withColumns(
+        {
+            "http_status": F.when((F.col("n") == 1) & last, 500).when((F.col("n") == 2) & last, 429).otherwise(200),
+            "payload": F.when((F.col("n") == 3) & last, "<html>").otherwise(F.col("payload")),
+        }
+    ).filter(~((F.col("n") == 4) & last))
+    again = odd.filter((F.col("n") == 5) & last)
+    refused = odd.filter((F.col("n") == 6) & last).withColumn("http_status", F.lit(429))
+    return odd.unionByName(again).unionByName(refused).drop("n")
+
+
+def q36_void_listings(spark: SparkSession, sf: str) -> DataFrame:
+    return void_listings(_landed_pages(spark, sf))
+
+
+def q37_whole_listings(spark: SparkSession, sf: str) -> DataFrame:
+    items = PL.parse_place_list(assemble_pages(_landed_pages(spark, sf)), utc_timestamp(RUN_AT))
+    return items.select("place_id", "place_name", "population")
+
+
+def q38_empty_day(spark: SparkSession, sf: str) -> DataFrame:
+    return daily.run_daily(
+        spark,
+        shared_folder(spark, "q38"),
+        states=_states_landing(spark, sf).drop("event_id").filter("false"),
+        airports=_airports(spark, sf),
+        weather=_weather_landing(spark, sf).filter("false"),
+        country_pages=_country_pages(spark, sf),
+        place_documents=_documents(spark, sf).filter("false"),
+        run_at=RUN_AT,
+    )
+
+
+def q39_row_counts(spark: SparkSession, sf: str) -> DataFrame:
+    folder = shared_folder(spark, "q39")
+    stamp = utc_timestamp(RUN_AT)
+    flights = PF.run_flights(_states_landing(spark, sf).drop("event_id"), f"{folder}/flights", compact=True)
+    weather = PW.run_weather(_airports(spark, sf), _weather_landing(spark, sf), stamp, f"{folder}/weather")
+    places, countries = PG.run_geography(
+        _country_pages(spark, sf), _documents(spark, sf), stamp, f"{folder}/places", f"{folder}/countries"
+    )
+    counts = {"flights": flights.written, "weather": weather, "places": places, "countries": countries}
+    return spark.createDataFrame(list(counts.items()), "dataset string, written long")
+
+
 def _pinned(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(pin_session(spark), sf_dir)
@@ -328,5 +396,9 @@ QUERIES: dict[str, Query] = {
         q33_flights_table,
         q34_rejected_places,
         q35_failed_weather,
+        q36_void_listings,
+        q37_whole_listings,
+        q38_empty_day,
+        q39_row_counts,
     )
 }

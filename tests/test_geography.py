@@ -9,7 +9,7 @@ from skyground.functions.time import utc_timestamp
 from skyground.operators import countries as C, places as P
 from skyground.plans import geography as G
 from skyground.schemas import KNOWN_COUNTRIES, known_countries
-from skyground.sources.pages import assemble_pages
+from skyground.sources.pages import assemble_pages, void_listings
 
 STAMP = dt.datetime(2024, 1, 2, 3, 30, tzinfo=dt.timezone.utc)
 CITY = {"id": 1, "name": "Town", "type": "CITY", "country": "Spain", "countryCode": "ES", "region": "R", "regionCode": "r1", "latitude": 40.6413, "longitude": -3.5, "population": 5000}
@@ -77,6 +77,44 @@ def test_rate_limited_page_is_fetched_again(spark):
     assert values(assemble_pages(df, page_size=3)) == [0, 1]
 
 
+@pytest.mark.parametrize(
+    "rows, reason",
+    [
+        ([(0, 200, 3), (3, 429, None)], "unanswered"),
+        ([(0, 200, 3), (6, 200, 3), (9, 200, 0)], "gap"),
+        ([(0, 200, 3), (3, 200, "<html>")], "not_json"),
+        ([(3, 200, 2)], "gap"),
+        ([(0, 200, 3), (3, 500, None), (6, 200, 1)], "failed"),
+    ],
+)
+def test_listing_that_lacks_a_page_is_void(spark, rows, reason):
+    payload = lambda n: n if n is None or isinstance(n, str) else json.dumps({"data": numbers(0, n)})
+    schema = "listing string, page_offset int, http_status int, payload string"
+    data = [("a", at, status, payload(n)) for at, status, n in rows] + [("b", 0, 200, payload(2))]
+    df = spark.createDataFrame(data, schema)
+    assert values(assemble_pages(df, page_size=3)) == [0, 1]
+    assert [tuple(r) for r in void_listings(df, page_size=3).collect()] == [("a", reason)]
+
+
+def test_page_that_landed_twice_counts_once(spark):
+    df = pages(
+        spark,
+        ("a", 0, 200, numbers(0, 3)),
+        ("a", 0, 200, numbers(0, 3)),
+        ("a", 0, 500, None),
+        ("a", 3, 429, None),
+        ("a", 3, 200, numbers(3, 1)),
+        ("a", 3, 429, None),
+    )
+    assert values(assemble_pages(df, page_size=3)) == numbers(0, 4)
+    assert void_listings(df, page_size=3).count() == 0
+
+
+def test_pages_gather_no_items_in_a_window(spark):
+    df = pages(spark, ("a", 0, 200, numbers(0, 3)))
+    assert "Window" not in assemble_pages(df, page_size=3)._jdf.queryExecution().executedPlan().toString()
+
+
 # --- countries ----------------------------------------------------------------
 def country_pages(spark, *codes):
     rows = [
@@ -91,13 +129,13 @@ def test_countries(spark):
         spark,
         ("c", 0, 200, [{"code": "ES", "name": "Spain", "currencyCodes": ["EUR", "X"], "continent": None}, {"code": "AQ", "currencyCodes": []}, {"currencyCodes": None}, {}]),
     )
-    table = G.countries_table(rows, utc_timestamp(STAMP))
+    table = G.countries_table(G.country_items(rows), utc_timestamp(STAMP))
     got = {(r.country_code, r.country_name, r.currency_code, r.continent, str(r.extraction_date)) for r in table.collect()}
     assert got == {("ES", "Spain", "EUR", None, "2024-01-02"), ("AQ", None, None, None, "2024-01-02"), (None, None, None, None, "2024-01-02")}
 
 
 def chosen(spark, *codes):
-    return [(r.country_code, r.is_match) for r in G.targets(country_pages(spark, *codes)).orderBy("position").collect()]
+    return [(r.country_code, r.is_match) for r in G.targets(G.country_items(country_pages(spark, *codes))).orderBy("position").collect()]
 
 
 def test_targets_without_a_listing(spark):
@@ -115,13 +153,13 @@ def test_more_than_ten_matches_are_kept(spark):
     assert got == [(code, True) for code in KNOWN_COUNTRIES[3:]]
 
 
-def test_only_the_first_fifteen_listed_count(spark):
+def test_all_listed_countries_count(spark):
     got = chosen(spark, *[f"Z{i}" for i in range(15)], "MX")
-    assert ("MX", True) not in got and len(got) == 10
+    assert got[0] == ("MX", True) and len(got) == 10
 
 
-def test_repeated_code_stays_repeated(spark):
-    assert chosen(spark, "US", "US")[:3] == [("US", True), ("US", True), ("GB", False)]
+def test_repeated_code_counts_once(spark):
+    assert chosen(spark, "FR", "US", "FR")[:3] == [("FR", True), ("US", True), ("GB", False)]
 
 
 # --- places -------------------------------------------------------------------

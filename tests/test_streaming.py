@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from skyground.plans.flights import flights_table
 from skyground.schemas import CURRENT_FLIGHTS
+from skyground.sources.tables import append_by_day
 from skyground.streaming.ingest import flights_stream, ingest, landing_stream
 
 
@@ -41,3 +42,35 @@ def test_two_drops_equal_the_batch(spark, tmp_path):
     assert set(table.columns) == set(CURRENT_FLIGHTS.fieldNames())
     # Nothing new: nothing happens.
     assert run(spark, tmp_path).count() == 4
+
+
+def test_unknown_contacts_and_late_files_stay(spark, tmp_path):
+    path = f"{tmp_path}/landing"
+    land(spark, path, "2024-01-20 00:00:00", state("a", None), state(None, 3))
+    land(spark, path, "2024-01-20 12:00:00", state("a", None), state(None, 3))
+    assert run(spark, tmp_path).count() == 4
+    # Eleven days older than what is there.
+    land(spark, path, "2024-01-09 00:00:00", state("z", 1))
+    assert run(spark, tmp_path).count() == 5
+    # States that differ in anything are no copies.
+    land(spark, path, "2024-01-20 12:00:00", state("z", 1), state("z", 1, longitude=9.0))
+    assert run(spark, tmp_path).count() == 7
+
+
+def test_batch_and_stream_share_a_table(spark, tmp_path):
+    land(spark, f"{tmp_path}/landing", "2024-01-01 10:00:00", state("a", 1))
+    assert run(spark, tmp_path).count() == 1
+    land(spark, f"{tmp_path}/other", "2024-01-01 11:00:00", state("b", 1))
+    assert append_by_day(flights_table(spark.read.parquet(f"{tmp_path}/other")), f"{tmp_path}/table") == 1
+    assert spark.read.parquet(f"{tmp_path}/table").count() == 2
+    # What a batch wrote is not written again by the stream.
+    land(spark, f"{tmp_path}/landing", "2024-01-01 11:00:00", state("b", 1), state("c", 1))
+    assert run(spark, tmp_path).count() == 3
+
+
+def test_a_batch_that_runs_again_adds_nothing(spark, tmp_path):
+    land(spark, f"{tmp_path}/landing", "2024-01-01 10:00:00", state("a", 1), state("b", None))
+    assert run(spark, tmp_path).count() == 2
+    stream = flights_stream(landing_stream(spark, f"{tmp_path}/landing"))
+    ingest(stream, f"{tmp_path}/table", f"{tmp_path}/another").awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/table").count() == 2

@@ -101,3 +101,39 @@ def test_shared_folder(spark):
 def test_pin_session(spark):
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")
     assert pin_session(spark).conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_rows_without_a_key_are_kept(spark):
+    df = spark.createDataFrame(
+        [(None, 1), (None, 2), ("a", 1), ("a", 2)], "airport_iata_code string, at int"
+    ).withColumn("extraction_timestamp", F.timestamp_seconds("at"))
+    got = sorted((r.airport_iata_code or "", r["at"]) for r in current_weather(df).collect())
+    assert got == [("", 1), ("", 2), ("a", 2)]
+
+
+def test_only_a_missing_table_gives_the_static_airports(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+
+    from skyground.sources.airports import airports_or_static
+
+    assert airports_or_static(spark, f"{tmp_path}/none").count() == 5
+    spark.range(1).write.parquet(f"{tmp_path}/other")
+    with pytest.raises(AnalysisException):
+        airports_or_static(spark, f"{tmp_path}/other")
+
+
+def test_location_keys_round_the_exact_value(spark):
+    import random
+
+    from skyground.functions.text import location_key
+
+    draw = random.Random(4)
+    places = [
+        (round(draw.uniform(-90, 90), 5), round(draw.uniform(-180, 180), 5)) for _ in range(20_000)
+    ]
+    places += [(125.07615, -0.00005), (-0.0, 0.0), (0.00005, -0.000049), (0.5, -0.03125), (89.99995, -179.99995), (1e9, 1e22)]
+    df = spark.createDataFrame(places, "lat double, lon double")
+    got = df.select("lat", "lon", location_key(F.col("lat"), F.col("lon")).alias("key")).collect()
+    wrong = [r for r in got if r.key != f"{r.lat:+.4f}{r.lon:+.4f}"]
+    assert not wrong
+    assert spark.range(1).select(location_key(F.lit(None), F.lit(1.0))).first()[0] is None
