@@ -83,7 +83,9 @@ def country_pages(countries: DataFrame) -> DataFrame:
         F.array("first_currency", F.lit("XXX"))
     )
     item = F.to_json(F.struct("code", "name", currencies.alias("currencyCodes"), "continent"))
-    return _documents(countries.withColumn("listing", F.lit("countries")), ["listing", "page_offset"], "pos", item)
+    # Not a literal: joins on it would have no key left.
+    listed = countries.withColumn("listing", F.when(F.col("pos").isNotNull(), "countries"))
+    return _documents(listed, ["listing", "page_offset"], "pos", item)
 
 
 def _place(population: Column) -> Column:

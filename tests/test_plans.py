@@ -26,7 +26,7 @@ def test_no_pair_joins_and_no_python(spark, key):
 
 @pytest.mark.parametrize(
     "key",
-    ["q01_parse_states", "q03_airborne", "q04_enrich_flights", "q07_parse_weather", "q15_location_key", "q20_flights_near_airport", "q27_reject_rows", "q33_flights_table"],
+    ["q01_parse_states", "q03_airborne", "q04_enrich_flights", "q07_parse_weather", "q15_location_key", "q27_reject_rows", "q33_flights_table"],
 )
 def test_row_work_does_not_shuffle(spark, key):
     assert not re.search(r"Exchange (hash|range|single|Round)", plan(spark, key))
