@@ -12,10 +12,10 @@ MIN_TARGETS = 10
 
 
 def parse_countries(items: DataFrame, extraction_timestamp: Column) -> DataFrame:
-    """``geography_countries`` from listing items; the first currency stands for all."""
+    """``geography_countries`` from listing items that are objects; the first currency stands for all."""
     item = F.col("item")
     return conform(
-        items.select(
+        items.filter(V.is_object(item)).select(
             V.text(item, "$.code").alias("country_code"),
             V.text(item, "$.name").alias("country_name"),
             V.text(item, "$.currencyCodes[0]").alias("currency_code"),
@@ -27,6 +27,17 @@ def parse_countries(items: DataFrame, extraction_timestamp: Column) -> DataFrame
     )
 
 
+def rejected_countries(items: DataFrame, extraction_timestamp: Column) -> DataFrame:
+    """Listing items that are no objects, as JSON text with their place."""
+    item = F.col("item")
+    return items.filter(~V.is_object(item)).select(
+        (F.col("page_offset") + F.col("pos")).alias("api_pos"),
+        V.text(item).alias("raw"),
+        F.lit("bad_item").alias("reject_reason"),
+        extraction_timestamp.alias("extraction_timestamp"),
+    )
+
+
 def listed_codes(items: DataFrame) -> DataFrame:
     """Country codes of a listing with their place in it."""
     return items.select(

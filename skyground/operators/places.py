@@ -183,17 +183,38 @@ def parse_place_list(items: DataFrame, extraction_timestamp: Column) -> DataFram
 
 
 def parse_nearby(landing: DataFrame, extraction_timestamp: Column) -> DataFrame:
-    """Cities of landed nearby documents; the columns of the request pass through."""
+    """Cities of landed nearby documents, plus ``reject_reason`` (NULL = accepted); the columns of the request
+    pass through.
+
+    Ids are kept as text, whatever they are. An item that is no object is a ``bad_item``, one with a measure that is
+    no number or a population that is no whole number a ``bad_cast``.
+    """
     rows = landing.select("*", F.explode(V.items(V.document("payload"), "$.data")).alias("item")).drop("payload")
     item = F.col("item")
+    population = F.try_variant_get(item, "$.population", "bigint")
+    people = V.node(item, "$.population")
+    bad_cast = V.bad_numbers(*[V.node(item, f"$.{name}") for name in ("latitude", "longitude", "distance")]) | (
+        people.isNotNull() & ~F.is_variant_null(people) & population.isNull()
+    )
     return rows.select(
         *[name for name in rows.columns if name != "item"],
-        V.integer(item, "$.id").alias("city_id"),
+        V.text(item, "$.id").alias("city_id"),
         V.text(item, "$.name").alias("city_name"),
         V.text(item, "$.countryCode").alias("country_code"),
         V.number(item, "$.latitude").alias("latitude"),
         V.number(item, "$.longitude").alias("longitude"),
-        V.integer(item, "$.population").alias("population"),
+        population.alias("population"),
         V.number(item, "$.distance").alias("distance_km"),
         extraction_timestamp.alias("extraction_timestamp"),
+        F.when(~V.is_object(item), "bad_item").when(bad_cast, "bad_cast").alias("reject_reason"),
     )
+
+
+def accepted_nearby(parsed: DataFrame) -> DataFrame:
+    """Nearby cities that passed every rule."""
+    return parsed.filter(F.col("reject_reason").isNull()).drop("reject_reason")
+
+
+def rejected_nearby(parsed: DataFrame, *key: str) -> DataFrame:
+    """One row per dropped item: the ``key`` columns of the request, the city and the reason."""
+    return parsed.filter(F.col("reject_reason").isNotNull()).select(*key, "city_id", "city_name", "reject_reason")

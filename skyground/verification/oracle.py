@@ -295,7 +295,8 @@ UNION ALL SELECT 'all', bool_and(passed), count(threshold) FROM gates""",
         ACCEPTED,
     ),
     "q26_parse_nearby": _with(
-        f"""SELECT airport_iata_code, cast(city_id AS integer) AS city_id, city_name, country_code, latitude, longitude, population,
+        f"""SELECT airport_iata_code, cast(city_id AS varchar) AS city_id, city_name, country_code, latitude, longitude,
+  cast(population AS bigint) AS population,
   distance_km, {RUN_EPOCH} AS extraction_epoch FROM nearby""",
         PLACES_SRC,
         AIRPORTS_SRC,
@@ -363,6 +364,14 @@ FROM cities WHERE (country_code, chunk) IN (SELECT (country_code, chunk) FROM sp
     "q35_failed_weather": _with(
         f"SELECT * FROM (SELECT iata_code, {OUTCOME} AS outcome FROM weather_src) WHERE outcome <> 'ok'", WEATHER_SRC
     ),
+    "q40_rejected_nearby": _with(
+        """SELECT airport_iata_code, cast(city_id AS varchar) AS city_id, city_name, 'bad_cast' AS reject_reason
+FROM nearby WHERE airport_iata_code LIKE '%0'""",
+        PLACES_SRC,
+        AIRPORTS_SRC,
+        AIRPORTS,
+        _nearby(50),
+    ),
     "q36_void_listings": _with(
         """SELECT listing, reason AS void_reason FROM listed_pages
 WHERE full_pages >= 3 AND reason IS NOT NULL""",

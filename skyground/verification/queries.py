@@ -223,7 +223,7 @@ def q25_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 def q26_parse_nearby(spark: SparkSession, sf: str) -> DataFrame:
     documents = L.nearby_documents(_cities(spark, sf), _airports(spark, sf))
-    return comparable(PL.parse_nearby(documents, utc_timestamp(RUN_AT)))
+    return comparable(PL.accepted_nearby(PL.parse_nearby(documents, utc_timestamp(RUN_AT))))
 
 
 def q27_reject_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -350,6 +350,15 @@ def q39_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(list(counts.items()), "dataset string, written long")
 
 
+def q40_rejected_nearby(spark: SparkSession, sf: str) -> DataFrame:
+    # Documents of every tenth airport hold latitudes that are no numbers.
+    spoilt = F.regexp_replace("payload", '"latitude":[^,]*', '"latitude":"abc"')
+    documents = L.nearby_documents(_cities(spark, sf), _airports(spark, sf)).withColumn(
+        "payload", F.when(F.col("airport_iata_code").endswith("0"), spoilt).otherwise(F.col("payload"))
+    )
+    return PL.rejected_nearby(PL.parse_nearby(documents, utc_timestamp(RUN_AT)), "airport_iata_code")
+
+
 def _pinned(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(pin_session(spark), sf_dir)
@@ -400,5 +409,6 @@ QUERIES: dict[str, Query] = {
         q37_whole_listings,
         q38_empty_day,
         q39_row_counts,
+        q40_rejected_nearby,
     )
 }

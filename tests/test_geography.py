@@ -283,8 +283,26 @@ def test_nearby_documents(spark):
         [("JFK", json.dumps({"data": [{"id": 1, "name": "A", "countryCode": "US", "latitude": 1, "longitude": 2.5, "population": 9, "distance": 3.25}, {}]})), ("LAX", '{"data":[]}')],
         "airport string, payload string",
     )
-    rows = P.parse_nearby(docs, utc_timestamp(STAMP)).collect()
-    assert [tuple(r)[:-1] for r in rows] == [("JFK", 1, "A", "US", 1.0, 2.5, 9, 3.25), ("JFK", *[None] * 7)]
+    rows = P.accepted_nearby(P.parse_nearby(docs, utc_timestamp(STAMP))).collect()
+    assert [tuple(r)[:-1] for r in rows] == [("JFK", "1", "A", "US", 1.0, 2.5, 9, 3.25), ("JFK", *[None] * 7)]
+
+
+def test_nearby_rejects(spark):
+    data = [{"id": "Q90", "population": 3_000_000_000}, {"id": 2, "latitude": "abc"}, {"id": 3, "population": 1.5}, "oops"]
+    docs = spark.createDataFrame([("JFK", json.dumps({"data": data}))], "airport string, payload string")
+    parsed = P.parse_nearby(docs, utc_timestamp(STAMP))
+    kept = P.accepted_nearby(parsed).collect()
+    assert ("Q90", 3_000_000_000) in [(r.city_id, r.population) for r in kept]
+    lost = [tuple(r) for r in P.rejected_nearby(parsed, "airport").collect()]
+    assert ("JFK", "2", None, "bad_cast") in lost and ("JFK", None, None, "bad_item") in lost
+    assert len(kept) + len(lost) == 4
+
+
+def test_country_items_that_are_no_objects(spark):
+    items = G.country_items(pages(spark, ("c", 0, 200, [{"code": "ES"}, "oops", 5])))
+    assert [r.country_code for r in C.parse_countries(items, utc_timestamp(STAMP)).collect()] == ["ES"]
+    lost = C.rejected_countries(items, utc_timestamp(STAMP)).collect()
+    assert sorted((r.api_pos, r.raw, r.reject_reason) for r in lost) == [(1, "oops", "bad_item"), (2, "5", "bad_item")]
 
 
 def test_listed_codes_keep_their_place(spark):
