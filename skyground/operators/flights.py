@@ -46,21 +46,24 @@ def _slots(*forms: str) -> list[Column]:
     return [F.get("slots", F.lit(position)) for position, _, form in STATE_SLOTS if form in forms]
 
 
-def parse_states(landing: DataFrame) -> DataFrame:
+def parse_states(landing: DataFrame, *, keep_unreadable: bool = False) -> DataFrame:
     """Typed columns for every landed state, plus ``reject_reason`` (NULL = accepted).
 
     ``landing`` has ``payload`` and ``extraction_timestamp``; other columns pass
     through. Reasons, first match wins: ``arity`` (fewer than 17 slots or no
     array), ``bad_cast`` (a number slot holds something else), ``no_position``.
+    With ``keep_unreadable`` each payload that is no JSON object is a row with the reason ``unreadable``.
     """
-    states = explode_states(landing)
+    states = explode_states(landing, keep_unreadable=keep_unreadable)
     typed = states.select(
         *[_READ[form](F.get("slots", F.lit(position))).alias(name) for position, name, form in STATE_SLOTS],
         *states.columns,
         (V.bad_numbers(*_slots("number")) | V.bad_integers(*_slots("integer"))).alias("bad_cast"),
     )
+    unreadable = F.col("_unreadable") if keep_unreadable else F.lit(False)
     reason = (
-        F.when(F.coalesce(F.size("slots"), F.lit(0)) < len(STATE_SLOTS), "arity")
+        F.when(unreadable, "unreadable")
+        .when(F.coalesce(F.size("slots"), F.lit(0)) < len(STATE_SLOTS), "arity")
         .when(F.col("bad_cast"), "bad_cast")
         .when(F.col("longitude").isNull() | F.col("latitude").isNull(), "no_position")
     )
@@ -69,16 +72,23 @@ def parse_states(landing: DataFrame) -> DataFrame:
 
 def accepted_states(parsed: DataFrame) -> DataFrame:
     """States that passed every rule."""
-    return parsed.filter(F.col("reject_reason").isNull()).drop("reject_reason", "slots")
+    return parsed.filter(F.col("reject_reason").isNull()).drop("reject_reason", "slots", "raw", "_unreadable", "_document")
+
+
+def with_raw(parsed: DataFrame) -> DataFrame:
+    """``parsed`` with the text of the rejected states as ``raw`` in place of all slots."""
+    text = F.to_json("slots")
+    if "_document" in parsed.columns:
+        text = F.coalesce(text, F.col("_document"))
+    raw = F.when(F.col("reject_reason").isNotNull(), text)
+    return parsed.withColumn("raw", raw).drop("slots", "_unreadable", "_document")
 
 
 def rejected_states(parsed: DataFrame) -> DataFrame:
     """One row per dropped state: its reason and its raw text, other landing columns kept."""
     names = [name for _, name, _ in STATE_SLOTS]
-    return parsed.filter(F.col("reject_reason").isNotNull()).select(
-        *[name for name in parsed.columns if name not in (*names, "slots")],
-        F.to_json("slots").alias("raw"),
-    )
+    judged = parsed if "raw" in parsed.columns else with_raw(parsed)
+    return judged.filter(F.col("reject_reason").isNotNull()).drop(*names)
 
 
 def airborne_flights(flights: DataFrame) -> DataFrame:

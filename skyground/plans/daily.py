@@ -30,7 +30,8 @@ def run_daily(
     replace: bool = False,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """Write the four tables below ``out`` and return the gate rows of the day.
+    """Write the four tables below ``out``, what was left out of them below ``out/rejects``, and return the gate
+    rows of the day.
 
     A run appends; with ``replace`` it writes the days it holds anew. A day without rows gives
     gates that fail, whether or not the tables held anything before. Call :func:`skyground.operators.quality.enforce`
@@ -38,9 +39,25 @@ def run_daily(
     """
     stamp = utc_timestamp(run_at)
     how = {"replace": replace, "fmt": fmt}
-    run_flights(states, f"{out}/current_flights", compact=compact_flights, **how)
-    run_weather(airports, weather, stamp, f"{out}/current_weather", few_airports=few_airports, **how)
-    run_geography(country_pages, place_documents, stamp, f"{out}/geography_places", f"{out}/geography_countries", **how)
+    run_flights(states, f"{out}/current_flights", rejects=f"{out}/rejects/flights", compact=compact_flights, **how)
+    run_weather(
+        airports,
+        weather,
+        stamp,
+        f"{out}/current_weather",
+        failures=f"{out}/rejects/weather",
+        few_airports=few_airports,
+        **how,
+    )
+    run_geography(
+        country_pages,
+        place_documents,
+        stamp,
+        f"{out}/geography_places",
+        f"{out}/geography_countries",
+        rejects=f"{out}/rejects",
+        **how,
+    )
     day = run_at.astimezone(dt.timezone.utc).date()
     return (
         Q.gate_flights(read_table(spark, f"{out}/current_flights", CURRENT_FLIGHTS, fmt), day)

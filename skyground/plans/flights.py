@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from skyground.operators import flights as O
 from skyground.schemas import CURRENT_FLIGHTS, conform
-from skyground.sources.tables import append_by_day, replace_day
+from skyground.sources.tables import append_by_day, replace_day, staged
 
-REASONS = ["arity", "bad_cast", "no_position"]
+REASONS = ["unreadable", "arity", "bad_cast", "no_position"]
 
 
 class FlightsRun(NamedTuple):
@@ -34,20 +34,26 @@ def run_flights(
 ) -> FlightsRun:
     """Append to the day table, or replace its days on request, and write the rejected states to ``rejects`` if there are any.
 
-    Rejects are counted while the table is written. The landing is parsed a
-    second time only when there is something to write to ``rejects``. With
-    ``compact`` the counts are taken before a shuffle, and rows of a task that
+    A payload that is no JSON object counts as one rejected row with the reason ``unreadable``. The landing is read and
+    parsed once: rejects are counted on the way, and where they are kept the parsed
+    rows are staged, accepted and rejected apart, and both tables written from there.
+    With ``compact`` and no ``rejects`` the counts are taken before a shuffle, and rows of a task that
     had to run again count twice in them; the tables themselves do not change.
     """
-    parsed = O.parse_states(landing)
+    write = replace_day if replace else append_by_day
     seen = Observation()
-    counted = parsed.observe(
+    parsed = O.parse_states(landing, keep_unreadable=True).observe(
         seen, *[F.count_if(F.col("reject_reason") == reason).alias(reason) for reason in REASONS]
     )
-    flights = conform(O.enrich_flights(O.accepted_states(counted)), CURRENT_FLIGHTS)
-    written = (replace_day if replace else append_by_day)(flights, table, compact=compact, fmt=fmt)
-    rejected = {reason: seen.get[reason] for reason in REASONS}
-    if rejects and any(rejected.values()):
-        dropped = O.rejected_states(parsed).withColumn("extraction_date", F.to_date("extraction_timestamp"))
-        (replace_day if replace else append_by_day)(dropped, rejects, compact=compact, fmt=fmt)
+    if rejects is None:
+        written = write(conform(O.enrich_flights(O.accepted_states(parsed)), CURRENT_FLIGHTS), table, compact=compact, fmt=fmt)
+        return FlightsRun(written, {reason: seen.get[reason] for reason in REASONS})
+    judged = O.with_raw(parsed).withColumn("_accepted", F.col("reject_reason").isNull())
+    with staged(judged, "flights", "_accepted") as rows:
+        accepted = O.accepted_states(rows.filter("_accepted").drop("_accepted"))
+        written = write(conform(O.enrich_flights(accepted), CURRENT_FLIGHTS), table, compact=compact, fmt=fmt)
+        rejected = {reason: seen.get[reason] for reason in REASONS}
+        if any(rejected.values()):
+            dropped = O.rejected_states(rows.filter("not _accepted").drop("_accepted"))
+            write(dropped.withColumn("extraction_date", F.to_date("extraction_timestamp")), rejects, compact=compact, fmt=fmt)
     return FlightsRun(written, rejected)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from skyground.operators import countries as C, places as P
 from skyground.schemas import known_countries
-from skyground.sources.pages import assemble_pages
-from skyground.sources.tables import append_by_day, replace_day
+from skyground.sources.pages import assemble_pages, void_listings
+from skyground.sources.tables import append_by_day, replace_day, staged
 
 
 def country_items(pages: DataFrame, limit: int | None = None) -> DataFrame:
@@ -38,19 +38,32 @@ def run_geography(
     places: str,
     countries: str,
     *,
+    rejects: str | None = None,
     replace: bool = False,
     fmt: str = "parquet",
 ) -> tuple[int, int]:
     """Append to both day tables, or replace their days on request; returns their numbers of rows.
 
-    The listing is put together once for both.
+    The listing is put together once for both. Below ``rejects`` three day tables take what was left out, with reasons:
+    ``places``, ``countries`` and ``listings``; place documents are parsed once for their two tables.
     """
     write = replace_day if replace else append_by_day
     items = country_items(pages).persist()
     try:
-        return (
-            write(places_table(documents, targets(items), extraction_timestamp), places, fmt=fmt),
-            write(countries_table(items, extraction_timestamp), countries, fmt=fmt),
-        )
+        if rejects is None:
+            written = write(places_table(documents, targets(items), extraction_timestamp), places, fmt=fmt)
+        else:
+            parsed = P.parse_places(P.country_places(documents, targets(items)), extraction_timestamp)
+            with staged(parsed, "places") as rows:
+                written = write(P.enrich_places(P.accepted_places(rows)), places, fmt=fmt)
+                left_out = {
+                    "places": P.rejected_places(rows),
+                    "countries": C.rejected_countries(items, extraction_timestamp),
+                    "listings": void_listings(pages).withColumn("extraction_timestamp", extraction_timestamp),
+                }
+                for name, rows_left_out in left_out.items():
+                    day = F.to_date("extraction_timestamp")
+                    write(rows_left_out.withColumn("extraction_date", day), f"{rejects}/{name}", fmt=fmt)
+        return written, write(countries_table(items, extraction_timestamp), countries, fmt=fmt)
     finally:
         items.unpersist()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -32,7 +33,7 @@ def build_session(app_name: str = "skyground", master: str | None = None, **conf
 
 
 def pin_session(spark: SparkSession) -> SparkSession:
-    """Apply :data:`SESSION_CONF` to a session somebody else built."""
+    """Apply :data:`SESSION_CONF` to a session somebody else built; the settings stay with that session."""
     for key, value in SESSION_CONF.items():
         spark.conf.set(key, value)
     return spark
@@ -47,6 +48,25 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
+    if re.match(r"local($|\[)", spark.sparkContext.master):
         return tempfile.mkdtemp(prefix=f"skyground-{name}-")
     raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+
+
+def _folder(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of :func:`shared_folder` and what was written to it."""
+    files, target = _folder(spark, path)
+    files.delete(target, True)
+
+
+def session_folder(spark: SparkSession, name: str) -> str:
+    """A :func:`shared_folder` that goes when the session ends, for results that are read later."""
+    path = shared_folder(spark, name)
+    files, target = _folder(spark, path)
+    files.deleteOnExit(target)
+    return path

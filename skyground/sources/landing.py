@@ -31,14 +31,28 @@ def read_documents(spark: SparkSession, path: str, run_at: dt.datetime) -> DataF
     )
 
 
-def explode_states(landing: DataFrame) -> DataFrame:
+def explode_states(landing: DataFrame, *, keep_unreadable: bool = False) -> DataFrame:
     """One row per state of each snapshot, its slots as an array of VARIANT.
 
     Null, empty or absent ``states`` and text that is not JSON give no rows. A
-    state that is no array has NULL ``slots``.
+    state that is no array has NULL ``slots``. With ``keep_unreadable`` a payload that is no
+    JSON object gives one row with NULL ``slots``, ``_unreadable`` set and its text in ``_document``.
     """
-    states = F.try_variant_get(V.document("payload"), "$.states", "array<array<variant>>")
-    return landing.select("*", F.explode(states).alias("slots")).drop("payload")
+    if not keep_unreadable:
+        states = F.try_variant_get(V.document("payload"), "$.states", "array<array<variant>>")
+        return landing.select("*", F.explode(states).alias("slots")).drop("payload")
+    docs = V.with_computed(landing, "_doc", V.document("payload"))
+    docs = docs.withColumn("_unreadable", ~V.is_object(F.col("_doc")))
+    nothing = F.array(F.lit(None).cast("array<variant>"))
+    states = F.when(F.col("_unreadable"), nothing).otherwise(
+        F.try_variant_get(F.col("_doc"), "$.states", "array<array<variant>>")
+    )
+    return docs.select(
+        *[name for name in landing.columns if name != "payload"],
+        "_unreadable",
+        F.when(F.col("_unreadable"), F.col("payload")).alias("_document"),
+        F.explode(states).alias("slots"),
+    )
 
 
 def unreadable_documents(landing: DataFrame) -> DataFrame:

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from skyground.session import remove_folder, shared_folder
+
 DAY = "extraction_date"
 
 
@@ -49,3 +54,18 @@ def replace_day(df: DataFrame, path: str, *, fmt: str = "parquet", compact: bool
         .save(path)
     )
     return seen.get["rows"]
+
+
+@contextmanager
+def staged(df: DataFrame, name: str, *by: str) -> Iterator[DataFrame]:
+    """``df`` computed once, written to the shared folder and read back; the folder goes at the end of the block.
+
+    For frames that feed several tables. A lost executor costs no more than the stage at hand.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark, name)
+    try:
+        df.write.mode("overwrite").partitionBy(*by).parquet(path)
+        yield read_table(spark, path, df.schema)
+    finally:
+        remove_folder(spark, path)

@@ -372,6 +372,36 @@ FROM nearby WHERE airport_iata_code LIKE '%0'""",
         AIRPORTS,
         _nearby(50),
     ),
+    "q41_daily_rejects": _with(
+        f"""SELECT 'flights' AS relation, CASE WHEN event_id % 50 = 0 THEN 'unreadable' ELSE {REASON} END AS reject_reason,
+  CASE WHEN event_id % 50 <> 0 THEN icao24 END AS key
+FROM states_src WHERE event_id % 50 = 0 OR {REASON} IS NOT NULL
+UNION ALL
+SELECT 'weather', outcome, iata_code
+FROM (SELECT iata_code, {OUTCOME} AS outcome FROM weather_src WHERE iata_code IN (SELECT iata_code FROM airports))
+WHERE outcome <> 'ok'
+UNION ALL
+SELECT 'places', 'bad_document', cast(place_id AS varchar) FROM cities
+WHERE (country_code, chunk) IN (SELECT (country_code, chunk) FROM spoilt) AND country_code IN (SELECT country_code FROM wanted)""",
+        STATES_SRC,
+        AIRPORTS_SRC,
+        WEATHER_SRC,
+        AIRPORTS,
+        COUNTRIES_SRC,
+        LISTED,
+        KNOWN,
+        WANTED,
+        PLACES_SRC,
+        CITIES,
+        SPOILT,
+    ),
+    "q42_null_sections": _with(
+        """SELECT iata_code, CASE WHEN http_status IN (401, 403) THEN 'auth' WHEN http_status = 429 THEN 'rate_limited'
+  WHEN http_status >= 400 THEN 'http_error'
+  WHEN main_is_null OR right(iata_code, 1) IN ('1', '2', '3', '4') THEN 'bad_payload' ELSE 'ok' END AS outcome
+FROM weather_src""",
+        WEATHER_SRC,
+    ),
     "q36_void_listings": _with(
         """SELECT listing, reason AS void_reason FROM listed_pages
 WHERE full_pages >= 3 AND reason IS NOT NULL""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from skyground.functions.text import location_key
 from skyground.functions.time import utc_timestamp
@@ -14,7 +14,7 @@ from skyground.operators import quality as Q, spatial as SP, weather as WE
 from skyground.operators.fetches import fetch_outcomes
 from skyground.plans import daily, flights as PF, geography as PG, weather as PW
 from skyground.schemas import known_countries
-from skyground.session import pin_session, shared_folder
+from skyground.session import pin_session, session_folder
 from skyground.sources.airports import airports_or_static
 from skyground.sources.pages import assemble_pages, void_listings
 from skyground.sources.tables import append_by_day, replace_day
@@ -196,13 +196,13 @@ def _per_day(table: DataFrame) -> DataFrame:
 
 
 def q23_day_partitions(spark: SparkSession, sf: str) -> DataFrame:
-    table = shared_folder(spark, "q23")
+    table = session_folder(spark, "q23")
     append_by_day(_flights(spark, sf), table, compact=True)
     return _per_day(spark.read.parquet(table))
 
 
 def q24_replace_day(spark: SparkSession, sf: str) -> DataFrame:
-    table = shared_folder(spark, "q24")
+    table = session_folder(spark, "q24")
     for _ in range(2):
         replace_day(_flights(spark, sf), table, compact=True)
     return _per_day(spark.read.parquet(table))
@@ -210,7 +210,7 @@ def q24_replace_day(spark: SparkSession, sf: str) -> DataFrame:
 
 def q25_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     # The same snapshots land twice, as when two schedules start the same day's run.
-    folder = shared_folder(spark, "q25")
+    folder = session_folder(spark, "q25")
     landed = _states_landing(spark, sf).drop("event_id")
     for _ in range(2):
         landed.write.mode("append").parquet(f"{folder}/landing")
@@ -234,7 +234,7 @@ def q27_reject_rows(spark: SparkSession, sf: str) -> DataFrame:
 def q28_daily_run(spark: SparkSession, sf: str) -> DataFrame:
     return daily.run_daily(
         spark,
-        shared_folder(spark, "q28"),
+        session_folder(spark, "q28"),
         states=_states_landing(spark, sf).drop("event_id"),
         airports=_airports(spark, sf),
         weather=_weather_landing(spark, sf),
@@ -247,7 +247,7 @@ def q28_daily_run(spark: SparkSession, sf: str) -> DataFrame:
 
 def q29_day_tables(spark: SparkSession, sf: str) -> DataFrame:
     # Two runs append to the same day; a replaced day then holds one.
-    folder = shared_folder(spark, "q29")
+    folder = session_folder(spark, "q29")
     for name, write in (("appended", append_by_day), ("replaced", replace_day)):
         for _ in range(2):
             write(_weather(spark, sf), f"{folder}/{name}/current_weather")
@@ -328,7 +328,7 @@ def q37_whole_listings(spark: SparkSession, sf: str) -> DataFrame:
 def q38_empty_day(spark: SparkSession, sf: str) -> DataFrame:
     return daily.run_daily(
         spark,
-        shared_folder(spark, "q38"),
+        session_folder(spark, "q38"),
         states=_states_landing(spark, sf).drop("event_id").filter("false"),
         airports=_airports(spark, sf),
         weather=_weather_landing(spark, sf).filter("false"),
@@ -339,7 +339,7 @@ def q38_empty_day(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q39_row_counts(spark: SparkSession, sf: str) -> DataFrame:
-    folder = shared_folder(spark, "q39")
+    folder = session_folder(spark, "q39")
     stamp = utc_timestamp(RUN_AT)
     flights = PF.run_flights(_states_landing(spark, sf).drop("event_id"), f"{folder}/flights", compact=True)
     weather = PW.run_weather(_airports(spark, sf), _weather_landing(spark, sf), stamp, f"{folder}/weather")
@@ -359,6 +359,49 @@ def q40_rejected_nearby(spark: SparkSession, sf: str) -> DataFrame:
     return PL.rejected_nearby(PL.parse_nearby(documents, utc_timestamp(RUN_AT)), "airport_iata_code")
 
 
+def q41_daily_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    out = session_folder(spark, "q41")
+    # Every fiftieth snapshot is an error page.
+    landed = _states_landing(spark, sf).withColumn(
+        "payload", F.when(F.col("event_id") % 50 == 0, "<html>").otherwise(F.col("payload"))
+    )
+    daily.run_daily(
+        spark,
+        out,
+        states=landed.drop("event_id"),
+        airports=_airports(spark, sf),
+        weather=_weather_landing(spark, sf),
+        country_pages=_country_pages(spark, sf),
+        place_documents=_documents(spark, sf),
+        run_at=RUN_AT,
+    )
+
+    def rows(name: str, schema: str, reason: str, key: Column) -> DataFrame:
+        table = spark.read.schema(schema).parquet(f"{out}/rejects/{name}")
+        return table.select(F.lit(name).alias("relation"), F.col(reason).alias("reject_reason"), key.alias("key"))
+
+    return (
+        rows("flights", "reject_reason string, raw string", "reject_reason", F.get_json_object("raw", "$[0]"))
+        .unionByName(rows("weather", "airport_iata_code string, outcome string", "outcome", F.col("airport_iata_code")))
+        .unionByName(rows("places", "place_id int, reject_reason string", "reject_reason", F.col("place_id").cast("string")))
+    )
+
+
+def q42_null_sections(spark: SparkSession, sf: str) -> DataFrame:
+    # By the last digit of the code, a section is null or the list of conditions holds a null.
+    digit = F.right("iata_code", F.lit(1))
+    cut = lambda name: F.regexp_replace("payload", rf'"{name}":\{{[^}}]*\}}', f'"{name}":null')
+    payload = (
+        F.when(digit == "1", cut("wind"))
+        .when(digit == "2", cut("clouds"))
+        .when(digit == "3", cut("sys"))
+        .when(digit == "4", F.regexp_replace("payload", r'"weather":\[[^\]]*\]', '"weather":[null]'))
+        .otherwise(F.col("payload"))
+    )
+    parsed = WE.parse_weather(_weather_landing(spark, sf).withColumn("payload", payload))
+    return parsed.select("iata_code", "outcome")
+
+
 def _pinned(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(pin_session(spark), sf_dir)
@@ -410,5 +453,7 @@ QUERIES: dict[str, Query] = {
         q38_empty_day,
         q39_row_counts,
         q40_rejected_nearby,
+        q41_daily_rejects,
+        q42_null_sections,
     )
 }

@@ -167,15 +167,36 @@ def test_enrichment(spark):
 def test_run_counts_and_keeps_rejects(spark, tmp_path):
     docs = landing(spark, {"states": [GOOD, GOOD, state(velocity="n/a"), None, state(longitude=None)]})
     for _ in range(2):
-        run = run_flights(docs, f"{tmp_path}/table", rejects=f"{tmp_path}/rejects")
+        run = run_flights(docs, f"{tmp_path}/table", rejects=f"{tmp_path}/rejects", replace=True)
         assert run.written == 2
-        assert run.rejected == {"arity": 1, "bad_cast": 1, "no_position": 1}
+        assert run.rejected == {"unreadable": 0, "arity": 1, "bad_cast": 1, "no_position": 1}
     assert spark.read.parquet(f"{tmp_path}/table").count() == 2
     assert spark.read.parquet(f"{tmp_path}/rejects").count() == 3
     run_flights(docs, f"{tmp_path}/table", replace=False)
     assert spark.read.parquet(f"{tmp_path}/table").count() == 4
 
 
+def test_unreadable_snapshots_are_rejects(spark, tmp_path, monkeypatch):
+    from skyground.sources import tables
+
+    folders = []
+    monkeypatch.setattr(tables, "shared_folder", lambda spark, name: folders.append(f"{tmp_path}/stage") or folders[-1])
+    docs = landing(spark, {"states": [GOOD, None]}, {"states": None}, "<html>", "[]", None)
+    for rejects in (None, f"{tmp_path}/rejects"):
+        run = run_flights(docs, f"{tmp_path}/table", rejects=rejects)
+        assert run.written == 1
+        assert run.rejected == {"unreadable": 3, "arity": 1, "bad_cast": 0, "no_position": 0}
+    rows = spark.read.parquet(f"{tmp_path}/rejects").select("reject_reason", "raw").collect()
+    assert sorted((r.reject_reason, r.raw or "") for r in rows if r.reject_reason == "unreadable") == [
+        ("unreadable", "<html>"),
+        ("unreadable", "[]"),
+        ("unreadable", "null"),
+    ]
+    assert len(rows) == 4
+    # What was staged is gone.
+    assert len(folders) == 1 and not (tmp_path / "stage").exists()
+
+
 def test_table_columns(spark):
     assert len(flights_table(landing(spark, "{}")).columns) == 25
 
