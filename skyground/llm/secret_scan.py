@@ -7,6 +7,9 @@ is an example people copy; one that stays with a single owner looks live. Tokens
 live become spans of kind ``owned`` beside the base spans; base spans always stay and carry their
 verdict.
 
+The query's candidates are those its SQL states. Masking takes whole runs of the base64 letters instead, so that
+no key is left in part and keys without a capital or a digit are found.
+
 Positions come from the pieces between matches, so that each pattern is run on a whole text by
 Java's own matcher and never row by row in Python.
 
@@ -38,6 +41,17 @@ KINDS = ("assign", "access", "hex")
 TOKEN = r"[A-Za-z0-9_-]{24,}"
 MAX_OWNERS = 1
 
+# What masking goes by: whole runs of the base64 letters and '.', with padding only where the run ends. A run is
+# a candidate if it holds a TOKEN of all three classes, or if what is left of it without words and numbers (camel case
+# is words) is long enough, so that keys without a digit or a capital count and paths and hyphenated words do not.
+RUN = r"[A-Za-z0-9+/_-][A-Za-z0-9+/_.-]{22,}[A-Za-z0-9+/_-](?:={1,2}(?![A-Za-z0-9+/_=-]))?"
+MIXED_TOKEN = (
+    r"(?<![A-Za-z0-9_-])(?=[a-z0-9_-]*[A-Z])(?=[A-Z0-9_-]*[a-z])(?=[A-Za-z_-]*[0-9])" + TOKEN
+)
+# Possessive, so that Java matches long ones without recursion.
+WORDS = r"(?<![A-Za-z0-9])(?:[A-Z]?[a-z]*+(?:[A-Z][a-z]{2,}+)*+|[A-Z]++|[0-9]++)(?![A-Za-z0-9])|[+/_.=-]"
+MIN_OPAQUE = 16
+
 SPAN = "array<struct<kind:string,start:int,end:int,secret:string>>"
 JUDGED = "array<struct<kind:string,start:int,end:int,secret:string,live:boolean>>"
 RESULTS = ("n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_owned", "n_live", "n_example")
@@ -84,16 +98,23 @@ def _all(pattern: str, group: int = 0) -> Column:
     return F.regexp_extract_all("_text", F.lit(pattern), F.lit(group))
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_base`` (ordered spans of the three patterns) and ``_tokens`` (the other candidates)."""
+def find(docs: DataFrame, runs: bool = False) -> DataFrame:
+    """``docs`` with ``_base`` (ordered spans of the three patterns) and ``_tokens`` (the other candidates).
+
+    ``runs``: candidates are whole :data:`RUN`, not the :data:`TOKEN` of three classes that the SQL states.
+    """
+    token = RUN if runs else TOKEN
     none = F.array().cast("array<string>")
     matched = docs.withColumn("_text", F.coalesce("text", F.lit(""))).withColumns(
-        {"_m0": _all(ASSIGN), "_m1": _all(ACCESS), "_m2": _all(HEX), "_m3": _all(TOKEN)}
+        {"_m0": _all(ASSIGN), "_m1": _all(ACCESS), "_m2": _all(HEX), "_m3": _all(token)}
     )
     keyed = matched.withColumn("_g", F.when(F.size("_m0") > 0, _all(ASSIGN, 2)).otherwise(none))
     mixed = lambda x: (
         x["secret"].rlike("[A-Z]") & x["secret"].rlike("[a-z]") & x["secret"].rlike("[0-9]")
     )
+    opaque = lambda x: (
+        x["secret"].rlike(MIXED_TOKEN) | (F.length(F.regexp_replace(x["secret"], WORDS, "")) >= MIN_OPAQUE)
+    )
     text = F.col("_text")
     m0, m1, m2, m3 = (F.col(f"_m{i}") for i in range(4))
     spans = keyed.withColumns(
@@ -101,7 +122,7 @@ def find(docs: DataFrame) -> DataFrame:
             "_s0": _spans("assign", text, m0, ASSIGN, F.col("_g"), lambda x: F.length(x["secret"]) >= MIN_ASSIGN),
             "_s1": _spans("access", text, m1, ACCESS, m1, lambda x: x["size"] >= MIN_ACCESS),
             "_s2": _spans("hex", text, m2, HEX, m2, lambda x: x["size"] >= MIN_HEX),
-            "_s3": _spans("owned", text, m3, TOKEN, m3, mixed),
+            "_s3": _spans("owned", text, m3, token, m3, opaque if runs else mixed),
         }
     ).withColumn("_base", _ordered(F.concat("_s0", "_s1", "_s2")))
     # Tokens within a base span are that span's business.
@@ -134,9 +155,9 @@ def ownership(candidates: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
     )
 
 
-def _found(docs: DataFrame, owner: str, columns: list[str]) -> DataFrame:
+def _found(docs: DataFrame, owner: str, columns: list[str], runs: bool = False) -> DataFrame:
     """``columns`` of ``docs`` boxed, with a row number, the owner, ``_base`` and ``_tokens``; written once."""
-    found = find(docs.select("text", F.coalesce(F.col(owner), F.lit("")).alias("_owner"), boxed(columns)))
+    found = find(docs.select("text", F.coalesce(F.col(owner), F.lit("")).alias("_owner"), boxed(columns)), runs)
     return staged(
         found.select("_box", F.monotonically_increasing_id().alias("_row"), "_owner", "_base", "_tokens"), "spans"
     )
@@ -188,9 +209,9 @@ def redact(
 ) -> DataFrame:
     """``docs`` with ``mark`` in place of every span that looks live; spans that overlap give one mark.
 
-    Rows without candidates do not move.
+    Candidates are whole runs (:data:`RUN`). Rows without candidates do not move.
     """
-    rows = _found(docs, owner, docs.columns)
+    rows = _found(docs, owner, docs.columns, runs=True)
     text = F.coalesce("_box.text", F.lit(""))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     done = F.aggregate(
