@@ -32,7 +32,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; what looks like a live secret is masked, and its length follows."""
-    masked = secret_scan.redact(docs.withColumn("_before", F.length("text")))
+    masked = secret_scan.redact(docs.withColumn("_before", F.length("text")), by_docs=True)
     changed = F.length("text") != F.col("_before")
     return masked.withColumn(
         "n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)

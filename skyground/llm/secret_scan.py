@@ -3,7 +3,9 @@
 Three base patterns give spans per document. The secret of each span, and every other long
 mixed-case token with digits, is a candidate. Candidate hashes are counted over the corpus: in how
 many documents (repositories) and for how many owners they occur. A candidate of several owners
-is an example people copy; one that stays with a single owner looks live. Tokens that look
+is an example people copy; one that stays with a single owner looks live. The pipeline weighs documents as well: one in
+very many documents is an example also with a single owner, one of two owners in a few documents still
+looks live. Tokens that look
 live become spans of kind ``owned`` beside the base spans; base spans always stay and carry their
 verdict.
 
@@ -40,6 +42,10 @@ KINDS = ("assign", "access", "hex")
 # The method's own kind: long tokens with capital, small letter and digit.
 TOKEN = r"[A-Za-z0-9_-]{24,}"
 MAX_OWNERS = 1
+# With documents counted as well: so many make an example whatever the owners, and up to so few of one owner
+# more than MAX_OWNERS do not.
+MANY_DOCS = 1000
+FEW_DOCS = 4
 
 # What masking goes by: whole runs of the base64 letters and '.', with padding only where the run ends. A run is
 # a candidate if it holds a TOKEN of all three classes, or if what is left of it without words and numbers (camel case
@@ -145,13 +151,20 @@ def _joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def ownership(candidates: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """``_hash, n_docs, n_owners, live`` of each candidate (``_hash, _owner``, one row per document and hash)."""
+def ownership(candidates: DataFrame, max_owners: int = MAX_OWNERS, by_docs: bool = False) -> DataFrame:
+    """``_hash, n_docs, n_owners, live`` of each candidate (``_hash, _owner``, one row per document and hash).
+
+    ``by_docs``: the documents decide together with the owners.
+    """
+    live = F.col("n_owners") <= max_owners
+    if by_docs:
+        passed_on = (F.col("n_owners") <= max_owners + 1) & (F.col("n_docs") <= FEW_DOCS)
+        live = (live | passed_on) & (F.col("n_docs") < MANY_DOCS)
     per_owner = candidates.groupBy("_hash", "_owner").agg(F.count("*").alias("docs"))
     return (
         per_owner.groupBy("_hash")
         .agg(F.sum("docs").alias("n_docs"), F.count("*").alias("n_owners"))
-        .withColumn("live", F.col("n_owners") <= max_owners)
+        .withColumn("live", live)
     )
 
 
@@ -163,7 +176,7 @@ def _found(docs: DataFrame, owner: str, columns: list[str], runs: bool = False)
     )
 
 
-def _judged(rows: DataFrame, max_owners: int) -> DataFrame:
+def _judged(rows: DataFrame, max_owners: int, by_docs: bool = False) -> DataFrame:
     """``_row, _judged``: all spans and candidates of each row that has some, each with ``live``."""
     candidates = (
         rows.filter(F.size("_base") + F.size("_tokens") > 0)
@@ -172,7 +185,7 @@ def _judged(rows: DataFrame, max_owners: int) -> DataFrame:
     )
     # A document names a secret once.
     verdicts = staged(
-        ownership(candidates.select("_row", "_hash", "_owner").distinct(), max_owners), "ownership"
+        ownership(candidates.select("_row", "_hash", "_owner").distinct(), max_owners, by_docs), "ownership"
     )
     # Both sides are plain shuffles, so adaptive execution splits a secret that a third of the rows hold.
     return (
@@ -205,11 +218,15 @@ def scan(docs: DataFrame, owner: str = "source", max_owners: int = MAX_OWNERS) -
 
 
 def redact(
-    docs: DataFrame, owner: str = "source", max_owners: int = MAX_OWNERS, mark: str = "[secret]"
+    docs: DataFrame,
+    owner: str = "source",
+    max_owners: int = MAX_OWNERS,
+    mark: str = "[secret]",
+    by_docs: bool = False,
 ) -> DataFrame:
     """``docs`` with ``mark`` in place of every span that looks live; spans that overlap give one mark.
 
-    Candidates are whole runs (:data:`RUN`). Rows without candidates do not move.
+    Candidates are whole runs (:data:`RUN`); ``by_docs`` as in :func:`ownership`. Rows without candidates do not move.
     """
     rows = _found(docs, owner, docs.columns, runs=True)
     text = F.coalesce("_box.text", F.lit(""))
@@ -228,7 +245,9 @@ def redact(
         ),
     )
     some = F.size("_base") + F.size("_tokens") > 0
-    judged = rows.filter(some).join(_judged(rows, max_owners).hint("merge"), "_row", "left").withColumn("_done", done)
+    judged = rows.filter(some).join(_judged(rows, max_owners, by_docs).hint("merge"), "_row", "left").withColumn(
+        "_done", done
+    )
     masked = F.when(F.col("_done.at") == 0, F.col("_box.text")).otherwise(
         F.concat("_done.out", F.substr(text, F.col("_done.at") + 1))
     )

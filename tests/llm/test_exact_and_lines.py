@@ -6,6 +6,7 @@ import datetime as dt
 import hashlib
 from collections import defaultdict
 
+import corpus_pipeline
 from skyground.llm import exact_dedup, line_dedup, secret_scan, url_lists
 
 
@@ -127,6 +128,27 @@ def test_masking_takes_whole_keys(spark):
     assert [got[200 + i] for i in range(len(clean))] == clean
 
 
+def test_documents_decide_with_owners(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "MANY_DOCS", 30)
+    rows = [("hot", None)] * 40 + [("own", "a")] * 20 + [("passed", "a"), ("passed", "b")]
+    rows += [("two", x) for x in "ab" * 5] + [("three", x) for x in "abc"]
+    seen = spark.createDataFrame(rows, "_hash string, _owner string")
+    got = {r._hash: (r.n_docs, r.n_owners, r.live) for r in secret_scan.ownership(seen, by_docs=True).collect()}
+    assert got == {
+        "hot": (40, 1, False),
+        "own": (20, 1, True),
+        "passed": (2, 2, True),
+        "two": (10, 2, False),
+        "three": (3, 3, False),
+    }
+    key = "Qw7" + "aB3dE6gH" * 4
+    docs = [(i, f"text {i} has Zx9{key}", "hot", "en", 1) for i in range(40)]
+    docs += [(100, f"one {key}", "a", "en", 1), (101, f"other {key}", "b", "en", 1)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string, lang string, n_chars long")
+    out = {r.doc_id: r.text for r in corpus_pipeline.without_secrets(spark, frame, "").collect()}
+    assert out[3] == docs[3][1] and (out[100], out[101]) == ("one [secret]", "other [secret]")
+
+
 def test_url_lists_as_of(spark):
     day = lambda n: dt.datetime(2024, 1, n)
     events = spark.createDataFrame(
