@@ -8,9 +8,9 @@ exactly, and their k-th is a threshold: every row whose upper bound reaches it i
 inner product in double precision, and the block's best k go on. The best k over all blocks are the result.
 
 Rows are dealt evenly to blocks and queries to query blocks, each pair of blocks is one group of bounded size, and all
-rows of the table are in some block; nothing is capped. Of equal vectors in a block only the k + 1
-with the smallest ids can be among the nearest, as ties go to the smaller id; the rest are left
-out of the computation. What the index learns from the table is its mean, summed in the tasks.
+rows of the table are in some block; nothing is capped. Of equal vectors in a block only k rows
+of an id, and of those the 2k with the smallest ids, can be among the nearest, as ties go to the smaller id and a query
+leaves out no more than its own id's; the rest are left out of the computation. What the index learns from the table is its mean, summed in the tasks.
 
 Defined cases: vectors that are null, empty, all zero, or hold null or non-finite components take no part; vectors
 meet vectors of their own length only; rows with a null id take no part; rows that share the query's id
@@ -127,17 +127,28 @@ def index(rows: DataFrame, centres: dict[int, tuple[int, np.ndarray]], block: in
 
 
 def _few_copies(table: pa.Table, k: int) -> pa.Table:
-    """``table`` with the k + 1 smallest ids of each vector, ordered by id."""
+    """``table`` without the copies of vectors that no query needs, ordered by id.
+
+    Of each vector at most k rows of an id stay, and of those the first 2k by id: k without any one id.
+    """
     table = table.sort_by("vec_id")
     dims = table["dims"][0].as_py()
     raw = _matrix(table["vector"].combine_chunks(), dims)
     _, group, count = np.unique(raw.view(f"V{8 * dims}").ravel(), return_inverse=True, return_counts=True)
     if count.max() <= k + 1:
         return table
+    ids = table["vec_id"].to_numpy()
     order = np.argsort(group, kind="stable")
-    nth = np.empty(len(order), np.int64)
-    nth[order] = np.arange(len(order)) - np.repeat(np.cumsum(count) - count, count)
-    return table.filter(pa.array(nth <= k))
+
+    def first(n: int, *keys: np.ndarray) -> np.ndarray:
+        """``order`` with the first n of each run of equal keys."""
+        at = np.arange(len(order))
+        starts = np.concatenate([[True], np.any([x[order][1:] != x[order][:-1] for x in keys], axis=0)])
+        return order[at - np.maximum.accumulate(np.where(starts, at, 0)) < n]
+
+    order = first(k, group, ids)
+    order = first(2 * k, group)
+    return table.take(pa.array(np.sort(order)))
 
 
 def _search(k: int, width: float, centres: dict[int, np.ndarray]):

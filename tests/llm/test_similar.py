@@ -174,6 +174,19 @@ def test_search_recall_and_cases(spark):
     assert code_search.search(vectors.limit(0)).count() == 0
 
 
+def test_search_with_one_id_repeated(spark):
+    rng = np.random.default_rng(12)
+    same = [float(v) for v in rng.standard_normal(16)]
+    rows = [(0, same)] * 30 + [(i, same) for i in range(1, 46)]
+    rows += [(i, [float(v) for v in rng.standard_normal(16)]) for i in range(100, 160)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for r in code_search.search(vectors).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert got[0] == [i for i in range(1, 21) for _ in range(30)][:20]
+    assert got[20] == got[40] == [0] * 20
+
+
 def test_languages(spark, clashing, nothing):
     words = {"en": "the and of with thing", "fr": "le la des être avoir", "de": "der die und nicht schön"}
     rows = [
