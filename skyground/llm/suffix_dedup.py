@@ -10,8 +10,11 @@
    by sorting triples of 8-byte symbols, then triples of names, until names span the window; every window
    is a few bytes followed by a named position, chosen so that any two windows agree in the choice. Windows
    are sorted by that, and equal neighbours start the same string. Names are ranks of real bytes, so no
-   fingerprint decides. An anchor with very many different intervals is split by the distance from
-   window to anchor, which equal windows share.
+   fingerprint decides here.
+4. An anchor with very many different intervals, or very many bytes of them, is a group that no task should hold: a
+   common line amid different texts makes one. Its bytes do not move; each window's 128-bit fingerprint does, and
+   windows whose fingerprint occurs again are repeated. Those are counted by a plain aggregation, so
+   what a task holds does not grow with the crowd.
 
 Documents of which nothing repeats never move after sampling. A suffix array over all bytes would carry every position
 through several sorts; sampling leaves out only positions that cannot repeat.
@@ -23,6 +26,7 @@ columns of the documents other than ``doc_id`` and ``text`` are not read.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +43,7 @@ GRAM = 32
 STRETCH = 1 << 18
 #: Bytes ordered together; ranks of positions then fit 21 bits, three of them one sort key.
 ORDERED = 1 << 21
-#: Different intervals of one anchor beyond which it is split.
+#: Different intervals of one anchor beyond which its windows are counted by fingerprint.
 CROWD = 1024
 BASE = 0x9E3779B97F4A7C15
 INTERVALS = "_a long, _b int, s long, n int, anchor long, print long, twice boolean"
@@ -176,15 +180,15 @@ def _order(length: int):
     """Runs of repeated windows of intervals that come sorted by anchor."""
 
     def flush(rows: list[tuple]) -> pa.RecordBatch:
-        text = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
-        sizes = np.array([len(r[5]) for r in rows])
+        text = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
+        sizes = np.array([len(r[4]) for r in rows])
         base = np.cumsum(sizes) - sizes
         counts = sizes - length + 1
         windows = np.repeat(base - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
         again = starts_again(text, windows, length)
         ends = np.cumsum(counts)
         out: list[tuple] = []
-        for (_, _, a, b, s, _), lo, hi in zip(rows, (ends - counts).tolist(), ends.tolist(), strict=True):
+        for (_, a, b, s, _), lo, hi in zip(rows, (ends - counts).tolist(), ends.tolist(), strict=True):
             flags = np.concatenate([[False], again[lo:hi], [False]])
             edges = np.flatnonzero(flags[1:] != flags[:-1])
             out += [(a, b, s + x, s + y) for x, y in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
@@ -199,10 +203,10 @@ def _order(length: int):
         held_bytes, group_start, group_bytes = 0, 0, 0
         for batch in batches:
             for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if held and row[:2] != held[-1][:2]:
+                if held and row[0] != held[-1][0]:
                     group_start, group_bytes = len(held), held_bytes
                 held.append(row)
-                held_bytes += len(row[5])
+                held_bytes += len(row[4])
                 # Whole groups go together; what belongs to the group at hand waits.
                 if held_bytes > ORDERED and group_start:
                     yield flush(held[:group_start])
@@ -213,6 +217,12 @@ def _order(length: int):
     return run
 
 
+def _batch(rows: list[tuple], kinds: tuple[pa.DataType, ...], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names
+    )
+
+
 def repeats(keyed: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     """Runs ``[lo, hi)`` of starts of repeated windows per document key, and the documents that have candidates.
 
@@ -238,12 +248,19 @@ def repeats(keyed: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFram
     )
     whole = candidates.join(groups.filter("copies > 1").select("anchor", "print").hint("merge"), ["anchor", "print"])
     whole = whole.select("_a", "_b", F.col("s").alias("lo"), (F.col("s") + F.col("n")).alias("hi"))
-    crowd = groups.groupBy("anchor").agg(F.count("*").alias("crowd"), F.max("twice").alias("any"))
-    crowd = crowd.filter("crowd > 1 or any").select("anchor", "crowd")
+    crowd = groups.groupBy("anchor").agg(
+        F.count("*").alias("crowd"), F.max("twice").alias("any"), F.sum(F.col("one.n") + length - 1).alias("size")
+    )
+    crowd = staged(
+        crowd.filter("crowd > 1 or any").select(
+            "anchor", ((F.col("crowd") > CROWD) | (F.col("size") > ORDERED)).alias("crowded")
+        ),
+        "crowd",
+    )
     wanted = (
-        groups.join(staged(crowd, "crowd").hint("merge"), "anchor")
+        groups.join(crowd.hint("merge"), "anchor")
         .groupBy("one._a", "one._b")
-        .agg(F.collect_list(F.struct("one.s", "one.n", "anchor", "crowd")).alias("wanted"))
+        .agg(F.collect_list(F.struct("one.s", "one.n", "anchor", "crowded")).alias("wanted"))
     )
     touched = staged(
         keyed.join(
@@ -251,43 +268,48 @@ def repeats(keyed: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFram
         ),
         "touched",
     )
-    width = length - GRAM + 1
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = _Powers(STRETCH + length)
+        """Bytes of an interval, or, of a crowded anchor, its windows' fingerprints in two halves."""
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+        names = ["anchor", "print", "_a", "_b", "s", "part"]
         for batch in batches:
             out: list[tuple] = []
             for a, b, raw, wanted in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 for w in wanted:
-                    part = raw[w["s"] : w["s"] + w["n"] + length - 1]
-                    pieces = min(width, -(-w["crowd"] // CROWD))
-                    if pieces == 1:
-                        out.append((w["anchor"], 0, a, b, w["s"], part))
+                    if not w["crowded"]:
+                        out.append((w["anchor"], None, a, b, w["s"], raw[w["s"] : w["s"] + w["n"] + length - 1]))
                         continue
-                    prints, least = anchors(np.frombuffer(part, np.uint8), length, powers)
-                    here = np.flatnonzero(prints == least[0])
-                    starts = np.arange(w["n"])
-                    piece = (here[np.searchsorted(here, starts)] - starts) * pieces // width
-                    cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), w["n"]]
-                    for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                        out.append(
-                            (w["anchor"], int(piece[lo]), a, b, w["s"] + lo, part[lo : hi + length - 1])
-                        )
+                    whole = memoryview(raw)
+                    for s in range(w["s"], w["s"] + w["n"]):
+                        digest = xxhash.xxh3_128_digest(whole[s : s + length])
+                        out.append((*struct.unpack("<qq", digest), a, b, s, None))
+                    if len(out) > STRETCH:
+                        yield _batch(out, kinds, names)
+                        out = []
             if out:
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)],
-                    names=["anchor", "piece", "_a", "_b", "s", "part"],
-                )
+                yield _batch(out, kinds, names)
 
     parts = touched.join(wanted.hint("merge"), ["_a", "_b"]).select("_a", "_b", "_bytes", "wanted")
-    parts = parts.mapInArrow(take, "anchor long, piece int, _a long, _b int, s long, part binary")
+    parts = parts.mapInArrow(take, "anchor long, print long, _a long, _b int, s long, part binary")
+    some = not crowd.filter("crowded").isEmpty()
+    if some:
+        # Read twice below.
+        parts = staged(parts, "parts")
     ordered = (
-        parts.repartition(shuffle_partitions(spark) * 2, "anchor", "piece")
-        .sortWithinPartitions("anchor", "piece")
+        parts.filter("part is not null")
+        .select("anchor", "_a", "_b", "s", "part")
+        .repartition(shuffle_partitions(spark) * 2, "anchor")
+        .sortWithinPartitions("anchor")
         .mapInArrow(_order(length), "_a long, _b int, lo long, hi long")
     )
-    return whole.union(ordered), touched
+    runs = whole.union(ordered)
+    if some:
+        windows = parts.filter("part is null").select("anchor", "print", "_a", "_b", "s")
+        common = windows.groupBy("anchor", "print").count().filter("count > 1").select("anchor", "print")
+        crowded = windows.join(staged(common, "common").hint("merge"), ["anchor", "print"])
+        runs = runs.union(crowded.select("_a", "_b", F.col("s").alias("lo"), (F.col("s") + 1).alias("hi")))
+    return runs, touched
 
 
 def keyed(docs: DataFrame) -> DataFrame:

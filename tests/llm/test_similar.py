@@ -128,6 +128,32 @@ def test_repeats(spark, documents, monkeypatch, length, crowd):
     assert got == brute_repeats(rows, length)
 
 
+def test_a_crowd_does_not_meet_in_one_task(spark, monkeypatch):
+    crowd, order = 20, suffix_dedup._order
+
+    def bounded(length):
+        run = order(length)
+
+        def check(batches):
+            seen = collections.Counter()
+            for batch in batches:
+                keys = [batch.column(n).to_pylist() for n in ("anchor", "piece") if n in batch.schema.names]
+                seen.update(zip(*keys, strict=True))
+                assert max(seen.values()) <= crowd
+                yield from run(iter([batch]))
+
+        return check
+
+    monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
+    monkeypatch.setattr(suffix_dedup, "_order", bounded)
+    line = sentence(55, 30)
+    rows = [(i, sentence(500 + i, 40) + line + sentence(900 + i, 40)) for i in range(200)]
+    rows += [(300 + i, f"{i} " + rows[i][1][:-7]) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.Counter(tuple(r) for r in suffix_dedup.digests(docs).collect())
+    assert got == brute_repeats(rows, 400)
+
+
 def test_repeats_of_nothing(spark, nothing, clashing):
     assert suffix_dedup.digests(nothing).count() == 0
     assert suffix_dedup.digests(clashing).count() == clashing.count()
