@@ -4,7 +4,7 @@
    Equal windows have equal anchors, so a window whose anchor occurs once in the corpus starts once.
    Consecutive windows with one anchor make an interval; there is one for about 190 bytes.
 2. Intervals whose anchors occur again are grouped by anchor and fingerprint of all their bytes. Where a group
-   has two members, all their windows are repeated, and one member goes on for all.
+   has two members, all their windows are repeated (fingerprints alone decide that), and one member goes on for all.
 3. The bytes of those that go on are brought together by anchor, so that equal windows meet in one task, and their
    suffixes are ordered there by difference cover modulo 3: positions 1 and 2 modulo 3 are named
    by sorting triples of 8-byte symbols, then triples of names, until names span the window; every window
