@@ -31,7 +31,8 @@ from skyground.llm.common import free_name, others
 
 DIMS = 1024
 N = 3
-#: Rows to learn from, at most, drawn by hash; all of them where there are fewer.
+#: Rows to learn from, about, over all languages; all of them where there are fewer. Each language has the same
+#: bound, and what rare ones leave of theirs goes to the others.
 FIT_ROWS = 50_000
 UNKNOWN = "und"
 BLANK = 0x20
@@ -111,13 +112,27 @@ def _sums(lang: list, texts: list[str], dims: int, n: int) -> Iterator[tuple[str
         yield name, bundles[i].astype(np.float64), int(((number == i) & (total > 0)).sum())
 
 
+def bounds(counts: dict[str, int], fit_rows: int) -> dict[str, int]:
+    """Rows of each language to learn from: all of a rare one, equal shares of what is left for the others, one at least."""
+    out, left = {}, fit_rows
+    for i, (lang, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        out[lang] = min(n, max(1, left // (len(counts) - i)))
+        left -= out[lang]
+    return out
+
+
 def learn(docs: DataFrame, fit_rows: int = FIT_ROWS, dims: int = DIMS, n: int = N) -> dict[str, np.ndarray]:
-    """Unit prototypes of the languages in ``docs`` (``doc_id, text, lang``); at most about ``fit_rows`` rows are read."""
+    """Unit prototypes of the languages in ``docs`` (``doc_id, text, lang``); about ``fit_rows`` rows are read (:func:`bounds`)."""
     labelled = docs.filter(F.col("lang").isNotNull())
-    count = labelled.count()
-    part = min(1.0, fit_rows / max(count, 1))
-    # By a hash of its own, so that the draw has nothing to do with the held-out remainder.
-    drawn = labelled.filter(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 20)) < int(part * (1 << 20)))
+    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    shares = [(k, n / counts[k]) for k, n in bounds(counts, fit_rows).items() if n < counts[k]]
+    drawn = labelled
+    if shares:
+        # By a hash of its own, so that the draw has nothing to do with the held-out remainder; with the text, so that
+        # rows that share an id are drawn apart. Languages that are not cut have no entry and stay whole.
+        limit = F.create_map(*[F.lit(x) for k, part in shares for x in (k, int(part * (1 << 40)))])
+        place = F.pmod(F.xxhash64("doc_id", "text", F.lit(1)), F.lit(1 << 40))
+        drawn = labelled.filter(place < F.coalesce(F.try_element_at(limit, F.col("lang")), F.lit(1 << 40)))
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, list] = {}

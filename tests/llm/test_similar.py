@@ -233,6 +233,15 @@ def test_languages(spark, clashing, nothing):
     assert {r.lang_pred for r in language_id.identify(unlabelled).collect()} == {"und"}
 
 
+def test_rare_languages_and_repeated_ids_are_drawn(spark):
+    assert language_id.bounds({"a": 1000, "b": 3, "c": 500}, 103) == {"b": 3, "c": 50, "a": 50}
+    rows = [(i, f"the and of with thing {i}", "en") for i in range(3000)]
+    rows += [(7, f"der die und nicht {i}", "de") for i in range(3000)]
+    rows += [(10_000 + i, "être avoir là forêt", "fr") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert set(language_id.learn(docs, 106)) == {"de", "en", "fr"}
+
+
 def test_bundle_is_the_sum_of_bound_letters():
     grams, which, owner = language_id.grams_of(["abç", ""])
     vectors = language_id.gram_vectors(grams, 64).astype(int)
