@@ -146,10 +146,68 @@ SELECT page_id, host, b.verdict AS verdict, b.kind AS kind, b.pattern AS pattern
 FROM p LEFT JOIN best USING (row)
 """
 
+QUALITY_RULES = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+t AS (
+  SELECT row, doc_id, text,
+         list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+         list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM d
+), windows AS (
+  SELECT row, i, array_to_string(words[i:i + 7], ' ') AS window8
+  FROM (SELECT row, words, unnest(range(1, len(words) - 6)) AS i FROM t)
+), repeated AS (
+  SELECT row, i, lead(i) OVER (PARTITION BY row ORDER BY i) AS next_i
+  FROM (SELECT row, i, count(*) OVER (PARTITION BY row, window8) AS n FROM windows) WHERE n > 1
+), covered AS (
+  SELECT row, sum(least(8, coalesce(next_i - i, 8)))::BIGINT AS n FROM repeated GROUP BY row
+), m AS (
+  SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
+         len(lines) AS n_lines,
+         len(list_filter(words, lambda w: NOT regexp_matches(w, '\p{L}'))) AS n_letterless,
+         len(list_filter(lines, lambda l: regexp_matches(l, '^[\x20\x09\x0B-\x0D]*[-*•‣▪●][\x20\x09-\x0D]'))) AS n_bullets,
+         len(list_filter(lines, lambda l: regexp_matches(l, '(\.\.\.|…)[\x20\x09\x0B-\x0D]*$'))) AS n_ellipses
+  FROM t LEFT JOIN covered USING (row)
+), j AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR word_chars < 3 * n_words OR word_chars > 10 * n_words OR 10 * n_symbols > n_words
+            OR 100 * n_dup_lines > 30 * n_lines OR 100 * n_letterless > 20 * n_words
+            OR 100 * n_bullets > 90 * n_lines OR 100 * n_ellipses > 30 * n_lines) AS kept
+FROM j
+"""
+
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, list_inner_product(a.e, r.e)::BIGINT AS score
+  FROM v a JOIN v r ON a.vec_id <> r.vec_id WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INT AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 ORACLE: dict[str, str] = {
     "op1_code_search": CODE_SEARCH,
     "op2_exact_dedup": EXACT_DEDUP,
     "op4_line_dedup": LINE_DEDUP,
     "op5_secret_scan": SECRET_SCAN,
     "op10_url_lists": URL_LISTS,
+    "op12_quality_rules": QUALITY_RULES,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }

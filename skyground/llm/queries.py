@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from skyground.llm import (
     code_search,
     exact_dedup,
+    hard_negatives,
     language_id,
     line_dedup,
     ngram_join,
     packing,
     piece_codec,
+    quality_rules,
     secret_scan,
     suffix_dedup,
     url_lists,
+    whitening,
 )
 from skyground.llm.common import table
 
@@ -120,6 +123,20 @@ def url_lists_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "host", "verdict", "kind", "pattern", "n_active")
 
 
+def whitening_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.by_component(whitening.whiten(table(spark, sf_dir, "embeddings")))
+
+
+def quality_rules_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Which of several broken rules is named depends on measured times, so it is no part of the result.
+    return quality_rules.report(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "rejected_by")
+
+
+def hard_negatives_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_code_search": code_search_query,
     "op2_exact_dedup": exact_dedup_query,
@@ -131,4 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": packing_query,
     "op9_piece_codec": piece_codec_query,
     "op10_url_lists": url_lists_query,
+    "op11_whitening": whitening_query,
+    "op12_quality_rules": quality_rules_query,
+    "op13_hard_negatives": hard_negatives_query,
 }
