@@ -1,0 +1,169 @@
+"""Whitening and hard negatives against brute force."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from skyground.llm import hard_negatives, whitening
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    """A third of the rows are one vector; nulls, odd entries, another length, an empty vector, ties and repeated ids."""
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(0, 0.3, 6).round(3).tolist(), int(rng.integers(0, 4))) for i in range(240)]
+    hot = rows[5][1]
+    rows += [(1000 + i, hot, 1) for i in range(120)]
+    rows += [(i, rng.normal(0, 0.3, 3).round(2).tolist(), i % 2) for i in range(2000, 2030)]
+    rows += [(50, rows[50][1], rows[50][2]), (3007, None, 1), (3008, [0.1, None, 0.2, 0.1, 0.1, 0.1], 1), (3009, [float("nan")] * 6, 1)]
+    rows += [(3010, [float("inf")] + [0.0] * 5, 1), (None, [0.5] * 6, 1), (3011, [0.25] * 6, None), (3012, [], 3), (3013, [0.0] * 6, 2)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture
+def clashing(vectors):
+    names = "row block part dims vector x n deviation whitened component rank place positives VECTOR_ _v _score".split()
+    return vectors.select("*", *[F.lit("x").alias(c) for c in names])
+
+
+def usable(rows, with_label=False):
+    for r in rows:
+        v = r.embedding
+        if v is None or any(c is None or not np.isfinite(c) for c in v):
+            continue
+        if with_label and (r.label is None or r.vec_id is None):
+            continue
+        yield r
+
+
+def whitened(rows, k):
+    """Brute force: by length of vector, each row's deviation and the covariance's leading eigenpairs."""
+    x = np.array([[int(np.floor(64 * float(c))) + 1_000_000 for c in r.embedding] for r in rows])
+    fit = np.unique(x, axis=0)
+    n, sums = len(fit), fit.sum(axis=0)
+    centred = fit - sums / n
+    values, axes = np.linalg.eigh(centred.T @ centred / n)
+    values, axes = values[::-1][:k], axes[:, ::-1][:, :k]
+    return n, ((n * x - sums) ** 2).sum(axis=1), (x - sums / n) @ axes / np.sqrt(values), values / np.trace(centred.T @ centred / n)
+
+
+def test_whitening_is_the_eigenvectors(spark, vectors, clashing):
+    k = 4
+    got = whitening.whiten(vectors, components=k).collect()
+    rows = [r for r in usable(vectors.collect()) if len(r.embedding)]
+    by_length = {6: 4, 3: 3}
+    done = 0
+    for dims, there in by_length.items():
+        mine = [r for r in rows if len(r.embedding) == dims]
+        n, deviation, white, explained = whitened(mine, there)
+        found = {}
+        for g in got:
+            found.setdefault(g.vec_id, []).append(g)
+        some = [found[r.vec_id][0] for r in mine]
+        assert {g.n for g in some} == {n}
+        assert [g.deviation for g in some] == deviation.tolist()
+        ours = np.array([g.whitened for g in some])
+        sign = np.sign((ours * white).sum(axis=0))
+        assert np.abs(ours * sign - white).max() < 1e-9
+        assert np.abs(np.array(some[0].explained) / explained - 1).max() < 1e-10
+        assert max(g.identity_error for g in some) < 1e-9
+        done += len(mine)
+    assert sum(1 for g in got if g.whitened) == done
+    table = whitening.by_component(whitening.whiten(clashing, components=k))
+    assert table.count() == sum(by_length[len(r.embedding)] for r in rows)
+
+
+def test_whitening_without_variance(spark, vectors):
+    def count(rows):
+        return whitening.by_component(whitening.whiten(spark.createDataFrame(rows, SCHEMA))).count()
+
+    assert count([]) == 0
+    assert count([(1, [0.5, 0.25], 0)]) == 0
+    assert count([(1, [0.5, 0.25], 0), (2, [0.5, 0.25], 0)]) == 0
+    # Two distinct vectors differ along one direction; repeated rows come out each.
+    assert count([(1, [0.5, 0.25], 0), (2, [0.5, 0.75], 0), (2, [0.5, 0.75], 0)]) == 3
+
+
+def test_whitening_finds_equal_values_and_wide_ranges():
+    def run(x, wanted):
+        state = whitening.Bidiagonal(x.shape[1], float((x * x).sum()), wanted)
+        steps = 0
+        while not state.done:
+            asked = state.ask()
+            left = x @ asked
+            state.tell(asked, np.concatenate([x.T @ left[:, -1], left.T @ left[:, -1]]))
+            steps += 1
+        return *state.components(), steps
+
+    # One eigenvalue, many times: every Krylov space ends at once.
+    values, axes, _ = run(np.eye(12) * 3.0, 8)
+    assert len(values) == 8 and np.allclose(values, 3) and np.abs(axes.T @ axes - np.eye(8)).max() < 1e-12
+    # Falling values: the wanted ones converge long before all directions are found, and none is missed.
+    rng = np.random.default_rng(1)
+    u, v = np.linalg.qr(rng.normal(size=(400, 120)))[0], np.linalg.qr(rng.normal(size=(120, 120)))[0]
+    scale = np.concatenate([[100, 100], 50 * 0.6 ** np.arange(118)])
+    x = u * scale @ v.T
+    values, axes, steps = run(x, 5)
+    assert np.allclose(values, scale[:5], rtol=1e-12) and steps < 60
+    assert np.abs((x @ axes).T @ (x @ axes) - np.diag(values**2)).max() < 1e-9 * values[0] ** 2
+    # Rank below the number asked for.
+    values, axes, _ = run(np.outer(rng.normal(size=30), rng.normal(size=9)), 4)
+    assert len(values) == 1
+
+
+def test_deviations_that_fit_no_long():
+    x = np.array([[0.0, 1.0], [2.0**50, -5.0]])
+    sums = [int(s) for s in x.sum(axis=0)]
+    assert whitening._deviations(x, 2, sums) == [None, None]
+    near = np.array([[3.0, 1.0], [2.0, -5.0]])
+    assert whitening._deviations(near, 2, [5, -4]) == [1 + 36, 1 + 36]
+
+
+def mined(rows, every=50, positives=5, negatives=3, low=50, high=95):
+    y = [(r.vec_id, r.label, [int(np.floor(256 * float(c))) for c in r.embedding]) for r in rows]
+    out = []
+    for a_id, a_label, a in y:
+        if a_id % every:
+            continue
+        near = [(-sum(p * q for p, q in zip(a, b)), i, label) for i, label, b in y if i != a_id and len(b) == len(a)]
+        for ps, p_id, _ in sorted(x for x in near if x[2] == a_label)[:positives]:
+            window = sorted(x for x in near if x[2] != a_label and low * -ps <= 100 * -x[0] <= high * -ps)
+            out += [(a_id, p_id, k, i, -ps, -s) for k, (s, i, _) in enumerate(window[:negatives], 1)]
+    return sorted(out)
+
+
+def test_hard_negatives_are_brute_forces(spark, vectors, clashing):
+    rows = list(usable(vectors.collect(), with_label=True))
+    want = mined(rows)
+    assert len(want) > 20
+    # Small blocks, so that groups meet across them and repeated ids and the hot vector spread.
+    for df in (vectors, clashing):
+        got = hard_negatives.mine(df, block=32, anchor_block=2).collect()
+        assert sorted(map(tuple, got)) == want
+    assert sorted(map(tuple, hard_negatives.mine(vectors, every=10, positives=2, negatives=1, low=10, high=100).collect())) == mined(
+        rows, 10, 2, 1, 10, 100
+    )
+    assert hard_negatives.mine(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert hard_negatives.mine(vectors.filter("vec_id = 3")).count() == 0
+
+
+@pytest.mark.parametrize(("dims", "largest"), [(0, 5), (1, 255), (64, 256), (65, 300), (300, 1 << 20), (7, (1 << 24) - 1)])
+def test_residue_products_are_exact(dims, largest):
+    rng = np.random.default_rng(dims)
+    a, b = (rng.integers(-largest, largest + 1, (n, dims)) for n in (9, 17))
+    if dims:
+        a[0], b[0], b[1] = largest, largest, -largest
+    bound = max([1, *[int((m.astype(object) ** 2).sum(axis=1).max()) for m in (a, b) if dims]])
+    primes = hard_negatives.moduli(bound)
+    assert np.prod([float(p) for p in primes]) > 2 * bound
+    got = hard_negatives.scores(hard_negatives.residues(a, primes), hard_negatives.residues(b, primes), primes)
+    want = a.astype(object) @ b.T.astype(object) if dims else np.zeros((9, 17), object)
+    assert got.tolist() == want.tolist()
+    # Fewer primes than the bound asks for cannot tell scores apart.
+    if len(primes) > 1:
+        less = primes[:-1]
+        assert hard_negatives.scores(hard_negatives.residues(a, less), hard_negatives.residues(b, less), less).tolist() != want.tolist()
