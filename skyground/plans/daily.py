@@ -27,13 +27,14 @@ def run_daily(
     run_at: dt.datetime,
     compact_flights: bool = False,
     few_airports: bool = False,
+    per_country: int | None = None,
     replace: bool = False,
     fmt: str = "parquet",
 ) -> DataFrame:
     """Write the four tables below ``out``, what was left out of them below ``out/rejects``, and return the gate
     rows of the day.
 
-    A run appends; with ``replace`` it writes the days it holds anew. A day without rows gives
+    ``per_country`` takes that many items of each country. A run appends; with ``replace`` it writes the days it holds anew. A day without rows gives
     gates that fail, whether or not the tables held anything before. Call :func:`skyground.operators.quality.enforce`
     on the result to stop on a failed gate.
     """
@@ -56,6 +57,7 @@ def run_daily(
         f"{out}/geography_places",
         f"{out}/geography_countries",
         rejects=f"{out}/rejects",
+        per_country=per_country,
         **how,
     )
     day = run_at.astimezone(dt.timezone.utc).date()

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from skyground.operators import countries as C, places as P
 from skyground.schemas import known_countries
 from skyground.sources.pages import assemble_pages, void_listings
-from skyground.sources.tables import append_by_day, replace_day, staged
+from skyground.sources.tables import append_by_day, replace_day, staged, written
 
 
 def country_items(pages: DataFrame, limit: int | None = None) -> DataFrame:
@@ -25,10 +25,23 @@ def targets(items: DataFrame) -> DataFrame:
     return C.target_countries(C.listed_codes(items), known_countries(items.sparkSession))
 
 
-def places_table(documents: DataFrame, wanted: DataFrame, extraction_timestamp: Column) -> DataFrame:
-    """The ``geography_places`` relation of the wanted countries."""
-    parsed = P.parse_places(P.country_places(documents, wanted), extraction_timestamp)
-    return P.enrich_places(P.accepted_places(parsed))
+def judged_places(documents: DataFrame, wanted: DataFrame, extraction_timestamp: Column, limit: int | None = None) -> DataFrame:
+    """Parsed cities of the wanted countries with their ``reject_reason``; one bad item rejects its whole country.
+
+    With ``limit`` a country's first items count, over all its documents. Without, the parsed cities are written to the
+    shared folder first, so that the bad countries and the cities are read from one parse.
+    """
+    wanted_documents = P.country_places(documents, wanted)
+    if limit is not None:
+        return P.parse_places(wanted_documents, extraction_timestamp, limit, "country")
+    return P.veto_countries(written(P.mark_places(wanted_documents, extraction_timestamp), "places"))
+
+
+def places_table(
+    documents: DataFrame, wanted: DataFrame, extraction_timestamp: Column, limit: int | None = None
+) -> DataFrame:
+    """The ``geography_places`` relation of the wanted countries; see :func:`judged_places`."""
+    return P.enrich_places(P.accepted_places(judged_places(documents, wanted, extraction_timestamp, limit)))
 
 
 def run_geography(
@@ -39,31 +52,35 @@ def run_geography(
     countries: str,
     *,
     rejects: str | None = None,
+    per_country: int | None = None,
     replace: bool = False,
     fmt: str = "parquet",
 ) -> tuple[int, int]:
     """Append to both day tables, or replace their days on request; returns their numbers of rows.
 
-    The listing is put together once for both. Below ``rejects`` three day tables take what was left out, with reasons:
+    The listing is put together once for both. ``per_country`` cuts each country to its first items. Below ``rejects`` three day tables take what was left out, with reasons:
     ``places``, ``countries`` and ``listings``; place documents are parsed once for their two tables.
     """
     write = replace_day if replace else append_by_day
     items = country_items(pages).persist()
     try:
-        if rejects is None:
-            written = write(places_table(documents, targets(items), extraction_timestamp), places, fmt=fmt)
+        documents = P.country_places(documents, targets(items))
+        if per_country is None:
+            parsed, judge = P.mark_places(documents, extraction_timestamp), P.veto_countries
         else:
-            parsed = P.parse_places(P.country_places(documents, targets(items)), extraction_timestamp)
-            with staged(parsed, "places") as rows:
-                written = write(P.enrich_places(P.accepted_places(rows)), places, fmt=fmt)
+            parsed, judge = P.parse_places(documents, extraction_timestamp, per_country, "country"), lambda rows: rows
+        with staged(parsed, "places") as rows:
+            judged = judge(rows)
+            written_places = write(P.enrich_places(P.accepted_places(judged)), places, fmt=fmt)
+            if rejects is not None:
                 left_out = {
-                    "places": P.rejected_places(rows),
+                    "places": P.rejected_places(judged),
                     "countries": C.rejected_countries(items, extraction_timestamp),
                     "listings": void_listings(pages).withColumn("extraction_timestamp", extraction_timestamp),
                 }
                 for name, rows_left_out in left_out.items():
                     day = F.to_date("extraction_timestamp")
                     write(rows_left_out.withColumn("extraction_date", day), f"{rejects}/{name}", fmt=fmt)
-        return written, write(countries_table(items, extraction_timestamp), countries, fmt=fmt)
+        return written_places, write(countries_table(items, extraction_timestamp), countries, fmt=fmt)
     finally:
         items.unpersist()

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from skyground.session import remove_folder, shared_folder
+from skyground.session import remove_folder, session_folder, shared_folder
 
 DAY = "extraction_date"
 
@@ -56,6 +56,14 @@ def replace_day(df: DataFrame, path: str, *, fmt: str = "parquet", compact: bool
     return seen.get["rows"]
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once, written to the shared folder and read back; the folder goes when the session ends."""
+    spark = df.sparkSession
+    path = session_folder(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return read_table(spark, path, df.schema)
+
+
 @contextmanager
 def staged(df: DataFrame, name: str, *by: str) -> Iterator[DataFrame]:
     """``df`` computed once, written to the shared folder and read back; the folder goes at the end of the block.

@@ -111,7 +111,7 @@ def country_documents(places: DataFrame) -> DataFrame:
     documents = _documents(
         chunked, ["country_code", "chunk"], "place_id", F.when(F.col("population_missing"), bare).otherwise(full)
     )
-    return documents.drop("chunk")
+    return documents.withColumnRenamed("chunk", "document")
 
 
 def place_pages(places: DataFrame) -> DataFrame:
@@ -120,7 +120,11 @@ def place_pages(places: DataFrame) -> DataFrame:
     at = F.row_number().over(Window.partitionBy("listing").orderBy("population", "place_id")) - 1
     numbered = asked.withColumn("at", at).withColumn("page_offset", F.floor(F.col("at") / 10).cast("int") * 10)
     item = F.to_json(_place(F.col("population")), KEEP_NULLS)
-    return _documents(numbered, ["listing", "page_offset"], "at", item)
+    landed = _documents(numbered, ["listing", "page_offset"], "at", item)
+    # Only an empty page tells that a list of full pages ends.
+    sizes = asked.groupBy("listing").agg(F.count(F.lit(1)).alias("n")).filter("n % 10 = 0")
+    ends = sizes.select("listing", F.col("n").cast("int").alias("page_offset"), F.lit('{"data":[]}').alias("payload"))
+    return landed.unionByName(ends)
 
 
 def nearby_documents(places: DataFrame, airports: DataFrame) -> DataFrame:

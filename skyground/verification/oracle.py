@@ -85,7 +85,7 @@ KNOWN = (
 
 CITIES = (
     "cities",
-    "SELECT *, place_id // 300 AS chunk FROM places_src WHERE place_type = 'CITY'",
+    "SELECT * FROM places_src WHERE place_type = 'CITY'",
 )
 PLACES = (
     "places",
@@ -94,11 +94,11 @@ PLACES = (
   cast(cast(nullif(longitude, 0) AS float) AS double) AS longitude,
   CASE WHEN population_missing THEN 0 ELSE population END AS population,
   cast(NULL AS integer) AS elevation_meters, cast(NULL AS varchar) AS timezone, {RUN_EPOCH} AS extraction_epoch
-FROM cities WHERE (country_code, chunk) NOT IN (SELECT (country_code, chunk) FROM spoilt)""",
+FROM cities WHERE country_code NOT IN (SELECT country_code FROM spoilt)""",
 )
 SPOILT = (
     "spoilt",
-    """SELECT country_code, chunk FROM cities WHERE latitude IS NULL OR (population IS NULL AND NOT population_missing)""",
+    """SELECT DISTINCT country_code FROM cities WHERE latitude IS NULL OR (population IS NULL AND NOT population_missing)""",
 )
 CATEGORISED = (
     "categorised",
@@ -201,18 +201,19 @@ WANTED = (
 )
 LISTED = ("listed", "SELECT * FROM countries_src")
 
-# Lists of places by range of ids; those with more than two full pages lack the third in some way.
+# Lists of places by range of ids, in pages of ten, an empty one behind full ones; those with a third page lack it in some way.
 LANDED_PAGES = (
     (
         "listed_items",
-        """SELECT *, cast(place_id // 150 AS varchar) AS listing FROM places_src
+        """SELECT *, row_number() OVER (PARTITION BY listing ORDER BY population, place_id) - 1 AS nth
+FROM (SELECT *, cast(place_id // 150 AS varchar) AS listing FROM places_src)
 WHERE place_type = 'CITY' AND population >= 10000""",
     ),
     (
         "listed_pages",
-        """SELECT listing, ceil(count(*) / 10.0) AS full_pages,
-  CASE cast(listing AS integer) % 7 WHEN 1 THEN 'failed' WHEN 2 THEN 'unanswered' WHEN 3 THEN 'not_json'
-    WHEN 4 THEN 'gap' END AS reason
+        """SELECT listing, count(*) // 10 + 1 AS pages,
+  CASE WHEN count(*) // 10 + 1 >= 3 THEN CASE cast(listing AS integer) % 7 WHEN 1 THEN 'failed' WHEN 2 THEN 'unanswered'
+    WHEN 3 THEN 'not_json' WHEN 4 THEN CASE WHEN count(*) // 10 + 1 = 3 THEN 'open' ELSE 'gap' END END END AS reason
 FROM listed_items GROUP BY listing""",
     ),
 )
@@ -354,9 +355,9 @@ FROM airports a JOIN weather_src w ON a.iata_code = w.iata_code GROUP BY outcome
         f"SELECT * EXCLUDE (event_id, extraction_timestamp), {EPOCH}, {DERIVED} FROM accepted", STATES_SRC, ACCEPTED
     ),
     "q34_rejected_places": _with(
-        f"""SELECT country_code, cast(place_id AS integer) AS place_id, place_name, 'bad_document' AS reject_reason,
+        f"""SELECT country_code, cast(place_id AS integer) AS place_id, place_name, 'bad_country' AS reject_reason,
   {RUN_EPOCH} AS extraction_epoch
-FROM cities WHERE (country_code, chunk) IN (SELECT (country_code, chunk) FROM spoilt)""",
+FROM cities WHERE country_code IN (SELECT country_code FROM spoilt)""",
         PLACES_SRC,
         CITIES,
         SPOILT,
@@ -381,8 +382,8 @@ SELECT 'weather', outcome, iata_code
 FROM (SELECT iata_code, {OUTCOME} AS outcome FROM weather_src WHERE iata_code IN (SELECT iata_code FROM airports))
 WHERE outcome <> 'ok'
 UNION ALL
-SELECT 'places', 'bad_document', cast(place_id AS varchar) FROM cities
-WHERE (country_code, chunk) IN (SELECT (country_code, chunk) FROM spoilt) AND country_code IN (SELECT country_code FROM wanted)""",
+SELECT 'places', 'bad_country', cast(place_id AS varchar) FROM cities
+WHERE country_code IN (SELECT country_code FROM spoilt) AND country_code IN (SELECT country_code FROM wanted)""",
         STATES_SRC,
         AIRPORTS_SRC,
         WEATHER_SRC,
@@ -403,14 +404,45 @@ FROM weather_src""",
         WEATHER_SRC,
     ),
     "q36_void_listings": _with(
-        """SELECT listing, reason AS void_reason FROM listed_pages
-WHERE full_pages >= 3 AND reason IS NOT NULL""",
+        "SELECT listing, reason AS void_reason FROM listed_pages WHERE reason IS NOT NULL",
         PLACES_SRC,
         *LANDED_PAGES,
     ),
     "q37_whole_listings": _with(
         """SELECT cast(place_id AS integer) AS place_id, place_name, population FROM listed_items JOIN listed_pages USING (listing)
-WHERE full_pages < 3 OR reason IS NULL""",
+WHERE reason IS NULL""",
+        PLACES_SRC,
+        *LANDED_PAGES,
+    ),
+    "q43_top_places": _with(
+        """SELECT country_code, cast(place_id AS integer) AS place_id, place_name,
+  CASE WHEN population_missing THEN 0 ELSE population END AS population,
+  CASE WHEN country_code IN (SELECT country_code FROM first_spoilt) THEN 'bad_country' END AS reject_reason
+FROM first_cities""",
+        PLACES_SRC,
+        (
+            "first_cities",
+            """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY country_code ORDER BY place_id) AS place FROM places_src)
+WHERE place <= 10 AND place_type = 'CITY'""",
+        ),
+        (
+            "first_spoilt",
+            "SELECT country_code FROM first_cities WHERE latitude IS NULL OR (population IS NULL AND NOT population_missing)",
+        ),
+    ),
+    "q44_missing_pages": _with(
+        """SELECT listing, 20 AS page_offset, reason FROM listed_pages WHERE reason IS NOT NULL
+UNION ALL
+SELECT concat('more ', max(place_id) + unnest([0, 1])), 0, 'open' FROM places_src""",
+        PLACES_SRC,
+        *LANDED_PAGES,
+    ),
+    "q45_rejected_place_list": _with(
+        """SELECT listing, cast(nth // 10 * 10 AS integer) AS page_offset,
+  CASE WHEN nth // 10 % 4 < 3 THEN cast(place_id AS integer) END AS place_id,
+  CASE WHEN nth // 10 % 4 < 3 THEN place_name END AS place_name,
+  CASE WHEN nth // 10 % 4 < 3 THEN 'bad_cast' ELSE 'bad_item' END AS reject_reason
+FROM listed_items WHERE nth // 10 % 4 IN (1, 2) OR (nth // 10 % 4 = 3 AND nth % 10 = 0)""",
         PLACES_SRC,
         *LANDED_PAGES,
     ),

@@ -16,7 +16,7 @@ from skyground.plans import daily, flights as PF, geography as PG, weather as PW
 from skyground.schemas import known_countries
 from skyground.session import pin_session, session_folder
 from skyground.sources.airports import airports_or_static
-from skyground.sources.pages import assemble_pages, void_listings
+from skyground.sources.pages import assemble_pages, missing_pages, void_listings
 from skyground.sources.tables import append_by_day, replace_day
 from skyground.streaming.ingest import flights_stream, ingest, landing_stream
 from skyground.verification import landing as L
@@ -75,6 +75,10 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return L.country_documents(L.places(spark, sf))
 
 
+def _judged_places(spark: SparkSession, sf: str, limit: int | None = None) -> DataFrame:
+    return PG.judged_places(_documents(spark, sf), known_countries(spark), utc_timestamp(RUN_AT), limit)
+
+
 def _places(spark: SparkSession, sf: str) -> DataFrame:
     return PG.places_table(_documents(spark, sf), known_countries(spark), utc_timestamp(RUN_AT))
 
@@ -135,8 +139,7 @@ def q11_target_countries(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q12_parse_places(spark: SparkSession, sf: str) -> DataFrame:
-    wanted = PL.country_places(_documents(spark, sf), known_countries(spark))
-    return comparable(PL.accepted_places(PL.parse_places(wanted, utc_timestamp(RUN_AT))))
+    return comparable(PL.accepted_places(_judged_places(spark, sf)))
 
 
 def q13_enrich_places(spark: SparkSession, sf: str) -> DataFrame:
@@ -145,7 +148,7 @@ def q13_enrich_places(spark: SparkSession, sf: str) -> DataFrame:
 
 def q14_place_list(spark: SparkSession, sf: str) -> DataFrame:
     items = assemble_pages(L.place_pages(L.places(spark, sf)), page_size=10)
-    return comparable(PL.parse_place_list(items, utc_timestamp(RUN_AT)))
+    return comparable(PL.accepted_place_list(PL.parse_place_list(items, utc_timestamp(RUN_AT))))
 
 
 def q15_location_key(spark: SparkSession, sf: str) -> DataFrame:
@@ -293,8 +296,7 @@ def q33_flights_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q34_rejected_places(spark: SparkSession, sf: str) -> DataFrame:
-    wanted = PL.country_places(_documents(spark, sf), known_countries(spark))
-    return comparable(PL.rejected_places(PL.parse_places(wanted, utc_timestamp(RUN_AT))))
+    return comparable(PL.rejected_places(_judged_places(spark, sf)))
 
 
 def q35_failed_weather(spark: SparkSession, sf: str) -> DataFrame:
@@ -322,7 +324,7 @@ def q36_void_listings(spark: SparkSession, sf: str) -> DataFrame:
 
 def q37_whole_listings(spark: SparkSession, sf: str) -> DataFrame:
     items = PL.parse_place_list(assemble_pages(_landed_pages(spark, sf)), utc_timestamp(RUN_AT))
-    return items.select("place_id", "place_name", "population")
+    return PL.accepted_place_list(items).select("place_id", "place_name", "population")
 
 
 def q38_empty_day(spark: SparkSession, sf: str) -> DataFrame:
@@ -402,6 +404,35 @@ def q42_null_sections(spark: SparkSession, sf: str) -> DataFrame:
     return parsed.select("iata_code", "outcome")
 
 
+def q43_top_places(spark: SparkSession, sf: str) -> DataFrame:
+    # A country's first ten items over all its documents, then cities; a bad one among the ten rejects its country.
+    judged = _judged_places(spark, sf, limit=10)
+    return comparable(judged.select("country_code", "place_id", "place_name", "population", "reject_reason"))
+
+
+def q44_missing_pages(spark: SparkSession, sf: str) -> DataFrame:
+    # Two further lists are wanted of which nothing landed.
+    pages = _landed_pages(spark, sf)
+    wanted = L.places(spark, sf).agg(F.max("place_id").alias("n")).select(
+        F.explode(F.array(F.expr("concat('more ', n)"), F.expr("concat('more ', n + 1)"))).alias("listing")
+    )
+    return missing_pages(pages, wanted=wanted)
+
+
+def q45_rejected_place_list(spark: SparkSession, sf: str) -> DataFrame:
+    # By the last digit of the offset in tens, a page holds a bad latitude, a population in text, or an item that is no object.
+    kind = F.expr("page_offset div 10 % 4")
+    payload = (
+        F.when(kind == 1, F.regexp_replace("payload", r'"latitude":[^,]*', '"latitude":"abc"'))
+        .when(kind == 2, F.regexp_replace("payload", r'"population":([0-9]+)', r'"population":"$1"'))
+        .when(kind == 3, F.regexp_replace("payload", r'"data":\[\{[^}]*\}', '"data":["oops"'))
+        .otherwise(F.col("payload"))
+    )
+    items = assemble_pages(L.place_pages(L.places(spark, sf)).withColumn("payload", payload), page_size=10)
+    parsed = PL.parse_place_list(items, utc_timestamp(RUN_AT), "listing", "page_offset")
+    return PL.rejected_place_list(parsed, "listing", "page_offset")
+
+
 def _pinned(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(pin_session(spark), sf_dir)
@@ -455,5 +486,8 @@ QUERIES: dict[str, Query] = {
         q40_rejected_nearby,
         q41_daily_rejects,
         q42_null_sections,
+        q43_top_places,
+        q44_missing_pages,
+        q45_rejected_place_list,
     )
 }

@@ -9,7 +9,7 @@ from skyground.functions.time import utc_timestamp
 from skyground.operators import countries as C, places as P
 from skyground.plans import geography as G
 from skyground.schemas import KNOWN_COUNTRIES, known_countries
-from skyground.sources.pages import assemble_pages, void_listings
+from skyground.sources.pages import assemble_pages, missing_pages, void_listings
 
 STAMP = dt.datetime(2024, 1, 2, 3, 30, tzinfo=dt.timezone.utc)
 CITY = {"id": 1, "name": "Town", "type": "CITY", "country": "Spain", "countryCode": "ES", "region": "R", "regionCode": "r1", "latitude": 40.6413, "longitude": -3.5, "population": 5000}
@@ -115,6 +115,57 @@ def test_pages_gather_no_items_in_a_window(spark):
     assert "Window" not in assemble_pages(df, page_size=3)._jdf.queryExecution().executedPlan().toString()
 
 
+def lacking(df, **options):
+    return sorted(tuple(r) for r in missing_pages(df, page_size=3, **options).collect())
+
+
+def test_listing_without_an_end_is_open(spark):
+    df = pages(spark, ("a", 0, 200, numbers(0, 3)), ("a", 3, 200, numbers(3, 3)), ("b", 0, 200, numbers(50, 1)))
+    # The trailing page never landed, so three or more items may be missing.
+    assert values(assemble_pages(df, page_size=3)) == [50]
+    assert [tuple(r) for r in void_listings(df, page_size=3).collect()] == [("a", "open")]
+    assert lacking(df) == [("a", 6, "open")]
+    # Once it has landed, short or empty, the listing is whole.
+    for last in (1, 0):
+        whole = df.unionByName(pages(spark, ("a", 6, 200, numbers(6, last))))
+        assert values(assemble_pages(whole, page_size=3)) == [*numbers(0, 6 + last), 50]
+        assert lacking(whole) == []
+    # A bound ends the asking.
+    for bound in ({"max_offset": 6}, {"limit": 6}, {"limit": 5}, {"max_offset": 4, "limit": 100}):
+        assert values(assemble_pages(df, page_size=3, **bound))[:5] == numbers(0, 5)
+        assert void_listings(df, page_size=3, **bound).count() == 0 and lacking(df, **bound) == []
+    assert lacking(df, limit=7) == [("a", 6, "open")]
+
+
+def test_missing_pages_are_what_makes_listings_whole(spark):
+    payload = lambda n: n if n is None or isinstance(n, str) else json.dumps({"data": numbers(0, n)})
+    rows = [
+        # Failed, unanswered and unread pages, one that never landed, and one that nobody knows whether it is there.
+        ("a", 0, 200, 3), ("a", 3, 500, None), ("a", 6, 429, None), ("a", 9, 200, "<html>"), ("a", 15, 200, 3),
+        # What stands behind the end does not matter, nor how often a page landed.
+        ("b", 0, 429, None), ("b", 0, 200, 3), ("b", 3, 200, 2), ("b", 6, 500, None), ("b", 12, 200, 3),
+        # The last page failed: whether another follows is not known yet.
+        ("c", 0, 200, 3), ("c", 3, 403, None),
+        ("d", 6, 200, 0),
+    ]
+    schema = "listing string, page_offset int, http_status int, payload string"
+    df = spark.createDataFrame([(*r[:-1], payload(r[-1])) for r in rows], schema)
+    assert lacking(df) == [
+        ("a", 3, "failed"), ("a", 6, "unanswered"), ("a", 9, "not_json"), ("a", 12, "gap"), ("a", 18, "open"),
+        ("c", 3, "failed"), ("d", 0, "gap"), ("d", 3, "gap"),
+    ]
+    asked = lambda name: [(name, at) for n, at, _ in lacking(df) if n == name]
+    # Asked for and landed, until there is nothing left to ask.
+    answers = [(n, at, 200, payload(3 if at < 18 else 1)) for name in "acd" for n, at in asked(name)]
+    later = df.unionByName(spark.createDataFrame(answers, schema))
+    assert lacking(later) == [("c", 6, "open")]
+    done = later.unionByName(spark.createDataFrame([("c", 6, 200, payload(0))], schema))
+    assert lacking(done) == [] and void_listings(done, page_size=3).count() == 0
+    wanted = spark.createDataFrame([("b",), ("new",), ("new",)], "listing string")
+    assert lacking(done, wanted=wanted) == [("new", 0, "open")]
+    assert lacking(df.limit(0), wanted=wanted) == [("b", 0, "open"), ("new", 0, "open")]
+
+
 # --- countries ----------------------------------------------------------------
 def country_pages(spark, *codes):
     rows = [
@@ -235,7 +286,93 @@ def test_limit_comes_before_the_type(spark):
 
 def test_scope_is_checked(spark):
     with pytest.raises(ValueError):
-        parse(spark, city(), scope="country")
+        parse(spark, city(), scope="planet")
+    # A whole country without a limit needs the marks, not one window.
+    with pytest.raises(ValueError):
+        parse(spark, city(), scope="country", limit=None)
+
+
+def documents(spark, *rows):
+    """Rows of (country, document, items)."""
+    data = [(code, at, items if isinstance(items, str) else json.dumps({"data": items})) for code, at, items in rows]
+    return spark.createDataFrame(data, "country_code string, document int, payload string")
+
+
+def wanted(spark, *codes):
+    return spark.createDataFrame([(c,) for c in codes], "country_code string")
+
+
+def judged(spark, docs, limit=None, codes=("ES", "FR", "US")):
+    rows = G.judged_places(docs, wanted(spark, *codes), utc_timestamp(STAMP), limit).collect()
+    return sorted((r.country_code, -1 if r.place_id is None else r.place_id, r.reject_reason) for r in rows)
+
+
+@pytest.mark.parametrize("spoiler", [city(id=9, population=None), city(id=9, latitude="1.5"), "oops", None, 5])
+def test_bad_item_rejects_its_whole_country(spark, spoiler):
+    docs = documents(
+        spark,
+        ("ES", 0, [city(id=1), city(id=2)]),
+        ("ES", 1, [city(id=3), spoiler]),
+        ("FR", 0, [city(id=4), city(id="x")]),
+        ("FR", 1, [city(id=5, type="ADM2", population=None)]),
+        ("US", 0, "{bad"),
+    )
+    bad = [("ES", i, "bad_country") for i in (1, 2, 3)] + [("ES", 9, "bad_country")] * isinstance(spoiler, dict)
+    assert judged(spark, docs) == [*bad, ("FR", -1, "bad_cast"), ("FR", 4, None)]
+    table = G.places_table(docs, wanted(spark, "ES", "FR"), utc_timestamp(STAMP))
+    assert [r.place_id for r in table.collect()] == [4]
+
+
+def test_first_items_of_a_country_over_its_documents(spark):
+    docs = documents(
+        spark,
+        ("ES", 2, [city(id=i) for i in (20, 21, 22)]),
+        ("ES", 1, [city(id=10), city(id=11, type="ADM2"), city(id=12)]),
+        ("ES", 0, []),
+        ("FR", 7, [city(id=30)]),
+    )
+    # Five items, one of which is no city.
+    assert judged(spark, docs, 5) == [("ES", 10, None), ("ES", 12, None), ("ES", 20, None), ("ES", 21, None), ("FR", 30, None)]
+    assert judged(spark, docs, 1) == [("ES", 10, None), ("FR", 30, None)]
+    # A bad item counts where it is among the first, and then for all documents.
+    late = docs.unionByName(documents(spark, ("ES", 3, ["oops"])))
+    assert {r[2] for r in judged(spark, late, 6)} == {None}
+    assert judged(spark, late, 7)[0] == ("ES", 10, "bad_country") and judged(spark, late, 7)[-1] == ("FR", 30, None)
+    # Documents without an order are taken by their text.
+    assert judged(spark, docs.drop("document"), 2) == [("ES", 10, None), ("FR", 30, None)]
+
+
+def test_places_keep_their_scope_within_the_limit(spark):
+    docs = documents(spark, ("ES", 0, [city(id=1), "oops"]), ("ES", 1, [city(id=2)]), ("ES", 2, ["oops"]))
+    got = lambda **options: sorted((r.place_id, r.reject_reason) for r in P.parse_places(docs, utc_timestamp(STAMP), **options).collect())
+    for limit in (None, 3, 10):
+        assert got(scope="document", limit=limit) == [(1, "bad_document"), (2, None)]
+    assert got(scope="document", limit=1) == [(1, None)]
+    assert got(scope="row", limit=3) == got(scope="row") == [(1, None), (2, None)]
+
+
+def test_landing_is_scanned_once_for_places_and_rejects(spark, tmp_path):
+    docs = documents(spark, ("ES", 0, [city(id=1)]), ("ES", 1, ["oops"]), ("FR", 0, [city(id=4)]))
+    docs.write.parquet(f"{tmp_path}/landing")
+    landed = spark.read.parquet(f"{tmp_path}/landing")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    seen = G.judged_places(landed, wanted(spark, "ES", "FR"), utc_timestamp(STAMP))
+    assert f"{tmp_path}/landing" not in plan(seen)
+    marked = plan(P.mark_places(landed, utc_timestamp(STAMP)))
+    assert marked.count("Scan parquet") == 1 and "Exchange" not in marked and marked.count("parse_json") <= 1
+    # With a limit one shuffle brings the few rows of a country together; tasks cut first.
+    limited = plan(G.judged_places(landed, wanted(spark, "ES", "FR"), utc_timestamp(STAMP), 10))
+    assert limited.count("Scan parquet") == 1 and "WindowGroupLimit" in limited and "Partial" in limited
+
+
+def test_place_list_rejects(spark):
+    data = [CITY, "oops", {"id": "Q90", "population": 3e9, "latitude": "abc"}, city(id=2, latitude="1.5"), city(id=3, population=None), {}]
+    items = assemble_pages(pages(spark, ("p", 0, 200, data)))
+    parsed = P.parse_place_list(items, utc_timestamp(STAMP), "listing", "page_offset", "pos")
+    kept = P.accepted_place_list(parsed).collect()
+    assert [(r.place_id, r.latitude) for r in kept] == [(1, 40.6413), (2, 1.5), (3, 40.6413), (None, None)]
+    lost = P.rejected_place_list(parsed, "listing", "pos").collect()
+    assert [tuple(r) for r in lost] == [("p", 1, None, None, "bad_item"), ("p", 2, None, None, "bad_cast")]
 
 
 def test_only_wanted_countries(spark):
