@@ -72,6 +72,16 @@ CURRENT_FLIGHTS = T.StructType(
     ]
 )
 
+# What is kept of a state that was rejected.
+FLIGHT_REJECTS = T.StructType(
+    [
+        T.StructField("reject_reason", T.StringType()),
+        T.StructField("raw", T.StringType()),
+        T.StructField("extraction_timestamp", T.TimestampType()),
+        T.StructField("extraction_date", T.DateType()),
+    ]
+)
+
 CURRENT_WEATHER = T.StructType(
     [
         T.StructField("airport_iata_code", T.StringType()),

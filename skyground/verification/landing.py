@@ -22,8 +22,8 @@ def _quoted(value: str) -> Column:
     return F.concat(F.lit('"'), F.col(value), F.lit('"'))
 
 
-def states_landing(states: DataFrame) -> DataFrame:
-    """One snapshot document per event: no shuffle, however many events a moment has."""
+def _state() -> Column:
+    """One state as JSON; short rows lose their last slot."""
     slots = [
         *[_quoted(name) for name in ("icao24", "callsign", "origin_country")],
         *[F.col(name).cast("string") for name in ("time_position", "last_contact", "longitude", "latitude", "baro_altitude", "on_ground")],
@@ -33,11 +33,33 @@ def states_landing(states: DataFrame) -> DataFrame:
         F.col("spi").cast("string"),
         F.col("position_source").cast("string"),
     ]
-    # Short rows lose their last slot.
     kept = F.slice(F.array(*slots), F.lit(1), F.col("n_fields"))
-    state = F.concat(F.lit("["), F.array_join(kept, ",", "null"), F.lit("]"))
-    payload = F.concat(F.lit('{"time":'), F.unix_timestamp("extraction_timestamp").cast("string"), F.lit(',"states":['), state, F.lit("]}"))
-    return states.select(payload.alias("payload"), "extraction_timestamp", "event_id")
+    return F.concat(F.lit("["), F.array_join(kept, ",", "null"), F.lit("]"))
+
+
+def _snapshot(states: Column) -> Column:
+    return F.concat(
+        F.lit('{"time":'), F.unix_timestamp("extraction_timestamp").cast("string"), F.lit(',"states":['), states, F.lit("]}")
+    )
+
+
+def states_landing(states: DataFrame) -> DataFrame:
+    """One snapshot document per event: no shuffle, however many events a moment has."""
+    return states.select(_snapshot(_state()).alias("payload"), "extraction_timestamp", "event_id")
+
+
+def hourly_snapshots(states: DataFrame) -> DataFrame:
+    """The states of an hour together, at most some hundreds a document, and documents that hold none.
+
+    Every hour also has an answer without states: null, an empty list or no such member.
+    """
+    hour = F.date_trunc("hour", "extraction_timestamp")
+    kept = states.select(hour.alias("extraction_timestamp"), F.expr("event_id div 500").alias("part"), _state().alias("state"))
+    parts = kept.groupBy("extraction_timestamp", "part").agg(F.array_join(F.collect_list("state"), ",").alias("states"))
+    full = parts.select(_snapshot(F.col("states")).alias("payload"), "extraction_timestamp")
+    nothing = F.array(*[F.lit(text) for text in ('{"time":0,"states":null}', '{"time":0,"states":[]}', '{"time":0}')])
+    empty = kept.select("extraction_timestamp").distinct().select(F.explode(nothing).alias("payload"), "extraction_timestamp")
+    return full.unionByName(empty)
 
 
 def weather_landing(weather: DataFrame) -> DataFrame:

@@ -446,6 +446,27 @@ FROM listed_items WHERE nth // 10 % 4 IN (1, 2) OR (nth // 10 % 4 = 3 AND nth %
         PLACES_SRC,
         *LANDED_PAGES,
     ),
+    "q46_stream_sinks": _with(
+        f"""SELECT 'flights' AS sink, cast(NULL AS varchar) AS reject_reason, icao24, extraction_date FROM (
+  SELECT DISTINCT * EXCLUDE (event_id, extraction_timestamp), cast(extraction_timestamp AS date) AS extraction_date
+  FROM accepted WHERE event_id % 50 <> 0
+)
+UNION ALL
+SELECT 'rejects', reject_reason, icao24, cast(extraction_timestamp AS date) FROM (
+  SELECT DISTINCT * EXCLUDE (event_id), {REASON} AS reject_reason FROM states_src WHERE event_id % 50 <> 0 AND {REASON} IS NOT NULL
+)
+UNION ALL
+SELECT 'rejects', 'unreadable', NULL, cast(extraction_timestamp AS date)
+FROM (SELECT DISTINCT extraction_timestamp FROM states_src WHERE event_id % 50 = 0)""",
+        STATES_SRC,
+        ACCEPTED,
+    ),
+    "q47_hourly_snapshots": _with(
+        """SELECT * EXCLUDE (event_id, extraction_timestamp),
+  cast(floor(epoch(date_trunc('hour', extraction_timestamp))) AS bigint) AS extraction_epoch FROM accepted""",
+        STATES_SRC,
+        ACCEPTED,
+    ),
     "q38_empty_day": _with(
         "\nUNION ALL ".join(
             [

@@ -18,7 +18,7 @@ from skyground.session import pin_session, session_folder
 from skyground.sources.airports import airports_or_static
 from skyground.sources.pages import assemble_pages, missing_pages, void_listings
 from skyground.sources.tables import append_by_day, replace_day
-from skyground.streaming.ingest import flights_stream, ingest, landing_stream
+from skyground.streaming.ingest import flights_stream, ingest, ingest_landing, landing_stream
 from skyground.verification import landing as L
 
 RUN_AT = dt.datetime(2024, 1, 15, 12, tzinfo=dt.timezone.utc)
@@ -433,6 +433,31 @@ def q45_rejected_place_list(spark: SparkSession, sf: str) -> DataFrame:
     return PL.rejected_place_list(parsed, "listing", "page_offset")
 
 
+def q46_stream_sinks(spark: SparkSession, sf: str) -> DataFrame:
+    # Snapshots land twice, every fiftieth an error page; then another stream reads all of them again.
+    folder = session_folder(spark, "q46")
+    landed = _states_landing(spark, sf).withColumn(
+        "payload", F.when(F.col("event_id") % 50 == 0, "<html>").otherwise(F.col("payload"))
+    )
+    for checkpoint in ("first", "first", "again"):
+        if checkpoint == "first":
+            landed.drop("event_id").write.mode("append").parquet(f"{folder}/landing")
+        stream = landing_stream(spark, f"{folder}/landing")
+        ingest_landing(stream, f"{folder}/flights", f"{folder}/rejects", f"{folder}/{checkpoint}").awaitTermination()
+    flights = spark.read.parquet(f"{folder}/flights").select(
+        F.lit("flights").alias("sink"), F.lit(None).cast("string").alias("reject_reason"), "icao24", "extraction_date"
+    )
+    rejects = spark.read.parquet(f"{folder}/rejects").select(
+        F.lit("rejects").alias("sink"), "reject_reason", F.get_json_object("raw", "$[0]").alias("icao24"), "extraction_date"
+    )
+    return flights.unionByName(rejects)
+
+
+def q47_hourly_snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    # Many states a snapshot, and snapshots without any.
+    return comparable(FL.accepted_states(FL.parse_states(L.hourly_snapshots(L.states(spark, sf)))))
+
+
 def _pinned(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(pin_session(spark), sf_dir)
@@ -489,5 +514,7 @@ QUERIES: dict[str, Query] = {
         q43_top_places,
         q44_missing_pages,
         q45_rejected_place_list,
+        q46_stream_sinks,
+        q47_hourly_snapshots,
     )
 }
