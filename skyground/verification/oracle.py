@@ -218,6 +218,11 @@ FROM listed_items GROUP BY listing""",
     ),
 )
 
+LATEST_FLIGHTS = f"""SELECT * EXCLUDE (extraction_timestamp, nth), {EPOCH} FROM (
+  SELECT *, row_number() OVER (PARTITION BY icao24 ORDER BY extraction_timestamp DESC, last_contact DESC, event_id DESC) AS nth
+  FROM flights
+) WHERE nth = 1"""
+
 PER_DAY = """SELECT extraction_date, count(*) AS flights, count(altitude_ft) AS with_altitude,
   round(sum(velocity_knots), 3) AS sum_knots FROM flights GROUP BY extraction_date"""
 
@@ -277,14 +282,7 @@ UNION ALL SELECT 'all', bool_and(passed), count(threshold) FROM gates""",
     ),
     "q20_flights_near_airport": _with("SELECT * FROM near", STATES_SRC, AIRPORTS_SRC, AIRPORTS, _near(200)),
     "q21_nearby_places": _with("SELECT * FROM nearby", PLACES_SRC, AIRPORTS_SRC, AIRPORTS, _nearby(1000)),
-    "q22_current_flights": _with(
-        f"""SELECT * EXCLUDE (extraction_timestamp, nth), {EPOCH} FROM (
-  SELECT *, row_number() OVER (PARTITION BY icao24 ORDER BY extraction_timestamp DESC, last_contact DESC, event_id DESC) AS nth
-  FROM flights
-) WHERE nth = 1""",
-        STATES_SRC,
-        FLIGHTS,
-    ),
+    "q22_current_flights": _with(LATEST_FLIGHTS, STATES_SRC, FLIGHTS),
     "q23_day_partitions": _with(PER_DAY, STATES_SRC, FLIGHTS),
     "q24_replace_day": _with(PER_DAY, STATES_SRC, FLIGHTS),
     "q25_stream_ingest": _with(
@@ -467,6 +465,7 @@ FROM (SELECT DISTINCT extraction_timestamp FROM states_src WHERE event_id % 50 =
         STATES_SRC,
         ACCEPTED,
     ),
+    "q48_incremental_view": _with(LATEST_FLIGHTS, STATES_SRC, FLIGHTS),
     "q38_empty_day": _with(
         "\nUNION ALL ".join(
             [

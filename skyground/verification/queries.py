@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -18,6 +19,7 @@ from skyground.session import pin_session, session_folder
 from skyground.sources.airports import airports_or_static
 from skyground.sources.pages import assemble_pages, missing_pages, void_listings
 from skyground.sources.tables import append_by_day, replace_day
+from skyground.sources.view import CurrentView
 from skyground.streaming.ingest import flights_stream, ingest, ingest_landing, landing_stream
 from skyground.verification import landing as L
 
@@ -458,6 +460,27 @@ def q47_hourly_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     return comparable(FL.accepted_states(FL.parse_states(L.hourly_snapshots(L.states(spark, sf)))))
 
 
+def q48_incremental_view(spark: SparkSession, sf: str) -> DataFrame:
+    # Ten days at a time are appended, and the view refreshed each time.
+    folder = session_folder(spark, "q48")
+    flights = _flights(spark, sf)
+    view = CurrentView(
+        spark,
+        f"current_flights_{uuid.uuid4().hex}",
+        f"{folder}/view",
+        f"{folder}/flights",
+        flights.schema,
+        "icao24",
+        ["extraction_timestamp", "last_contact", "event_id"],
+        buckets=16,
+    )
+    third = F.least(F.expr("(day(extraction_date) - 1) div 10"), F.lit(2))
+    for n in range(3):
+        append_by_day(flights.filter(third == n), f"{folder}/flights", compact=True)
+        view.refresh()
+    return comparable(view.read())
+
+
 def _pinned(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(pin_session(spark), sf_dir)
@@ -516,5 +539,6 @@ QUERIES: dict[str, Query] = {
         q45_rejected_place_list,
         q46_stream_sinks,
         q47_hourly_snapshots,
+        q48_incremental_view,
     )
 }
