@@ -466,6 +466,7 @@ FROM (SELECT DISTINCT extraction_timestamp FROM states_src WHERE event_id % 50 =
         ACCEPTED,
     ),
     "q48_incremental_view": _with(LATEST_FLIGHTS, STATES_SRC, FLIGHTS),
+    "q49_nearest_places": _with("SELECT * FROM nearby", PLACES_SRC, AIRPORTS_SRC, AIRPORTS, _nearby(1000)),
     "q38_empty_day": _with(
         "\nUNION ALL ".join(
             [

@@ -481,6 +481,10 @@ def q48_incremental_view(spark: SparkSession, sf: str) -> DataFrame:
     return comparable(view.read())
 
 
+def q49_nearest_places(spark: SparkSession, sf: str) -> DataFrame:
+    return SP.nearest_places(_cities(spark, sf), _airports(spark, sf), 1000, 50)
+
+
 def _pinned(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(pin_session(spark), sf_dir)
@@ -540,5 +544,6 @@ QUERIES: dict[str, Query] = {
         q46_stream_sinks,
         q47_hourly_snapshots,
         q48_incremental_view,
+        q49_nearest_places,
     )
 }
