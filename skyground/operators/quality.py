@@ -100,10 +100,16 @@ def gate_all(*gates: DataFrame) -> DataFrame:
     )
 
 
+def failures(gate: DataFrame) -> list[str]:
+    """What failed, in words. A gate has one row per metric, so collecting it is safe."""
+    return [
+        f"{r.dataset} {r.metric} is {r.value:g}, at least {r.threshold:g} expected"
+        for r in gate.filter(~F.col("passed")).collect()
+    ]
+
+
 def enforce(gate: DataFrame) -> None:
-    """Raise when a gate failed. A gate has one row per metric, so collecting it is safe."""
-    failed = gate.filter(~F.col("passed")).collect()
+    """Raise when a gate failed."""
+    failed = failures(gate)
     if failed:
-        raise QualityGateError(
-            "; ".join(f"{r.dataset} {r.metric} is {r.value:g}, at least {r.threshold:g} expected" for r in failed)
-        )
+        raise QualityGateError("; ".join(failed))

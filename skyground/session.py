@@ -53,20 +53,21 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 
 
-def _folder(spark: SparkSession, path: str):
+def hadoop_folder(spark: SparkSession, path: str):
+    """The file system of a folder, and the folder as that knows it."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder of :func:`shared_folder` and what was written to it."""
-    files, target = _folder(spark, path)
+    files, target = hadoop_folder(spark, path)
     files.delete(target, True)
 
 
 def session_folder(spark: SparkSession, name: str) -> str:
     """A :func:`shared_folder` that goes when the session ends, for results that are read later."""
     path = shared_folder(spark, name)
-    files, target = _folder(spark, path)
+    files, target = hadoop_folder(spark, path)
     files.deleteOnExit(target)
     return path

@@ -467,6 +467,33 @@ FROM (SELECT DISTINCT extraction_timestamp FROM states_src WHERE event_id % 50 =
     ),
     "q48_incremental_view": _with(LATEST_FLIGHTS, STATES_SRC, FLIGHTS),
     "q49_nearest_places": _with("SELECT * FROM nearby", PLACES_SRC, AIRPORTS_SRC, AIRPORTS, _nearby(1000)),
+    "q50_run_ledger": _with(
+        """SELECT airport_iata_code, temperature, extraction_date, run_id
+FROM weather, (VALUES ('early'), ('late')) AS runs(run_id)""",
+        *WEATHER_RELATIONS,
+    ),
+    "q51_audited_run": _with(
+        """SELECT 'current_weather' AS dataset,
+  CASE WHEN (SELECT count(*) >= 50 AND count(DISTINCT airport_iata_code) >= 20 FROM weather)
+    THEN 'published' ELSE 'staged' END AS kept, airport_iata_code AS key FROM weather
+UNION ALL
+SELECT 'geography_places',
+  CASE WHEN (SELECT count(*) >= 50 AND count(DISTINCT country_code) >= 10 FROM categorised)
+    THEN 'published' ELSE 'staged' END, cast(place_id AS varchar) FROM categorised
+UNION ALL
+SELECT 'geography_countries', 'published', country_code FROM countries""",
+        *WEATHER_RELATIONS,
+        COUNTRIES_SRC,
+        COUNTRIES,
+        LISTED,
+        KNOWN,
+        WANTED,
+        PLACES_SRC,
+        CITIES,
+        SPOILT,
+        (PLACES[0], f"{PLACES[1]} AND country_code IN (SELECT country_code FROM wanted)"),
+        CATEGORISED,
+    ),
     "q38_empty_day": _with(
         "\nUNION ALL ".join(
             [

@@ -14,11 +14,13 @@ from skyground.operators import airports as AP, current as CU, flights as FL, pl
 from skyground.operators import quality as Q, spatial as SP, weather as WE
 from skyground.operators.fetches import fetch_outcomes
 from skyground.plans import daily, flights as PF, geography as PG, weather as PW
-from skyground.schemas import known_countries
+from skyground.plans.publish import publish_daily
+from skyground.schemas import CURRENT_WEATHER, GEOGRAPHY_COUNTRIES, GEOGRAPHY_PLACES, known_countries
 from skyground.session import pin_session, session_folder
 from skyground.sources.airports import airports_or_static
 from skyground.sources.pages import assemble_pages, missing_pages, void_listings
-from skyground.sources.tables import append_by_day, replace_day
+from skyground.sources.publish import RunLedger, read_runs, read_staged, write_audit_publish
+from skyground.sources.tables import append_by_day, replace_day, written
 from skyground.sources.view import CurrentView
 from skyground.streaming.ingest import flights_stream, ingest, ingest_landing, landing_stream
 from skyground.verification import landing as L
@@ -485,6 +487,49 @@ def q49_nearest_places(spark: SparkSession, sf: str) -> DataFrame:
     return SP.nearest_places(_cities(spark, sf), _airports(spark, sf), 1000, 50)
 
 
+def q50_run_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    # A run that is repeated adds nothing; another run of the day stands beside it.
+    folder = session_folder(spark, "q50")
+    ledger = RunLedger(spark, f"{folder}/runs")
+    weather = written(_weather(spark, sf), "q50")
+    for run_id in ("early", "early", "late"):
+        write_audit_publish(weather, f"{folder}/weather", "weather", run_id, ledger)
+    table = read_runs(spark, f"{folder}/weather", weather.schema)
+    return table.select("airport_iata_code", "temperature", "extraction_date", "run_id")
+
+
+def q51_audited_run(spark: SparkSession, sf: str) -> DataFrame:
+    # Of the wanted countries one is rejected, which leaves too few; the weather of the day passes.
+    out = session_folder(spark, "q51")
+    runs = {
+        run.dataset: run
+        for run in publish_daily(
+            spark,
+            out,
+            run_id="daily",
+            airports=_airports(spark, sf),
+            weather=_weather_landing(spark, sf),
+            country_pages=_country_pages(spark, sf),
+            place_documents=_documents(spark, sf),
+            run_at=RUN_AT,
+        )
+    }
+
+    def rows(name: str, schema: T.StructType, key: str) -> DataFrame:
+        if runs[name].outcome.published:
+            table = read_runs(spark, f"{out}/{name}", schema)
+        else:
+            table = read_staged(spark, f"{out}/{name}", "daily", schema)
+        where = "published" if runs[name].outcome.published else "staged"
+        return table.select(F.lit(name).alias("dataset"), F.lit(where).alias("kept"), F.col(key).cast("string").alias("key"))
+
+    return (
+        rows("current_weather", CURRENT_WEATHER, "airport_iata_code")
+        .unionByName(rows("geography_places", GEOGRAPHY_PLACES, "place_id"))
+        .unionByName(rows("geography_countries", GEOGRAPHY_COUNTRIES, "country_code"))
+    )
+
+
 def _pinned(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(pin_session(spark), sf_dir)
@@ -545,5 +590,7 @@ QUERIES: dict[str, Query] = {
         q47_hourly_snapshots,
         q48_incremental_view,
         q49_nearest_places,
+        q50_run_ledger,
+        q51_audited_run,
     )
 }
