@@ -13,24 +13,53 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 4 << 20
-#: Chunks a worker remembers before it starts afresh; about 200 bytes each.
-REMEMBERED = 600_000
+#: Bytes of chunks and ids a worker remembers, half of them the most recent ones.
+REMEMBERED_BYTES = 64 << 20
+#: What a chunk and its ids cost in objects and table entries, beside their own bytes.
+ENTRY_BYTES = 400
 
 
 class ChunkCache:
-    """Ids of chunks as little-endian bytes; ``encode`` gets the chunks not met so far."""
+    """Ids of chunks as little-endian bytes; ``encode`` gets the chunks not met so far.
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], remembered: int = REMEMBERED):
-        self.encode, self.remembered, self.known = encode, remembered, {}
+    Bounded by bytes in two generations: when the young one has its half, it becomes the old one and what was old
+    goes, so that chunks in use stay. What a single call asks for is not bounded by it; slices of texts bound that.
+    """
+
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], remembered: int = REMEMBERED_BYTES):
+        self.encode, self.half = encode, remembered // 2
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.size = 0
+
+    def _keep(self, chunk: str, blob: bytes) -> None:
+        cost = ENTRY_BYTES + len(chunk) + len(blob)
+        if cost > self.half:
+            return
+        if self.size + cost > self.half:
+            self.old, self.young, self.size = self.young, {}, 0
+        self.young[chunk] = blob
+        self.size += cost
 
     def ids(self, chunks: list[str]) -> list[bytes]:
-        new = [c for c in chunks if c not in self.known]
+        out: list[bytes | None] = []
+        new: dict[str, None] = {}
+        for chunk in chunks:
+            blob = self.young.get(chunk)
+            if blob is None:
+                blob = self.old.get(chunk)
+                if blob is None:
+                    new[chunk] = None
+                else:
+                    self._keep(chunk, blob)
+            out.append(blob)
         if new:
-            if len(self.known) + len(new) > self.remembered:
-                self.known = {}
-                new = chunks
-            self.known.update(zip(new, self.encode(new), strict=True))
-        return list(map(self.known.__getitem__, chunks))
+            names = list(new)
+            made = dict(zip(names, self.encode(names), strict=True))
+            for chunk, blob in made.items():
+                self._keep(chunk, blob)
+            out = [made[c] if blob is None else blob for c, blob in zip(chunks, out, strict=True)]
+        return out
 
 
 def encode_lists(lists: pa.ListArray, cache: ChunkCache) -> tuple[np.ndarray, np.ndarray]:

@@ -4,8 +4,8 @@ The model file is read as its protobuf and rebuilt: normaliser, metaspace marker
 byte fallback. A text's ids are gathered from the ids of its chunks: words, each with the markers before it. That holds
 for models no piece of which has a marker behind another character, and for which cutting is
 checked when a model is loaded; other models encode whole texts. Each new chunk is
-encoded by the rebuilt tokenizer, in batches and multithreaded where the process has threads, and by
-the sentencepiece library; where they differ the library's ids are taken and the text is
+encoded by the rebuilt tokenizer, in batches and multithreaded where the process has threads. Parity is verified
+against the sentencepiece library on each; where they differ the library's ids are taken and the text is
 marked, so that ids always agree with it.
 
 Defined cases: null text gives null ids; the empty text gives no ids; repeated rows are encoded alike; an empty table
@@ -36,6 +36,8 @@ MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 UNIGRAM, BPE = 1, 2
 RESULTS = ("ids", "parity")
+#: Chunks without parity a worker remembers.
+MOST_ODD = 50_000
 
 
 def read_model(path: str) -> pb.ModelProto:
@@ -124,11 +126,11 @@ class PieceCodec:
             theirs[chunks.index("")] = self.library.encode("\n ")[len(self.library.encode("\n")) :]
         out = []
         for chunk, a, b in zip(chunks, mine, theirs, strict=True):
-            if a.ids != b:
+            ids = a.ids
+            if ids != b:
                 self.odd.add(chunk)
-            out.append(np.array(b, "<u4").tobytes())
-        if len(self.odd) > self.cache.remembered:
-            self.odd &= set(chunks)
+                ids = b
+            out.append(np.array(ids, "<u4").tobytes())
         return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -146,6 +148,9 @@ class PieceCodec:
                 lists = pa.array(cut, pa.list_(pa.string()))
         else:
             lists = pa.ListArray.from_arrays(np.arange(len(texts) + 1, dtype=np.int32), texts)
+        if len(self.odd) > MOST_ODD:
+            # Found again as their chunks are: the cache goes with them.
+            self.odd, self.cache = set(), ChunkCache(self._encode)
         ids, bounds = encode_lists(lists, self.cache)
         same = np.ones(len(texts), bool)
         if self.odd:

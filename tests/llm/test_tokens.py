@@ -13,6 +13,7 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 from skyground.llm import packing, piece_codec
+from skyground.llm.chunks import ENTRY_BYTES, ChunkCache
 from skyground.llm.word_bpe import word_bpe
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
@@ -36,6 +37,38 @@ def test_word_ids_are_the_tokenizers():
         assert ids[bounds[i] : bounds[i + 1]].tolist() == whole.encode(text or "", add_special_tokens=False).ids
 
 
+def test_chunk_cache_is_bounded_by_bytes():
+    asked = []
+
+    def encode(chunks):
+        asked.extend(chunks)
+        return [c.encode() for c in chunks]
+
+    cache = ChunkCache(encode, remembered=100_000)
+    for i in range(3000):
+        assert cache.ids([f"w{i}", "often", f"w{i}", "x" * 60_000]) == [f"w{i}".encode(), b"often", f"w{i}".encode(), b"x" * 60_000]
+        held = sum(ENTRY_BYTES + len(c) + len(b) for part in (cache.young, cache.old) for c, b in part.items())
+        assert held <= 100_000
+    # What is in use stays, whatever else goes by; what is larger than a generation is encoded each time.
+    assert asked.count("often") == 1 and asked.count("w0") == 1 and asked.count("x" * 60_000) == 3000
+    cache.ids(["w0"])
+    assert asked.count("w0") == 2
+
+
+def test_ids_are_the_rebuilt_models(monkeypatch):
+    """A broken rebuild shows: parity goes, and only then the library's ids are taken."""
+    codec = piece_codec.PieceCodec(PIECE)
+    texts = pa.array(["hello wide world", "more words"])
+    ids, bounds, same = codec.encode(texts)
+    assert same.all()
+    broken = piece_codec.PieceCodec(PIECE)
+    other = Tokenizer.from_str(broken.rebuilt.to_str())
+    other.normalizer = piece_codec.normalizers.Sequence([piece_codec.normalizers.Lowercase(), piece_codec.normalizers.Replace("o", "0")])
+    broken.rebuilt = other
+    again, _, odd = broken.encode(texts)
+    assert not odd.any() and again.tolist() == ids.tolist()
+
+
 def test_sweep_places_everything_once():
     rng = np.random.default_rng(5)
     sizes = np.minimum(100, rng.geometric(0.05, 3000))
