@@ -494,6 +494,13 @@ SELECT 'geography_countries', 'published', country_code FROM countries""",
         (PLACES[0], f"{PLACES[1]} AND country_code IN (SELECT country_code FROM wanted)"),
         CATEGORISED,
     ),
+    "q52_distinct_over_days": _with(
+        """SELECT window_end, count(DISTINCT icao24) AS aircraft, true AS estimate_within_bound
+FROM (SELECT DISTINCT extraction_date AS window_end FROM flights)
+JOIN flights ON extraction_date BETWEEN window_end - 6 AND window_end GROUP BY window_end""",
+        STATES_SRC,
+        FLIGHTS,
+    ),
     "q38_empty_day": _with(
         "\nUNION ALL ".join(
             [

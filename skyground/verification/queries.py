@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from skyground.functions.text import location_key
 from skyground.functions.time import utc_timestamp
-from skyground.operators import airports as AP, current as CU, flights as FL, places as PL
+from skyground.operators import airports as AP, current as CU, distinct as DI, flights as FL, places as PL
 from skyground.operators import quality as Q, spatial as SP, weather as WE
 from skyground.operators.fetches import fetch_outcomes
 from skyground.plans import daily, flights as PF, geography as PG, weather as PW
@@ -530,6 +530,19 @@ def q51_audited_run(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def q52_distinct_over_days(spark: SparkSession, sf: str) -> DataFrame:
+    # Aircraft of rolling weeks, counted from the rows and from sketches stored per day.
+    folder = session_folder(spark, "q52")
+    flights = _flights(spark, sf)
+    append_by_day(DI.day_sketches(flights, "icao24"), folder)
+    exact = DI.exact_rolling(flights, "icao24", 7).withColumnRenamed("distinct_values", "aircraft")
+    near = DI.approx_rolling(spark.read.parquet(folder), "icao24", 7)
+    error = F.abs(F.col("distinct_values") - F.col("aircraft"))
+    return exact.join(near, "window_end").select(
+        "window_end", "aircraft", (error <= DI.error_bound() * F.col("aircraft")).alias("estimate_within_bound")
+    )
+
+
 def _pinned(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(pin_session(spark), sf_dir)
@@ -592,5 +605,6 @@ QUERIES: dict[str, Query] = {
         q49_nearest_places,
         q50_run_ledger,
         q51_audited_run,
+        q52_distinct_over_days,
     )
 }

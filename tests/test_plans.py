@@ -10,7 +10,7 @@ from skyground.verification.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 # These write while they are built; their plans only read back.
-WRITERS = {"q23_day_partitions", "q24_replace_day", "q25_stream_ingest", "q28_daily_run", "q29_day_tables", "q38_empty_day", "q39_row_counts", "q41_daily_rejects", "q46_stream_sinks", "q48_incremental_view", "q50_run_ledger", "q51_audited_run"}
+WRITERS = {"q23_day_partitions", "q24_replace_day", "q25_stream_ingest", "q28_daily_run", "q29_day_tables", "q38_empty_day", "q39_row_counts", "q41_daily_rejects", "q46_stream_sinks", "q48_incremental_view", "q50_run_ledger", "q51_audited_run", "q52_distinct_over_days"}
 
 
 def plan(spark, key):
