@@ -14,6 +14,7 @@ from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import VariantType
 
 # --- fixed values: what counts as a number -----------------------------------
 # A JSON null, boolean or number, or text holding a decimal number. The JVM also
@@ -24,6 +25,8 @@ _NUMBER = (
 )
 ALL_NUMBERS = rf"^\[{_NUMBER}(?:,{_NUMBER})*\]$"
 ALL_WHOLE = r"^(?:(?:BIGINT|VOID)(?:,|$))*$"
+# Where a stored column of leaves holds fractions as well, its whole numbers read as decimals without a place.
+ALL_STORED_WHOLE = r"^(?:(?:BIGINT|VOID|DECIMAL\([0-9]+,0\))(?:,|$))*$"
 ALL_COMPARABLE = r"^(?:(?:BIGINT|DOUBLE|BOOLEAN|DECIMAL\([0-9]+,[0-9]+\))(?:,|$))*$"
 ALL_OBJECTS = r"^(?:OBJECT(?:,|$))*$"
 # Range of a timestamp with a four-digit year, in seconds.
@@ -46,6 +49,13 @@ def document(payload: str | Column) -> Column:
     return F.try_parse_json(payload)
 
 
+def landed_document(landing: DataFrame) -> Column:
+    """The document of a landed row: its VARIANT where one was stored, else its text parsed."""
+    if "parsed" in landing.columns and isinstance(landing.schema["parsed"].dataType, VariantType):
+        return F.col("parsed")
+    return document("payload")
+
+
 def node(doc: Column, path: str) -> Column:
     """The raw sub-value: NULL when missing, a variant null when explicitly null."""
     return F.try_variant_get(doc, path, "variant")
@@ -109,9 +119,9 @@ def bad_integers(*raws: Column) -> Column:
     return reduce(or_, [integer(raw).isNull() & _present(raw) for raw in raws])
 
 
-def bad_whole(*raws: Column) -> Column:
-    """True when a leaf is there but is no JSON whole number in int range."""
-    return ~_kinds(raws).rlike(ALL_WHOLE) | bad_integers(*raws)
+def bad_whole(*raws: Column, stored: bool = False) -> Column:
+    """True when a leaf is there but is no JSON whole number in int range; ``stored`` documents do not tell 5.0 from 5."""
+    return ~_kinds(raws).rlike(ALL_STORED_WHOLE if stored else ALL_WHOLE) | bad_integers(*raws)
 
 
 def bad_measures(*raws: Column) -> Column:

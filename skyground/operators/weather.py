@@ -53,14 +53,19 @@ def parse_weather(landing: DataFrame) -> DataFrame:
     ``bad_payload`` covers text that is not a JSON object, a section that is
     there but no object, and a leaf of the wrong kind.
     """
-    docs = V.with_computed(landing, "doc", V.document("payload")).drop("payload")
+    stored = "parsed" in landing.columns
+    if stored:
+        # Leaves are asked of the stored column itself, so that the scan reads them alone.
+        docs = landing.drop("payload").withColumnRenamed("parsed", "doc")
+    else:
+        docs = V.with_computed(landing, "doc", V.document("payload")).drop("payload")
     doc = F.col("doc")
     bad = (
         ~V.is_object(doc)
         | V.bad_sections(*[V.node(doc, path) for path in SECTIONS])
         | _bad_conditions(doc)
         | V.bad_numbers(*_nodes(doc, NUMBERS))
-        | V.bad_whole(*_nodes(doc, WHOLE_NUMBERS))
+        | V.bad_whole(*_nodes(doc, WHOLE_NUMBERS), stored=stored)
         | V.bad_epochs(*_nodes(doc, EPOCHS))
     )
     typed = docs.select(

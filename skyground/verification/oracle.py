@@ -501,6 +501,8 @@ JOIN flights ON extraction_date BETWEEN window_end - 6 AND window_end GROUP BY w
         STATES_SRC,
         FLIGHTS,
     ),
+    "q53_variant_states": _with(f"SELECT * EXCLUDE (extraction_timestamp), {EPOCH} FROM accepted", STATES_SRC, ACCEPTED),
+    "q54_variant_weather": _with("SELECT * FROM observed", WEATHER_SRC, OBSERVED),
     "q38_empty_day": _with(
         "\nUNION ALL ".join(
             [

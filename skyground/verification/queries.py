@@ -18,6 +18,7 @@ from skyground.plans.publish import publish_daily
 from skyground.schemas import CURRENT_WEATHER, GEOGRAPHY_COUNTRIES, GEOGRAPHY_PLACES, known_countries
 from skyground.session import pin_session, session_folder
 from skyground.sources.airports import airports_or_static
+from skyground.sources.landing import as_variant
 from skyground.sources.pages import assemble_pages, missing_pages, void_listings
 from skyground.sources.publish import RunLedger, read_runs, read_staged, write_audit_publish
 from skyground.sources.tables import append_by_day, replace_day, written
@@ -543,6 +544,21 @@ def q52_distinct_over_days(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _stored(landing: DataFrame, name: str) -> DataFrame:
+    """The landing kept as VARIANT, written and read again."""
+    return written(as_variant(landing), name)
+
+
+def q53_variant_states(spark: SparkSession, sf: str) -> DataFrame:
+    landing = _stored(_states_landing(spark, sf), "q53")
+    return comparable(FL.accepted_states(FL.parse_states(landing)))
+
+
+def q54_variant_weather(spark: SparkSession, sf: str) -> DataFrame:
+    landing = _stored(_weather_landing(spark, sf), "q54")
+    return comparable(WE.good_weather(WE.parse_weather(landing)))
+
+
 def _pinned(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(pin_session(spark), sf_dir)
@@ -606,5 +622,7 @@ QUERIES: dict[str, Query] = {
         q50_run_ledger,
         q51_audited_run,
         q52_distinct_over_days,
+        q53_variant_states,
+        q54_variant_weather,
     )
 }

@@ -87,3 +87,40 @@ def test_generated_code_stays_within_the_jit_limit(spark):
             QUERIES[key](spark, SF_DIR).explain("codegen")
         sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
         assert sizes and max(sizes) < 8000, (key, sizes)
+
+
+def test_stored_documents_are_read_by_leaf(spark):
+    text = plan(spark, "q54_variant_weather")
+    schema = re.search(r"ReadSchema: (\S+)", text).group(1)
+    # Leaves by number in place of whole documents, and no text to parse.
+    assert "doc" not in schema and "parsed:struct<0:" in schema and "payload" not in schema
+    assert "parse_json" not in text
+
+
+def test_both_forms_of_a_landing_parse_alike(spark, tmp_path):
+    import json
+
+    from pyspark.sql import functions as F
+
+    from skyground.operators.flights import parse_states, with_raw
+    from skyground.operators.weather import parse_weather
+    from skyground.sources.landing import as_variant, unreadable_documents
+
+    slots = ["a", " C ", "Spain", None, 5, 1.5, "2.5", None, 0, 1, None, None, None, None, "1", False, 0]
+    payloads = [
+        json.dumps({"states": [slots, slots[:3], [*slots[:4], "x", *slots[5:]], None, "s"]}), '{"states":null}', "{}", "[1]", "<html>", None,
+    ]
+    df = spark.createDataFrame([(p,) for p in payloads], "payload string").withColumn("extraction_timestamp", F.lit("2024-01-01").cast("timestamp"))
+    as_variant(df).coalesce(1).write.parquet(f"{tmp_path}/states")
+    stored = spark.read.parquet(f"{tmp_path}/states")
+    seen = lambda rows: sorted(map(str, with_raw(parse_states(rows, keep_unreadable=True)).collect()))
+    assert seen(stored) == seen(df) and len(seen(df)) == 8
+    assert unreadable_documents(stored).count() == unreadable_documents(df).count()
+    main = lambda **more: json.dumps({"main": {"temp": 1.5, "humidity": 80, **more}, "visibility": 9})
+    # Whole numbers beside fractions and text: only those that are no whole numbers are rejected.
+    payloads = [main(), main(humidity=80.5), main(temp="12.5", humidity=None), main(humidity="x"), "{}", '{"main":null}', '{"main":5}', "no", None]
+    df = spark.createDataFrame([(i, 200, p) for i, p in enumerate(payloads)], "n int, http_status int, payload string")
+    as_variant(df).coalesce(1).write.parquet(f"{tmp_path}/weather")
+    stored = spark.read.parquet(f"{tmp_path}/weather")
+    seen = lambda rows: sorted(map(str, parse_weather(rows).select("n", "outcome", "temperature", "humidity", "visibility").collect()))
+    assert seen(stored) == seen(df)
