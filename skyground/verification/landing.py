@@ -1,7 +1,7 @@
 """Landed payloads made from the adapters, so that queries start from raw JSON.
 
 Spark builds every payload. Documents that hold several items hold a bounded
-number of them: one page, or the first places of a country.
+number of them: one page, some hundreds of states, or the places of a country within a range of ids.
 """
 
 from __future__ import annotations
