@@ -256,14 +256,17 @@ def q28_daily_run(spark: SparkSession, sf: str) -> DataFrame:
 def q29_day_tables(spark: SparkSession, sf: str) -> DataFrame:
     # Two runs append to the same day; a replaced day then holds one.
     folder = session_folder(spark, "q29")
+    tables = {
+        "current_weather": _weather(spark, sf),
+        "geography_places": _places(spark, sf),
+        "geography_countries": PG.countries_table(_country_items(spark, sf), utc_timestamp(RUN_AT)),
+    }
+    # Worked out once, written four times.
+    tables = {dataset: written(table, "q29") for dataset, table in tables.items()}
     for name, write in (("appended", append_by_day), ("replaced", replace_day)):
         for _ in range(2):
-            write(_weather(spark, sf), f"{folder}/{name}/current_weather")
-            write(_places(spark, sf), f"{folder}/{name}/geography_places")
-            write(
-                PG.countries_table(_country_items(spark, sf), utc_timestamp(RUN_AT)),
-                f"{folder}/{name}/geography_countries",
-            )
+            for dataset, table in tables.items():
+                write(table, f"{folder}/{name}/{dataset}")
     rows = None
     for name in ("appended", "replaced"):
         for dataset, key, text in (
