@@ -12,9 +12,11 @@
    are sorted by that, and equal neighbours start the same string. Names are ranks of real bytes, so no
    fingerprint decides here.
 4. An anchor with very many different intervals, or very many bytes of them, is a group that no task should hold: a
-   common line amid different texts makes one. Its bytes do not move; each window's 128-bit fingerprint does, and
-   windows whose fingerprint occurs again are repeated. Those are counted by a plain aggregation, so
-   what a task holds does not grow with the crowd.
+   common line amid different texts makes one. Equal windows hold the anchor at one offset, so its windows are
+   halved by that offset: all windows of a half have some 200 bytes around the anchor in common, and an interval meets only
+   those that agree there. What meets none is done, equal stretches are settled as in step 2, small groups are ordered as in
+   step 3, and what is still crowded is halved again, with more bytes in common, until a half is one offset
+   and its bytes are the window. A level is two rows for an interval of the last one, and plain aggregations.
 
 Documents of which nothing repeats never move after sampling. A suffix array over all bytes would carry every position
 through several sorts; sampling leaves out only positions that cannot repeat.
@@ -28,6 +30,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +46,7 @@ GRAM = 32
 STRETCH = 1 << 18
 #: Bytes ordered together; ranks of positions then fit 21 bits, three of them one sort key.
 ORDERED = 1 << 21
-#: Different intervals of one anchor beyond which its windows are counted by fingerprint.
+#: Different intervals of one anchor beyond which its windows are halved by offset.
 CROWD = 1024
 BASE = 0x9E3779B97F4A7C15
 INTERVALS = "_a long, _b int, s long, n int, anchor long, print long, twice boolean"
@@ -217,12 +220,137 @@ def _order(length: int):
     return run
 
 
-def _batch(rows: list[tuple], kinds: tuple[pa.DataType, ...], names: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names
+PIECES = "grp binary, print binary, _a long, _b int, s long, lo int, hi int, at int, part binary"
+PIECE_TYPES = (
+    pa.binary(),
+    pa.binary(),
+    pa.int64(),
+    pa.int32(),
+    pa.int64(),
+    pa.int32(),
+    pa.int32(),
+    pa.int32(),
+    pa.binary(),
+)
+PIECE_NAMES = [field.split()[0] for field in PIECES.split(", ")]
+
+
+def _halved(a: int, b: int, s: int, lo: int, hi: int, at: int, part: bytes, length: int) -> Iterator[tuple]:
+    """The one or two pieces of a piece: its windows whose anchor stands at the lower and the upper offsets of ``lo..hi``.
+
+    ``part`` starts at ``s`` and holds the piece's windows, the anchor at ``at`` in it.
+    """
+    middle = (lo + hi) // 2
+    least = at - (len(part) - length)
+    for low, high in ((lo, middle), (middle + 1, hi)):
+        first, last = max(low, least), min(high, at)
+        if first > last:
+            continue
+        bytes_ = part[at - last : at - first + length]
+        # What every window with the anchor at low..high has, whichever of them the piece has.
+        shared = bytes_[last - low : last - high + length]
+        yield (
+            xxhash.xxh3_128_digest(struct.pack("<ii", low, high) + shared),
+            xxhash.xxh3_128_digest(struct.pack("<ii", first, last) + bytes_),
+            a,
+            b,
+            s + at - last,
+            low,
+            high,
+            last,
+            bytes_,
+        )
+
+
+def _pieces(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Batches of pieces, about ``ORDERED`` bytes each."""
+    held: list[tuple] = []
+    size = 0
+    for row in rows:
+        held.append(row)
+        size += len(row[-1]) + 100
+        if size > ORDERED:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*held, strict=True), PIECE_TYPES, strict=True)], names=PIECE_NAMES
+            )
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*held, strict=True), PIECE_TYPES, strict=True)], names=PIECE_NAMES
+        )
+
+
+def _split_intervals(length: int):
+    """Pieces of intervals, by the first place of the anchor in each window."""
+
+    def rows(batches: Iterator[pa.RecordBatch], powers: _Powers) -> Iterator[tuple]:
+        for batch in batches:
+            for i in range(len(batch)):
+                anchor, a, b, s, part = (c[i].as_py() for c in batch.columns)
+                prints, _ = anchors(np.frombuffer(part, np.uint8), length, powers)
+                places = np.flatnonzero(prints.view(np.int64) == anchor)
+                windows = len(part) - length + 1
+                edges = [0, *(places[places < windows - 1] + 1).tolist(), windows]
+                for start, end, place in zip(edges, edges[1:], places.tolist(), strict=False):
+                    piece = part[start : end + length - 1]
+                    yield from _halved(a, b, s + start, 0, length - GRAM, place - start, piece, length)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _pieces(rows(batches, _Powers(STRETCH + length)))
+
+    return run
+
+
+def _split_pieces(length: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _pieces(
+            piece
+            for batch in batches
+            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True)
+            for piece in _halved(*row, length)
+        )
+
+    return run
+
+
+def _ordered(parts: DataFrame, key: str, length: int) -> DataFrame:
+    """Runs of repeated windows among ``parts`` that agree in ``key``, whose groups are bounded."""
+    return (
+        parts.select(key, "_a", "_b", "s", "part")
+        .repartition(shuffle_partitions(parts.sparkSession) * 2, key)
+        .sortWithinPartitions(key)
+        .mapInArrow(_order(length), "_a long, _b int, lo long, hi long")
     )
 
 
+def crowded_repeats(intervals: DataFrame, length: int) -> list[DataFrame]:
+    """Runs of repeated windows of intervals whose anchors are crowded: ``anchor, _a, _b, s, part``."""
+    pieces = intervals.mapInArrow(_split_intervals(length), PIECES)
+    found: list[DataFrame] = []
+    while True:
+        pieces = staged(pieces, "pieces")
+        same = pieces.groupBy("grp", "print").agg(
+            F.count("*").alias("copies"), F.min(F.struct("_a", "_b", "s")).alias("one"), F.max(F.length("part")).alias("n")
+        )
+        same = staged(same, "same")
+        again = pieces.join(same.filter("copies > 1").select("grp", "print").hint("merge"), ["grp", "print"])
+        found.append(
+            again.select("_a", "_b", F.col("s").alias("lo"), (F.col("s") + F.length("part") - length + 1).alias("hi"))
+        )
+        groups = same.groupBy("grp").agg(F.count("*").alias("members"), F.sum("n").alias("size")).filter("members > 1")
+        crowded = (F.col("members") > CROWD) | (F.col("size") > ORDERED)
+        alive = same.join(groups.hint("merge"), "grp").select("grp", "one._a", "one._b", "one.s", crowded.alias("crowded"))
+        alive = staged(alive, "alive")
+        keys = ["grp", "_a", "_b", "s"]
+        few = pieces.join(alive.filter("not crowded").select(*keys).hint("merge"), keys)
+        found.append(_ordered(few, "grp", length))
+        if alive.filter("crowded").isEmpty():
+            return found
+        # A piece of one offset has all its bytes in its group, so that no group of such has two members.
+        many = pieces.join(alive.filter("crowded").select(*keys).hint("merge"), keys)
+        pieces = many.select("_a", "_b", "s", "lo", "hi", "at", "part").mapInArrow(_split_pieces(length), PIECES)
+
+
 def repeats(keyed: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     """Runs ``[lo, hi)`` of starts of repeated windows per document key, and the documents that have candidates.
 
@@ -270,46 +398,30 @@ def repeats(keyed: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFram
     )
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Bytes of an interval, or, of a crowded anchor, its windows' fingerprints in two halves."""
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
-        names = ["anchor", "print", "_a", "_b", "s", "part"]
+        """Bytes of the wanted intervals."""
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.binary())
+        names = ["anchor", "_a", "_b", "s", "crowded", "part"]
         for batch in batches:
             out: list[tuple] = []
             for a, b, raw, wanted in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 for w in wanted:
-                    if not w["crowded"]:
-                        out.append((w["anchor"], None, a, b, w["s"], raw[w["s"] : w["s"] + w["n"] + length - 1]))
-                        continue
-                    whole = memoryview(raw)
-                    for s in range(w["s"], w["s"] + w["n"]):
-                        digest = xxhash.xxh3_128_digest(whole[s : s + length])
-                        out.append((*struct.unpack("<qq", digest), a, b, s, None))
-                    if len(out) > STRETCH:
-                        yield _batch(out, kinds, names)
-                        out = []
+                    part = raw[w["s"] : w["s"] + w["n"] + length - 1]
+                    out.append((w["anchor"], a, b, w["s"], w["crowded"], part))
             if out:
-                yield _batch(out, kinds, names)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names
+                )
 
     parts = touched.join(wanted.hint("merge"), ["_a", "_b"]).select("_a", "_b", "_bytes", "wanted")
-    parts = parts.mapInArrow(take, "anchor long, print long, _a long, _b int, s long, part binary")
+    parts = parts.mapInArrow(take, "anchor long, _a long, _b int, s long, crowded boolean, part binary")
     some = not crowd.filter("crowded").isEmpty()
     if some:
         # Read twice below.
         parts = staged(parts, "parts")
-    ordered = (
-        parts.filter("part is not null")
-        .select("anchor", "_a", "_b", "s", "part")
-        .repartition(shuffle_partitions(spark) * 2, "anchor")
-        .sortWithinPartitions("anchor")
-        .mapInArrow(_order(length), "_a long, _b int, lo long, hi long")
-    )
-    runs = whole.union(ordered)
+    found = [whole, _ordered(parts.filter("not crowded"), "anchor", length)]
     if some:
-        windows = parts.filter("part is null").select("anchor", "print", "_a", "_b", "s")
-        common = windows.groupBy("anchor", "print").count().filter("count > 1").select("anchor", "print")
-        crowded = windows.join(staged(common, "common").hint("merge"), ["anchor", "print"])
-        runs = runs.union(crowded.select("_a", "_b", F.col("s").alias("lo"), (F.col("s") + 1).alias("hi")))
-    return runs, touched
+        found += crowded_repeats(parts.filter("crowded").select("anchor", "_a", "_b", "s", "part"), length)
+    return reduce(DataFrame.union, found), touched
 
 
 def keyed(docs: DataFrame) -> DataFrame:

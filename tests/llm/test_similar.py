@@ -137,8 +137,7 @@ def test_a_crowd_does_not_meet_in_one_task(spark, monkeypatch):
         def check(batches):
             seen = collections.Counter()
             for batch in batches:
-                keys = [batch.column(n).to_pylist() for n in ("anchor", "piece") if n in batch.schema.names]
-                seen.update(zip(*keys, strict=True))
+                seen.update(batch.column(0).to_pylist())
                 assert max(seen.values()) <= crowd
                 yield from run(iter([batch]))
 
@@ -154,6 +153,27 @@ def test_a_crowd_does_not_meet_in_one_task(spark, monkeypatch):
     assert got == brute_repeats(rows, 400)
 
 
+def test_a_crowd_is_halved_by_offset(spark, monkeypatch):
+    """Passages of more than a window amid different text: few rows an interval, not one a window."""
+    levels, stage = [], suffix_dedup.staged
+
+    def counted(df, name):
+        out = stage(df, name)
+        if name == "pieces":
+            levels.append(out.count())
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "CROWD", 20)
+    monkeypatch.setattr(suffix_dedup, "staged", counted)
+    line = sentence(56, 60)[:470]
+    rows = [(i, sentence(2000 + i, 50) + line + sentence(3000 + i, 50)) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.Counter(tuple(r) for r in suffix_dedup.digests(docs).collect())
+    assert got == brute_repeats(rows, 400)
+    windows = 150 * (470 - 400 + 1)
+    assert 1 < len(levels) <= 9 and sum(levels) < windows / 2
+
+
 def test_repeats_of_nothing(spark, nothing, clashing):
     assert suffix_dedup.digests(nothing).count() == 0
     assert suffix_dedup.digests(clashing).count() == clashing.count()
