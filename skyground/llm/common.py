@@ -7,7 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyground.session import shared_folder
+from skyground.session import remove_folder, shared_folder
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -28,7 +28,15 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").mode("overwrite").parquet(path)
     # The shuffle files of the job just done go with its objects, not some time later.
     df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def freed(*tables: DataFrame) -> None:
+    """Remove :func:`staged` tables whose readers have all been written themselves."""
+    for done in tables:
+        remove_folder(done.sparkSession, done._staged_at)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyground.llm.common import shuffle_partitions, staged
+from skyground.llm.common import freed, shuffle_partitions, staged
 
 LENGTH = 400
 GRAM = 32
@@ -333,21 +333,19 @@ def crowded_repeats(intervals: DataFrame, length: int) -> list[DataFrame]:
             F.count("*").alias("copies"), F.min(F.struct("_a", "_b", "s")).alias("one"), F.max(F.length("part")).alias("n")
         )
         same = staged(same, "same")
-        again = pieces.join(same.filter("copies > 1").select("grp", "print").hint("merge"), ["grp", "print"])
-        found.append(
-            again.select("_a", "_b", F.col("s").alias("lo"), (F.col("s") + F.length("part") - length + 1).alias("hi"))
-        )
+        again = same.filter("copies > 1").select("grp", "print", "n").hint("merge")
+        again = pieces.select("grp", "print", "_a", "_b", "s").join(again, ["grp", "print"])
+        found.append(again.select("_a", "_b", F.col("s").alias("lo"), (F.col("s") + F.col("n") - length + 1).alias("hi")))
         groups = same.groupBy("grp").agg(F.count("*").alias("members"), F.sum("n").alias("size")).filter("members > 1")
         crowded = (F.col("members") > CROWD) | (F.col("size") > ORDERED)
         alive = same.join(groups.hint("merge"), "grp").select("grp", "one._a", "one._b", "one.s", crowded.alias("crowded"))
-        alive = staged(alive, "alive")
-        keys = ["grp", "_a", "_b", "s"]
-        few = pieces.join(alive.filter("not crowded").select(*keys).hint("merge"), keys)
-        found.append(_ordered(few, "grp", length))
-        if alive.filter("crowded").isEmpty():
+        # One member of each kind goes on; the bytes of a level move once.
+        alive = staged(pieces.drop("print").join(alive.hint("merge"), ["grp", "_a", "_b", "s"]), "alive")
+        found.append(_ordered(alive.filter("not crowded"), "grp", length))
+        many = alive.filter("crowded")
+        if many.isEmpty():
             return found
         # A piece of one offset has all its bytes in its group, so that no group of such has two members.
-        many = pieces.join(alive.filter("crowded").select(*keys).hint("merge"), keys)
         pieces = many.select("_a", "_b", "s", "lo", "hi", "at", "part").mapInArrow(_split_pieces(length), PIECES)
 
 
@@ -365,7 +363,9 @@ def repeats(keyed: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFram
         .select("anchor")
     )
     # Merge joins throughout: either side grows with the documents. Both are plain shuffles, so hot anchors are split.
-    candidates = staged(intervals.join(staged(again, "again").hint("merge"), "anchor", "left_semi"), "candidates")
+    again = staged(again, "again")
+    candidates = staged(intervals.join(again.hint("merge"), "anchor", "left_semi"), "candidates")
+    freed(intervals, again)
     groups = staged(
         candidates.groupBy("anchor", "print").agg(
             F.count("*").alias("copies"),
@@ -390,12 +390,9 @@ def repeats(keyed: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFram
         .groupBy("one._a", "one._b")
         .agg(F.collect_list(F.struct("one.s", "one.n", "anchor", "crowded")).alias("wanted"))
     )
-    touched = staged(
-        keyed.join(
-            candidates.select("_a", "_b").distinct().hint("merge"), ["_a", "_b"], "left_semi"
-        ),
-        "touched",
-    )
+    # Bytes move once for both: the documents to cut, and their intervals to look at.
+    about = candidates.select("_a", "_b").distinct().join(wanted.hint("merge"), ["_a", "_b"], "left")
+    touched = staged(keyed.join(about.hint("merge"), ["_a", "_b"]), "touched")
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Bytes of the wanted intervals."""
@@ -412,7 +409,7 @@ def repeats(keyed: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFram
                     [pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names
                 )
 
-    parts = touched.join(wanted.hint("merge"), ["_a", "_b"]).select("_a", "_b", "_bytes", "wanted")
+    parts = touched.filter("wanted is not null").select("_a", "_b", "_bytes", "wanted")
     parts = parts.mapInArrow(take, "anchor long, _a long, _b int, s long, crowded boolean, part binary")
     some = not crowd.filter("crowded").isEmpty()
     if some:
