@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyground.llm import exact_dedup, language_id, ngram_join, packing, secret_scan
-from skyground.llm.common import staged, table
+from skyground.llm.common import freed, staged, table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,8 +59,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's rows are written and read again as the next one's."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; each stage's rows are written and read again as the next one's, and go after it."""
+    docs, done = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        freed(*done)
+        done = [docs]
     return docs
