@@ -2,8 +2,9 @@
 
 The index is a table bucketed and sorted by digest. A batch is digested once, its own copies
 are counted by a pre-aggregating group-by, and one row per digest meets the index in a
-sort-merge join to which the index side brings no shuffle. Digests that the index lacks are
-appended. Running a batch again appends nothing.
+sort-merge anti-join to which the index side brings no shuffle. Digests that the index lacks are
+appended, with the row that stays and the batch that brought it. What becomes of every row is then read from the
+index, by a second sort-merge join. Running a batch again appends nothing.
 
 Defined cases: null text is the empty text; of equal texts the row with the largest ``doc_id``
 stays (null smallest), of rows that tie on it exactly one; a text the index already holds
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 from skyground.llm.common import ascii_lower, boxed, others, scratch, shuffle_partitions, staged, unboxed
 
 RESULTS = ("keep_id", "group_size", "kept", "text_sha256")
+# A first load meets the index in so many ranges of doc_id.
+PARTS = 2
 
 
 class DigestIndex:
@@ -33,7 +36,7 @@ class DigestIndex:
         self.buckets = buckets or shuffle_partitions(spark)
         self.name = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(
-            f"CREATE TABLE {self.name} (digest STRING, keep_id BIGINT, group_size BIGINT)"
+            f"CREATE TABLE {self.name} (digest STRING, keep_id BIGINT, group_size BIGINT, batch STRING, keep_row BIGINT)"
             f" USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS"
             f" LOCATION '{self.path}'"
         )
@@ -43,16 +46,21 @@ class DigestIndex:
 
     def append(self, entries: DataFrame) -> None:
         """Add entries whose digests are new; dealt by bucket, so each bucket gets one file."""
-        entries.select("digest", "keep_id", "group_size").repartition(self.buckets, "digest").write.insertInto(
-            self.name
-        )
+        columns = ("digest", "keep_id", "group_size", "batch", "keep_row")
+        entries.select(*columns).repartition(self.buckets, "digest").write.insertInto(self.name)
         self.spark.catalog.refreshTable(self.name)
 
+    def close(self) -> None:
+        """Take the table's name out of the catalog; its folder stays and can be reopened."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
 
-def deduplicate(docs: DataFrame, index: DigestIndex, columns: list[str] | None = None) -> DataFrame:
+def deduplicate(docs: DataFrame, index: DigestIndex, columns: list[str] | None = None, parts: int = 1) -> DataFrame:
     """Every row of ``docs`` with :data:`RESULTS`; appends what is new to ``index``.
 
-    ``columns`` limits what is carried along (default: all of ``docs``); the text is read once.
+    ``columns`` limits what is carried along (default: all of ``docs``); the text is read once. ``parts`` loads the
+    batch in so many ranges of ``doc_id``, largest first, each against what the index then holds; the result is
+    the same for any number.
     """
     carried = others(docs.select(*columns) if columns is not None else docs, RESULTS)
     rows = staged(
@@ -64,25 +72,31 @@ def deduplicate(docs: DataFrame, index: DigestIndex, columns: list[str] | None =
         ),
         "digests",
     )
-    groups = rows.groupBy("_digest").agg(
-        F.max(F.struct("_doc", "_row")).alias("_keeper"), F.count("*").alias("_size")
-    )
-    # One row per digest; read again below, so it is written once.
-    known = index.read().select(
-        F.col("digest").alias("_digest"), F.col("keep_id").alias("_known"), F.col("group_size").alias("_before")
-    )
+    batch = uuid.uuid4().hex
+    for part in _parts(rows, parts):
+        groups = part.groupBy(F.col("_digest").alias("digest")).agg(
+            F.max(F.struct("_doc", "_row")).alias("_keeper"), F.count("*").alias("group_size")
+        )
+        fresh = groups.select(
+            "digest",
+            F.col("_keeper._doc").alias("keep_id"),
+            "group_size",
+            F.lit(batch).alias("batch"),
+            F.col("_keeper._row").alias("keep_row"),
+        )
+        index.append(fresh.join(index.read().hint("merge"), "digest", "left_anti"))
+    # What the index says of each digest, whichever batch brought it; read again below, so it is written once.
+    sizes = rows.groupBy("_digest").agg(F.count("*").alias("_size"))
+    entries = index.read().withColumnRenamed("digest", "_digest").withColumn("_ours", F.col("batch") == batch)
     verdicts = staged(
-        groups.join(known.hint("merge"), "_digest", "left").select(
+        sizes.join(entries.hint("merge"), "_digest").select(
             "_digest",
-            F.coalesce("_known", "_keeper._doc").alias("keep_id"),
-            (F.col("_size") + F.coalesce("_before", F.lit(0))).alias("group_size"),
-            F.col("_before").isNotNull().alias("_seen"),
-            F.when(F.col("_before").isNull(), F.col("_keeper._row")).alias("_keep_row"),
+            "keep_id",
+            F.when(F.col("_ours"), F.col("_size")).otherwise(F.col("group_size") + F.col("_size")).alias("group_size"),
+            F.when(F.col("_ours"), F.col("keep_row")).alias("_keep_row"),
         ),
         "verdicts",
     )
-    fresh = verdicts.select(F.col("_digest").alias("digest"), "keep_id", "group_size")
-    index.append(fresh.join(index.read().hint("merge"), "digest", "left_anti"))
     # Both sides are plain shuffles here: adaptive execution splits a digest that a third of the rows carry.
     return rows.join(verdicts.hint("merge"), "_digest").select(
         *unboxed(carried),
@@ -93,8 +107,24 @@ def deduplicate(docs: DataFrame, index: DigestIndex, columns: list[str] | None =
     )
 
 
+def _parts(rows: DataFrame, parts: int) -> list[DataFrame]:
+    """``rows`` in ``parts`` ranges of ``_doc``, largest first; rows without one are in the last."""
+    if parts == 1:
+        return [rows]
+    at = [1 - i / parts for i in range(1, parts)]
+    cuts = rows.agg(F.percentile_approx("_doc", at).alias("cuts")).first()["cuts"]
+    if cuts is None:
+        return [rows]
+    number = F.lit(parts - 1)
+    for i, cut in reversed(list(enumerate(cuts))):
+        number = F.when(F.col("_doc") > cut, F.lit(i)).otherwise(number)
+    return [rows.filter(number == i) for i in range(parts)]
+
+
 def keep_first(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with its columns."""
     whole = docs.select("doc_id", "text", boxed(docs.columns))
-    kept = deduplicate(whole, DigestIndex(docs.sparkSession), ["_box"]).filter("kept")
+    index = DigestIndex(docs.sparkSession)
+    kept = deduplicate(whole, index, ["_box"], PARTS).filter("kept")
+    index.close()
     return kept.select(*unboxed(docs.columns))
