@@ -7,7 +7,7 @@ errors, the sites are counted exactly. Lines on at least ``min_sites`` sites are
 they stand.
 
 Defined cases: null text is the empty text; a line is trimmed of blanks before hashing, and
-lines that are then shorter than ``min_chars`` always stay; null site counts as one site of its
+lines that are then empty (or shorter than ``min_chars``, if one asks for more) always stay; null site counts as one site of its
 own; repeated rows are treated alike; an empty table gives no rows. Columns of the documents are
 kept unless a result column has their name.
 """
@@ -17,10 +17,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyground.functions.variant import with_computed
 from skyground.llm.common import boxed, others, staged, unboxed
 
 MIN_SITES = 6
-MIN_CHARS = 10
+MIN_CHARS = 1
 LOG_K = 8
 BAND = 4.0
 RESULTS = ("n_lines", "n_removed", "kept_text")
@@ -85,7 +86,8 @@ def remove_boilerplate(
     """Every document with its line counts and ``kept_text``."""
     carried = others(docs, RESULTS)
     numbered = docs.select(
-        F.xxhash64("doc_id", "text").alias("_row"), F.col(site).alias("site"), "text", boxed(carried)
+        # Two hashes of 64 bits name a row, as they do a line.
+        F.struct(F.xxhash64("doc_id", "text"), F.xxhash64(F.lit(1), "doc_id", "text")).alias("_row"), F.col(site).alias("site"), "text", boxed(carried)
     )
     lines = staged(_lines(numbered.select("_row", "site", "text"), min_chars), "lines")
     drop = staged(boilerplate(lines, min_sites, log_k, band), "boilerplate")
@@ -99,13 +101,14 @@ def remove_boilerplate(
     )
     # Always by shuffle: the list of removals grows with the documents.
     joined = numbered.join(staged(removed, "removed").hint("merge"), "_row", "left")
-    parts = F.split(F.coalesce("text", F.lit("")), "\n")
+    split = with_computed(joined, "_parts", F.split(F.coalesce("text", F.lit("")), "\n"))
+    parts = F.col("_parts")
+    # Both steps take time linear in the lines: a set of removed places, then one look per place that stays.
+    places = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_removed"))
     kept = F.when(F.col("_removed").isNull(), F.coalesce("text", F.lit(""))).otherwise(
-        F.array_join(
-            F.filter(parts, lambda line, i: ~F.array_contains(F.col("_removed"), i)), "\n"
-        )
+        F.array_join(F.transform(places, lambda i: F.get(parts, i)), "\n")
     )
-    return joined.select(
+    return split.select(
         *unboxed(carried),
         F.size(parts).cast("long").alias("n_lines"),
         F.coalesce(F.size("_removed"), F.lit(0)).cast("long").alias("n_removed"),
