@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from skyground.llm.line_dedup import MIN_CHARS, MIN_SITES
-from skyground.llm.secret_scan import ACCESS, ASSIGN, HEX, TOKEN
+from skyground.llm.secret_scan import ACCESS, ASSIGN, FEW_DOCS, HEX, MANY_DOCS, MAX_OWNERS, TOKEN
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -89,8 +89,15 @@ tokens AS (SELECT * FROM ({
         "regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[0-9]')",
     )
 }) t WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.row = t.row AND b.start < t.stop AND t.start < b.stop)),
-owners AS (SELECT secret, count(DISTINCT source) AS n FROM (FROM base UNION ALL FROM tokens) GROUP BY secret),
-spans AS (SELECT s.*, n <= 1 AS live FROM (FROM base UNION ALL FROM tokens) s JOIN owners USING (secret)),
+owners AS (
+  SELECT secret, count(DISTINCT source) AS n_owners, count(DISTINCT row) AS n_docs
+  FROM (FROM base UNION ALL FROM tokens) GROUP BY secret
+),
+spans AS (
+  SELECT s.*, n_owners, n_docs,
+         (n_owners <= {MAX_OWNERS} OR (n_owners <= {MAX_OWNERS} + 1 AND n_docs <= {FEW_DOCS})) AND n_docs < {MANY_DOCS} AS live
+  FROM (FROM base UNION ALL FROM tokens) s JOIN owners USING (secret)
+),
 grouped AS (
   SELECT row,
          count(*) FILTER (WHERE kind = 'assign') AS n_assign,
@@ -99,6 +106,7 @@ grouped AS (
          count(*) FILTER (WHERE kind = 'owned' AND live) AS n_owned,
          count(*) FILTER (WHERE kind <> 'owned' AND live) AS n_live,
          count(*) FILTER (WHERE kind <> 'owned' AND NOT live) AS n_example,
+         max(n_docs) AS n_docs, max(n_owners) AS n_owners,
          string_agg(concat_ws(':', kind, start::BIGINT, stop::BIGINT), ',' ORDER BY start, rank)
            FILTER (WHERE kind <> 'owned') AS base,
          string_agg(concat_ws(':', kind, start::BIGINT, stop::BIGINT), ',' ORDER BY start, rank)
@@ -107,7 +115,8 @@ grouped AS (
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
-       coalesce(n_owned, 0) AS n_owned, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+       coalesce(n_owned, 0) AS n_owned, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example,
+       coalesce(n_docs, 0) AS n_docs, coalesce(n_owners, 0) AS n_owners
 FROM d LEFT JOIN grouped USING (row)
 """
 

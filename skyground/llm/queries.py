@@ -31,7 +31,10 @@ def code_search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return exact_dedup.deduplicate(docs, exact_dedup.DigestIndex(spark), columns=["doc_id"])
+    index = exact_dedup.DigestIndex(spark)
+    out = exact_dedup.deduplicate(docs, index, columns=["doc_id"], parts=exact_dedup.PARTS)
+    index.close()
+    return out
 
 
 def language_id_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +52,7 @@ def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def secret_scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return secret_scan.scan(docs).drop("source")
+    return secret_scan.scan(docs, by_docs=True).drop("source")
 
 
 def ngram_join_query(spark: SparkSession, sf_dir: str) -> DataFrame:

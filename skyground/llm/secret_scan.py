@@ -3,13 +3,13 @@
 Three base patterns give spans per document. The secret of each span, and every other long
 mixed-case token with digits, is a candidate. Candidate hashes are counted over the corpus: in how
 many documents (repositories) and for how many owners they occur. A candidate of several owners
-is an example people copy; one that stays with a single owner looks live. The pipeline weighs documents as well: one in
+is an example people copy; one that stays with a single owner looks live. Where ``by_docs`` is asked, documents weigh as well: one in
 very many documents is an example also with a single owner, one of two owners in a few documents still
 looks live. Tokens that look
 live become spans of kind ``owned`` beside the base spans; base spans always stay and carry their
 verdict.
 
-The query's candidates are those its SQL states. Masking takes whole runs of the base64 letters instead, so that
+The query weighs both as well. Its candidates are those its SQL states. Masking takes whole runs of the base64 letters instead, so that
 no key is left in part and keys without a capital or a digit are found.
 
 Positions come from the pieces between matches, so that each pattern is run on a whole text by
@@ -22,9 +22,10 @@ the documents of the same name; the others are carried along.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyground.functions.variant import with_computed
 from skyground.llm.common import boxed, others, staged, unboxed
 
 # The three patterns and the least lengths. Letters of the first are spelt in both cases.
@@ -58,46 +59,78 @@ MIXED_TOKEN = (
 WORDS = r"(?<![A-Za-z0-9])(?:[A-Z]?[a-z]*+(?:[A-Z][a-z]{2,}+)*+|[A-Z]++|[0-9]++)(?![A-Za-z0-9])|[+/_.=-]"
 MIN_OPAQUE = 16
 
+# Running sums are taken in blocks, so that no step copies all that was made before it.
+BLOCK = 64
+# Texts are cut where spans may stand by blocks of 2 ** 12 code points.
+BLOCK_BITS = 12
+
+ITEM = "array<struct<gap:int,size:int,secret:string>>"
 SPAN = "array<struct<kind:string,start:int,end:int,secret:string>>"
-JUDGED = "array<struct<kind:string,start:int,end:int,secret:string,live:boolean>>"
-RESULTS = ("n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_owned", "n_live", "n_example")
+JUDGED = "array<struct<kind:string,start:int,end:int,secret:string,live:boolean,n_docs:bigint,n_owners:bigint>>"
+RESULTS = (
+    *("n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_owned", "n_live", "n_example"),
+    *("n_docs", "n_owners"),
+)
 
 
-def _spans(kind: str, text: Column, matches: Column, pattern: str, secrets: Column, keep) -> Column:
-    """Spans of ``matches``; a match starts where the pieces and matches before it end."""
-    pieces = F.split(text, pattern, -1)
-    lengths = F.zip_with(
-        F.slice(pieces, F.lit(1), F.size(matches)),
+def _items(text: Column, matches: Column, pattern: str, secrets: Column) -> Column:
+    """Per match the length of the piece before it, its own, and its secret."""
+    pieces = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches))
+    zipped = F.zip_with(
+        pieces,
         F.arrays_zip(matches.alias("m"), secrets.alias("s")),
         lambda piece, pair: F.struct(
             F.length(piece).alias("gap"), F.length(pair["m"]).alias("size"), pair["s"].alias("secret")
         ),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-    done = F.aggregate(
-        lengths,
-        start,
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["size"]).alias("at"),
-            F.when(
-                keep(x),
-                F.concat(
-                    acc["out"],
-                    F.array(
-                        F.struct(
-                            F.lit(kind).alias("kind"),
-                            (acc["at"] + x["gap"]).alias("start"),
-                            (acc["at"] + x["gap"] + x["size"]).alias("end"),
-                            x["secret"].alias("secret"),
-                        )
-                    ),
-                ),
-            )
-            .otherwise(acc["out"])
-            .alias("out"),
+    return F.when(F.size(matches) > 0, zipped).otherwise(F.array().cast(ITEM))
+
+
+def _before(df: DataFrame, name: str, values: dict[str, Column], merge) -> DataFrame:
+    """``df`` with a struct ``name``: for each array of integers, what ``merge`` makes of 0 and all entries before each.
+
+    Blocks are merged first, then the entries within each block, so the time is linear but for a :data:`BLOCK`-th.
+    """
+
+    def blocks(v: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int"))
+        cut = F.transform(numbers, lambda b: F.slice(v, b * BLOCK + 1, F.lit(BLOCK)))
+        return F.when(F.size(v) > 0, cut).otherwise(F.array().cast("array<array<int>>"))
+
+    def over(b: Column) -> Column:
+        totals = F.transform(b, lambda x: F.aggregate(x, F.lit(0), merge))
+        return F.aggregate(
+            totals, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(merge(F.element_at(acc, -1), x)))
+        )
+
+    def each(b: Column, o: Column) -> Column:
+        within = lambda x, first: F.transform(
+            x, lambda _, i: F.aggregate(F.slice(x, F.lit(1), i), first, merge)
+        )
+        return F.flatten(F.zip_with(b, F.slice(o, F.lit(1), F.size(b)), within))
+
+    struct = lambda make: F.struct(*[make(k).alias(k) for k in values])
+    # Lambdas look these up again and again, so each is computed once per row.
+    df = with_computed(df, "_values", struct(lambda k: values[k]))
+    df = with_computed(df, "_blocked", struct(lambda k: blocks(F.col(f"_values.{k}"))))
+    df = with_computed(df, "_over", struct(lambda k: over(F.col(f"_blocked.{k}"))))
+    df = with_computed(df, name, struct(lambda k: each(F.col(f"_blocked.{k}"), F.col(f"_over.{k}"))))
+    return df.drop("_values", "_blocked", "_over")
+
+
+def _spans(kind: str, keep) -> Column:
+    """Spans of a kind's matches; a match starts where the pieces and matches before it end."""
+    spans = F.zip_with(
+        f"_items.{kind}",
+        f"_ends.{kind}",
+        lambda x, at: F.struct(
+            F.lit(kind).alias("kind"),
+            (at + x["gap"]).alias("start"),
+            (at + x["gap"] + x["size"]).alias("end"),
+            x["secret"].alias("secret"),
         ),
     )
-    return F.when(F.size(matches) > 0, done["out"]).otherwise(F.array().cast(SPAN))
+    return F.filter(spans, keep)
 
 
 def _all(pattern: str, group: int = 0) -> Column:
@@ -105,7 +138,7 @@ def _all(pattern: str, group: int = 0) -> Column:
 
 
 def find(docs: DataFrame, runs: bool = False) -> DataFrame:
-    """``docs`` with ``_base`` (ordered spans of the three patterns) and ``_tokens`` (the other candidates).
+    """``docs`` with ``_base`` (ordered spans of the three patterns) and ``_tokens`` (tokens, within base spans too).
 
     ``runs``: candidates are whole :data:`RUN`, not the :data:`TOKEN` of three classes that the SQL states.
     """
@@ -123,19 +156,28 @@ def find(docs: DataFrame, runs: bool = False) -> DataFrame:
     )
     text = F.col("_text")
     m0, m1, m2, m3 = (F.col(f"_m{i}") for i in range(4))
-    spans = keyed.withColumns(
-        {
-            "_s0": _spans("assign", text, m0, ASSIGN, F.col("_g"), lambda x: F.length(x["secret"]) >= MIN_ASSIGN),
-            "_s1": _spans("access", text, m1, ACCESS, m1, lambda x: x["size"] >= MIN_ACCESS),
-            "_s2": _spans("hex", text, m2, HEX, m2, lambda x: x["size"] >= MIN_HEX),
-            "_s3": _spans("owned", text, m3, token, m3, opaque if runs else mixed),
-        }
-    ).withColumn("_base", _ordered(F.concat("_s0", "_s1", "_s2")))
-    # Tokens within a base span are that span's business.
-    apart = F.filter(
-        "_s3", lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    items = with_computed(
+        keyed,
+        "_items",
+        F.struct(
+            _items(text, m0, ASSIGN, F.col("_g")).alias("assign"),
+            _items(text, m1, ACCESS, m1).alias("access"),
+            _items(text, m2, HEX, m2).alias("hex"),
+            _items(text, m3, token, m3).alias("owned"),
+        ),
+    )
+    lengths = {k: F.transform(f"_items.{k}", lambda x: x["gap"] + x["size"]) for k in (*KINDS, "owned")}
+    size = lambda x: x["end"] - x["start"]
+    found = {
+        "assign": _spans("assign", lambda x: F.length(x["secret"]) >= MIN_ASSIGN),
+        "access": _spans("access", lambda x: size(x) >= MIN_ACCESS),
+        "hex": _spans("hex", lambda x: size(x) >= MIN_HEX),
+    }
+    return _before(items, "_ends", lengths, lambda a, x: a + x).select(
+        *docs.columns,
+        _ordered(F.concat(*found.values())).alias("_base"),
+        _spans("owned", opaque if runs else mixed).alias("_tokens"),
     )
-    return spans.withColumn("_tokens", F.when(F.size("_s3") > 0, apart).otherwise(F.array().cast(SPAN)))
 
 
 def _ordered(spans: Column) -> Column:
@@ -176,13 +218,23 @@ def _found(docs: DataFrame, owner: str, columns: list[str], runs: bool = False)
     )
 
 
-def _judged(rows: DataFrame, max_owners: int, by_docs: bool = False) -> DataFrame:
-    """``_row, _judged``: all spans and candidates of each row that has some, each with ``live``."""
-    candidates = (
-        rows.filter(F.size("_base") + F.size("_tokens") > 0)
-        .select("_row", "_owner", F.explode(F.concat("_base", "_tokens")).alias("s"))
-        .withColumn("_hash", F.sha2("s.secret", 256))
+def _candidates(rows: DataFrame) -> DataFrame:
+    """``_row, _owner, s`` of all spans and tokens; tokens that touch a base span are that span's business."""
+    spans = rows.filter(F.size("_base") + F.size("_tokens") > 0).select(
+        "_row", "_owner", F.explode(F.concat("_base", "_tokens")).alias("s")
     )
+    token, start, end = F.col("s.kind") == "owned", F.col("s.start"), F.col("s.end")
+    # A window holds the spans of one document; frames end at the row and its peers.
+    up, down = (Window.partitionBy("_row").orderBy(o) for o in (F.col("s.start"), F.col("s.start").desc()))
+    behind = F.max(F.when(~token, end)).over(up)
+    ahead = F.min(F.when(~token, start)).over(down)
+    touched = F.coalesce(behind > start, F.lit(False)) | F.coalesce(ahead < end, F.lit(False))
+    return spans.withColumn("_touched", touched).filter(~token | ~F.col("_touched")).drop("_touched")
+
+
+def _judged(rows: DataFrame, max_owners: int, by_docs: bool = False) -> DataFrame:
+    """``_row, _judged``: all spans and candidates of each row that has some, each with ``live`` and its counts."""
+    candidates = staged(_candidates(rows).withColumn("_hash", F.sha2("s.secret", 256)), "candidates")
     # A document names a secret once.
     verdicts = staged(
         ownership(candidates.select("_row", "_hash", "_owner").distinct(), max_owners, by_docs), "ownership"
@@ -191,7 +243,11 @@ def _judged(rows: DataFrame, max_owners: int, by_docs: bool = False) -> DataFram
     return (
         candidates.join(verdicts.hint("merge"), "_hash")
         .groupBy("_row")
-        .agg(F.collect_list(F.struct("s.kind", "s.start", "s.end", "s.secret", "live")).alias("_judged"))
+        .agg(
+            F.collect_list(
+                F.struct("s.kind", "s.start", "s.end", "s.secret", "live", "n_docs", "n_owners")
+            ).alias("_judged")
+        )
     )
 
 
@@ -200,13 +256,19 @@ def _pick(condition) -> Column:
     return F.coalesce(F.filter("_judged", condition), F.array().cast(JUDGED))
 
 
-def scan(docs: DataFrame, owner: str = "source", max_owners: int = MAX_OWNERS) -> DataFrame:
-    """Every row of ``docs`` without its text, with :data:`RESULTS`."""
+def scan(
+    docs: DataFrame, owner: str = "source", max_owners: int = MAX_OWNERS, by_docs: bool = False
+) -> DataFrame:
+    """Every row of ``docs`` without its text, with :data:`RESULTS`; ``by_docs`` as in :func:`ownership`.
+
+    ``n_docs`` and ``n_owners`` are the most documents and owners any secret or candidate of the row has, 0 without one.
+    """
     carried = others(docs, RESULTS, "text")
     rows = _found(docs, owner, carried)
     kind_count = lambda kind: F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long")
     number = lambda condition: F.size(_pick(condition)).cast("long")
-    return rows.join(_judged(rows, max_owners).hint("merge"), "_row", "left").select(
+    most = lambda count: F.coalesce(F.array_max(F.transform("_judged", lambda s: s[count])), F.lit(0))
+    return rows.join(_judged(rows, max_owners, by_docs).hint("merge"), "_row", "left").select(
         *unboxed(carried),
         *[kind_count(kind).alias(f"n_{kind}") for kind in KINDS],
         F.sha2(_joined(F.col("_base")).cast("binary"), 256).alias("base_sha256"),
@@ -214,9 +276,24 @@ def scan(docs: DataFrame, owner: str = "source", max_owners: int = MAX_OWNERS) -
         number(lambda s: (s["kind"] == "owned") & s["live"]).alias("n_owned"),
         number(lambda s: (s["kind"] != "owned") & s["live"]).alias("n_live"),
         number(lambda s: (s["kind"] != "owned") & ~s["live"]).alias("n_example"),
+        *[most(count).cast("long").alias(count) for count in ("n_docs", "n_owners")],
     )
 
 
+def _between(blocks: Column, a: Column, b: Column) -> Column:
+    """Code points ``a`` to ``b`` of a text cut into blocks of 2 ** :data:`BLOCK_BITS`, without a walk from its start."""
+    i, j = F.shiftright(a, BLOCK_BITS), F.shiftright(b, BLOCK_BITS)
+    mask = F.lit((1 << BLOCK_BITS) - 1)
+    block = lambda n: F.coalesce(F.get(blocks, n), F.lit(""))
+    head = a.bitwiseAND(mask) + 1
+    whole = F.concat(
+        F.substr(block(i), head),
+        F.array_join(F.slice(blocks, i + 2, j - i - 1), ""),
+        F.substr(block(j), F.lit(1), b.bitwiseAND(mask)),
+    )
+    return F.when(i == j, F.substr(block(i), head, b - a)).otherwise(whole)
+
+
 def redact(
     docs: DataFrame,
     owner: str = "source",
@@ -230,26 +307,24 @@ def redact(
     """
     rows = _found(docs, owner, docs.columns, runs=True)
     text = F.coalesce("_box.text", F.lit(""))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    done = F.aggregate(
-        _ordered(_pick(lambda s: s["live"])),
-        start,
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(
-                s["start"] >= acc["at"],
-                F.concat(acc["out"], F.substr(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark)),
-            )
-            .otherwise(acc["out"])
-            .alias("out"),
-        ),
-    )
     some = F.size("_base") + F.size("_tokens") > 0
-    judged = rows.filter(some).join(_judged(rows, max_owners, by_docs).hint("merge"), "_row", "left").withColumn(
-        "_done", done
+    judged = rows.filter(some).join(_judged(rows, max_owners, by_docs).hint("merge"), "_row", "left")
+    cut = with_computed(
+        judged, "_blocks", F.regexp_extract_all(text, F.lit(f"(?s).{{1,{1 << BLOCK_BITS}}}"), F.lit(0))
+    )
+    live = with_computed(cut, "_live", _ordered(_pick(lambda s: s["live"])))
+    ends = F.transform("_live", lambda s: s["end"])
+    reached = _before(live, "_reach", {"ends": ends}, lambda a, x: F.greatest(a, x))
+    blocks = F.col("_blocks")
+    pieces = F.zip_with(
+        "_live",
+        "_reach.ends",
+        lambda s, at: F.when(
+            s["start"] >= at, F.concat(_between(blocks, at, s["start"]), F.lit(mark))
+        ).otherwise(""),
     )
-    masked = F.when(F.col("_done.at") == 0, F.col("_box.text")).otherwise(
-        F.concat("_done.out", F.substr(text, F.col("_done.at") + 1))
+    masked = F.when(F.size("_live") == 0, F.col("_box.text")).otherwise(
+        F.concat(F.array_join(pieces, ""), _between(blocks, F.array_max(ends), F.length(text)))
     )
     columns = [masked.alias(c) if c.lower() == "text" else unboxed([c])[0] for c in docs.columns]
-    return rows.filter(~some).select(*unboxed(docs.columns)).union(judged.select(*columns))
+    return rows.filter(~some).select(*unboxed(docs.columns)).union(reached.select(*columns))

@@ -184,3 +184,92 @@ def test_url_lists_as_of(spark):
     assert url_lists.intervals(events).filter("kind = 'domain'").count() == 1
     assert url_lists.judge(captures, events.limit(0)).filter("verdict is not null").count() == 0
     assert url_lists.judge(captures.limit(0), events).count() == 0
+
+
+def test_index_decides_the_verdicts(spark, documents, monkeypatch):
+    parts = exact_dedup.deduplicate(documents, exact_dedup.DigestIndex(spark), parts=3)
+    one = exact_dedup.deduplicate(documents, exact_dedup.DigestIndex(spark))
+    key = lambda rows: sorted(map(str, rows))
+    columns = ["doc_id", "keep_id", "group_size", "text_sha256"]
+    assert key(parts.select(columns).collect()) == key(one.select(columns).collect())
+    assert parts.filter("kept").count() == one.filter("kept").count()
+    # What was not appended cannot be judged.
+    monkeypatch.setattr(exact_dedup.DigestIndex, "append", lambda self, entries: None)
+    assert exact_dedup.deduplicate(documents, exact_dedup.DigestIndex(spark)).count() == 0
+
+
+def test_parts_need_the_anti_join(spark):
+    docs = spark.createDataFrame([(i, f"text {i % 3}") for i in range(12)], "doc_id long, text string")
+    index = exact_dedup.DigestIndex(spark, buckets=4)
+    got = exact_dedup.deduplicate(docs, index, parts=2).collect()
+    # Each text stands in both parts, so the smaller ids meet it in the index.
+    assert index.read().count() == 3 and len(got) == 12
+    assert {r.doc_id for r in got if r.kept} == {9, 10, 11}
+    assert all(r.group_size == 4 and r.keep_id == 9 + r.doc_id % 3 for r in got)
+    name = index.name
+    index.close()
+    assert not spark.catalog.tableExists(name)
+
+
+def test_short_lines_count(spark):
+    rows = [(i, f"Read more\n\n  \nown line {i}", f"s{i}") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: (r.kept_text, r.n_removed) for r in line_dedup.remove_boilerplate(docs).collect()}
+    assert got == {i: (f"\n  \nown line {i}", 1) for i in range(8)}
+
+
+def test_many_lines(spark):
+    text = "\n".join(f"own {i}" if i % 2 else f"shared {i}" for i in range(60_000))
+    shared = "\n".join(f"shared {i}" for i in range(0, 60_000, 2))
+    rows = [(0, text, "s0"), *[(i, shared, f"s{i}") for i in range(1, 7)]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in line_dedup.remove_boilerplate(docs).collect()}
+    assert got[0].kept_text == "\n".join(f"own {i}" for i in range(1, 60_000, 2))
+    assert got[1].kept_text == "" and got[1].n_removed == 30_000
+
+
+def test_many_secrets_in_one_text(spark):
+    digests = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(60_000)]
+    text = "é " + " ".join(digests)
+    docs = spark.createDataFrame([(1, text, "a"), (1, text, "a"), (2, "clean", "a")], "doc_id long, text string, source string")
+    base = ",".join(f"hex:{2 + 65 * i}:{66 + 65 * i}" for i in range(len(digests)))
+    got = secret_scan.scan(docs).collect()
+    assert [r.n_hex for r in got if r.doc_id == 1] == [60_000] * 2
+    assert {r.spans for r in got if r.doc_id == 1} == {base}
+    assert {r.n_docs for r in got if r.doc_id == 1} == {2}
+    masked = [r.text for r in secret_scan.redact(docs).collect() if r.doc_id == 1]
+    assert masked == ["é " + " ".join(["[secret]"] * 60_000)] * 2
+
+
+def test_masks_across_blocks(spark):
+    size = 1 << secret_scan.BLOCK_BITS
+    key = "0123456789abcdef" * 4
+    rows = []
+    for i, at in enumerate((0, 1, size - 64, size - 63, size - 32, size - 1, size, 3 * size - 5, 5 * size + 7)):
+        rows.append((i, "é𝄞"[i % 2] * at + key + "-" * (i * 700), "a"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in secret_scan.redact(docs, by_docs=True, max_owners=9).collect()}
+    assert got == {i: t.replace(key, "[secret]") for i, t, _ in rows}
+
+
+def test_tokens_that_touch_base_spans(spark):
+    word = "Zx9aB3dE6gH" * 3
+    rows = [
+        (1, f"password={word}"),
+        (2, f"{word} password={word[:12]}"),
+        (3, f"{word}{'0123456789abcdef' * 2}"),
+        (4, f"token: {word} and {word}Q"),
+    ]
+    docs = spark.createDataFrame([(i, t, "a") for i, t in rows], "doc_id long, text string, source string")
+    got = {r.doc_id: r.spans.split(",") for r in secret_scan.scan(docs).collect()}
+    kinds = {i: [s.split(":")[0] for s in spans] for i, spans in got.items()}
+    assert kinds == {1: ["assign"], 2: ["owned", "assign"], 3: ["hex"], 4: ["assign", "owned"]}
+
+
+def test_documents_and_owners_in_the_scan(spark):
+    key = "Qw7" + "aB3dE6gH" * 4
+    rows = [(1, f"one {key}", "a"), (2, f"two {key}", "b"), (3, "nothing", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: (r.n_owned, r.n_docs, r.n_owners) for r in secret_scan.scan(docs, by_docs=True).collect()}
+    assert got == {1: (1, 2, 2), 2: (1, 2, 2), 3: (0, 0, 0)}
+    assert {r.n_owned for r in secret_scan.scan(docs).collect()} == {0}
