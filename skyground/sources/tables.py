@@ -11,6 +11,8 @@ from pyspark.sql.types import StructType
 from skyground.session import remove_folder, session_folder, shared_folder
 
 DAY = "extraction_date"
+# Enough for an even end of a stage, few enough for whole files.
+TASKS_PER_CORE = 2
 
 
 def _counted(df: DataFrame, compact: bool) -> tuple[DataFrame, Observation]:
@@ -64,6 +66,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return read_table(spark, path, df.schema)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt evenly over the cores, for costly work on each row.
+
+    A table in few files or row groups otherwise keeps that work to as few tasks, however many cores there are.
+    """
+    return df.repartition(TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
+
+
 @contextmanager
 def staged(df: DataFrame, name: str, *by: str) -> Iterator[DataFrame]:
     """``df`` computed once, written to the shared folder and read back; the folder goes at the end of the block.

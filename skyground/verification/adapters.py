@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skyground.sources.tables import spread
+
 # --- fixed values: adapter SQL -----------------------------------------------
 STATES = """
 SELECT event_id,
@@ -114,9 +116,11 @@ def duckdb_sql(sql: str) -> str:
     return sql.strip()
 
 
-def adapter(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """The adapter as a DataFrame over the parquet files of one scale factor."""
+def adapter(spark: SparkSession, sf_dir: str, sql: str, even: bool = False) -> DataFrame:
+    """The adapter as a DataFrame over the parquet files of one scale factor; ``even`` deals their rows over the cores."""
     for token, text in _SPARK.items():
         sql = sql.replace(token, text)
     used = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in _TABLES if f"{{{name}}}" in sql}
+    if even:
+        used = {name: spread(table) for name, table in used.items()}
     return spark.sql(sql, **used)

@@ -167,21 +167,21 @@ def nearby_documents(places: DataFrame, airports: DataFrame) -> DataFrame:
     return _documents(near, ["airport_iata_code"], "rank", item)
 
 
-def states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.adapter(spark, sf_dir, A.STATES)
+def states(spark: SparkSession, sf_dir: str, even: bool = False) -> DataFrame:
+    return A.adapter(spark, sf_dir, A.STATES, even)
 
 
 def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.adapter(spark, sf_dir, A.AIRPORTS)
 
 
-def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.adapter(spark, sf_dir, A.WEATHER)
+def weather(spark: SparkSession, sf_dir: str, even: bool = False) -> DataFrame:
+    return A.adapter(spark, sf_dir, A.WEATHER, even)
 
 
 def countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.adapter(spark, sf_dir, A.COUNTRIES)
 
 
-def places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.adapter(spark, sf_dir, A.PLACES)
+def places(spark: SparkSession, sf_dir: str, even: bool = False) -> DataFrame:
+    return A.adapter(spark, sf_dir, A.PLACES, even)

@@ -48,8 +48,9 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 # --- relations several queries build on --------------------------------------
-def _states_landing(spark: SparkSession, sf: str) -> DataFrame:
-    return L.states_landing(L.states(spark, sf))
+# Where tables are written anyway, ``even`` deals the rows over the cores before payloads are built and parsed.
+def _states_landing(spark: SparkSession, sf: str, even: bool = False) -> DataFrame:
+    return L.states_landing(L.states(spark, sf, even))
 
 
 def _flights(spark: SparkSession, sf: str) -> DataFrame:
@@ -60,12 +61,12 @@ def _airports(spark: SparkSession, sf: str, limit: int | None = None) -> DataFra
     return AP.select_airports(L.airports(spark, sf), limit)
 
 
-def _weather_landing(spark: SparkSession, sf: str) -> DataFrame:
-    return L.weather_landing(L.weather(spark, sf))
+def _weather_landing(spark: SparkSession, sf: str, even: bool = False) -> DataFrame:
+    return L.weather_landing(L.weather(spark, sf, even))
 
 
-def _weather(spark: SparkSession, sf: str, run_at: dt.datetime = RUN_AT) -> DataFrame:
-    return PW.weather_table(_airports(spark, sf), _weather_landing(spark, sf), utc_timestamp(run_at))
+def _weather(spark: SparkSession, sf: str, run_at: dt.datetime = RUN_AT, even: bool = False) -> DataFrame:
+    return PW.weather_table(_airports(spark, sf), _weather_landing(spark, sf, even), utc_timestamp(run_at))
 
 
 def _country_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -76,8 +77,8 @@ def _country_items(spark: SparkSession, sf: str) -> DataFrame:
     return PG.country_items(_country_pages(spark, sf))
 
 
-def _documents(spark: SparkSession, sf: str) -> DataFrame:
-    return L.country_documents(L.places(spark, sf))
+def _documents(spark: SparkSession, sf: str, even: bool = False) -> DataFrame:
+    return L.country_documents(L.places(spark, sf, even))
 
 
 def _judged_places(spark: SparkSession, sf: str, limit: int | None = None) -> DataFrame:
@@ -219,7 +220,7 @@ def q24_replace_day(spark: SparkSession, sf: str) -> DataFrame:
 def q25_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     # The same snapshots land twice, as when two schedules start the same day's run.
     folder = session_folder(spark, "q25")
-    landed = _states_landing(spark, sf).drop("event_id")
+    landed = _states_landing(spark, sf, even=True).drop("event_id")
     for _ in range(2):
         landed.write.mode("append").parquet(f"{folder}/landing")
         flights = flights_stream(landing_stream(spark, f"{folder}/landing"))
@@ -243,11 +244,11 @@ def q28_daily_run(spark: SparkSession, sf: str) -> DataFrame:
     return daily.run_daily(
         spark,
         session_folder(spark, "q28"),
-        states=_states_landing(spark, sf).drop("event_id"),
+        states=_states_landing(spark, sf, even=True).drop("event_id"),
         airports=_airports(spark, sf),
-        weather=_weather_landing(spark, sf),
+        weather=_weather_landing(spark, sf, even=True),
         country_pages=_country_pages(spark, sf),
-        place_documents=_documents(spark, sf),
+        place_documents=_documents(spark, sf, even=True),
         run_at=RUN_AT,
         compact_flights=True,
     )
@@ -257,7 +258,7 @@ def q29_day_tables(spark: SparkSession, sf: str) -> DataFrame:
     # Two runs append to the same day; a replaced day then holds one.
     folder = session_folder(spark, "q29")
     tables = {
-        "current_weather": _weather(spark, sf),
+        "current_weather": _weather(spark, sf, even=True),
         "geography_places": _places(spark, sf),
         "geography_countries": PG.countries_table(_country_items(spark, sf), utc_timestamp(RUN_AT)),
     }
@@ -351,10 +352,10 @@ def q38_empty_day(spark: SparkSession, sf: str) -> DataFrame:
 def q39_row_counts(spark: SparkSession, sf: str) -> DataFrame:
     folder = session_folder(spark, "q39")
     stamp = utc_timestamp(RUN_AT)
-    flights = PF.run_flights(_states_landing(spark, sf).drop("event_id"), f"{folder}/flights", compact=True)
-    weather = PW.run_weather(_airports(spark, sf), _weather_landing(spark, sf), stamp, f"{folder}/weather")
+    flights = PF.run_flights(_states_landing(spark, sf, even=True).drop("event_id"), f"{folder}/flights", compact=True)
+    weather = PW.run_weather(_airports(spark, sf), _weather_landing(spark, sf, even=True), stamp, f"{folder}/weather")
     places, countries = PG.run_geography(
-        _country_pages(spark, sf), _documents(spark, sf), stamp, f"{folder}/places", f"{folder}/countries"
+        _country_pages(spark, sf), _documents(spark, sf, even=True), stamp, f"{folder}/places", f"{folder}/countries"
     )
     counts = {"flights": flights.written, "weather": weather, "places": places, "countries": countries}
     return spark.createDataFrame(list(counts.items()), "dataset string, written long")
@@ -372,7 +373,7 @@ def q40_rejected_nearby(spark: SparkSession, sf: str) -> DataFrame:
 def q41_daily_rejects(spark: SparkSession, sf: str) -> DataFrame:
     out = session_folder(spark, "q41")
     # Every fiftieth snapshot is an error page.
-    landed = _states_landing(spark, sf).withColumn(
+    landed = _states_landing(spark, sf, even=True).withColumn(
         "payload", F.when(F.col("event_id") % 50 == 0, "<html>").otherwise(F.col("payload"))
     )
     daily.run_daily(
@@ -380,9 +381,9 @@ def q41_daily_rejects(spark: SparkSession, sf: str) -> DataFrame:
         out,
         states=landed.drop("event_id"),
         airports=_airports(spark, sf),
-        weather=_weather_landing(spark, sf),
+        weather=_weather_landing(spark, sf, even=True),
         country_pages=_country_pages(spark, sf),
-        place_documents=_documents(spark, sf),
+        place_documents=_documents(spark, sf, even=True),
         run_at=RUN_AT,
     )
 
@@ -444,7 +445,7 @@ def q45_rejected_place_list(spark: SparkSession, sf: str) -> DataFrame:
 def q46_stream_sinks(spark: SparkSession, sf: str) -> DataFrame:
     # Snapshots land twice, every fiftieth an error page; then another stream reads all of them again.
     folder = session_folder(spark, "q46")
-    landed = _states_landing(spark, sf).withColumn(
+    landed = _states_landing(spark, sf, even=True).withColumn(
         "payload", F.when(F.col("event_id") % 50 == 0, "<html>").otherwise(F.col("payload"))
     )
     for checkpoint in ("first", "first", "again"):
@@ -495,7 +496,7 @@ def q50_run_ledger(spark: SparkSession, sf: str) -> DataFrame:
     # A run that is repeated adds nothing; another run of the day stands beside it.
     folder = session_folder(spark, "q50")
     ledger = RunLedger(spark, f"{folder}/runs")
-    weather = written(_weather(spark, sf), "q50")
+    weather = written(_weather(spark, sf, even=True), "q50")
     for run_id in ("early", "early", "late"):
         write_audit_publish(weather, f"{folder}/weather", "weather", run_id, ledger)
     table = read_runs(spark, f"{folder}/weather", weather.schema)
@@ -512,9 +513,9 @@ def q51_audited_run(spark: SparkSession, sf: str) -> DataFrame:
             out,
             run_id="daily",
             airports=_airports(spark, sf),
-            weather=_weather_landing(spark, sf),
+            weather=_weather_landing(spark, sf, even=True),
             country_pages=_country_pages(spark, sf),
-            place_documents=_documents(spark, sf),
+            place_documents=_documents(spark, sf, even=True),
             run_at=RUN_AT,
         )
     }
@@ -553,12 +554,12 @@ def _stored(landing: DataFrame, name: str) -> DataFrame:
 
 
 def q53_variant_states(spark: SparkSession, sf: str) -> DataFrame:
-    landing = _stored(_states_landing(spark, sf), "q53")
+    landing = _stored(_states_landing(spark, sf, even=True), "q53")
     return comparable(FL.accepted_states(FL.parse_states(landing)))
 
 
 def q54_variant_weather(spark: SparkSession, sf: str) -> DataFrame:
-    landing = _stored(_weather_landing(spark, sf), "q54")
+    landing = _stored(_weather_landing(spark, sf, even=True), "q54")
     return comparable(WE.good_weather(WE.parse_weather(landing)))
 
 

@@ -124,3 +124,20 @@ def test_both_forms_of_a_landing_parse_alike(spark, tmp_path):
     stored = spark.read.parquet(f"{tmp_path}/weather")
     seen = lambda rows: sorted(map(str, parse_weather(rows).select("n", "outcome", "temperature", "humidity", "visibility").collect()))
     assert seen(stored) == seen(df)
+
+
+@pytest.mark.parametrize("key", ["q28_daily_run", "q41_daily_rejects", "q46_stream_sinks", "q54_variant_weather"])
+def test_written_tables_are_not_the_work_of_one_task(spark, monkeypatch, key):
+    """The given tables are single files with one row group each; payloads are built and parsed on all cores all the same."""
+    from skyground.verification import landing as L
+
+    tasks = {}
+
+    def counted(name):
+        plain = getattr(L, name)
+        monkeypatch.setattr(L, name, lambda *a, **k: tasks.setdefault(name, plain(*a, **k)))
+
+    for name in ("states_landing", "weather_landing"):
+        counted(name)
+    QUERIES[key](spark, SF_DIR)
+    assert tasks and all(df.rdd.getNumPartitions() >= 4 for df in tasks.values())
