@@ -65,7 +65,7 @@ class KeyIndex:
         if new:
             fresh = rows.filter(F.col("_metadata.file_name").isin(sorted({name for name, _ in new})))
             fresh = fresh.filter(F.struct("file", self._day()).isin([F.struct(F.lit(f), F.lit(d)) for f, d in new]))
-            append_by_day(fresh.select("file", self.key().alias("key"), DAY), self.path)
+            append_by_day(fresh.select("file", self.key().alias("key"), DAY), self.path, compact=True)
         return len(new)
 
     def keys(self, days: Column) -> DataFrame | None:
@@ -95,6 +95,6 @@ def append_new(rows: DataFrame, index: KeyIndex) -> int:
             fresh_rows = fresh.join(there, F.col("_key") == there["key"], "left_anti")
         else:
             fresh_rows = fresh
-        return append_by_day(fresh_rows.drop("_key"), index.table, fmt=index.fmt)
+        return append_by_day(fresh_rows.drop("_key"), index.table, fmt=index.fmt, compact=True)
     finally:
         fresh.unpersist()
