@@ -7,10 +7,12 @@
 3. Per n-gram, sets whose sizes and places allow the threshold are candidates: each pair in short
    lists. In a long list each set is a candidate of one hub; once those links are known, pairs of the list that
    are not yet in one class are candidates too, so no link between classes is lost and copies are not expanded.
-4. The candidates of a set are stored as a prefix tree in the global order: sorted, each with the length of
+4. Of each set a bitmap is known, the parity of its n-grams per place: bits in which two differ are n-grams that only one of
+   the sets has, at least one each. Pairs that have too many of them to reach the threshold go before any set moves.
+5. The candidates of a set that are left are stored as a prefix tree in the global order: sorted, each with the length of
    the prefix it shares with the one before. The set walks the tree; overlaps of shared prefixes are
    counted once, and a subtree ends where what remains of either set cannot reach the overlap needed.
-5. Classes are the connected components of the links.
+6. Classes are the connected components of the links.
 
 Defined cases: null text and texts without words have the empty set and are linked with nothing; texts of
 fewer than ``N`` words have their whole word sequence as their one n-gram; repeated rows have equal sets;
@@ -31,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyground.llm.chunks import slices
-from skyground.llm.common import boxed, shuffle_partitions, staged, unboxed
+from skyground.llm.common import boxed, freed, shuffle_partitions, staged, unboxed
 from skyground.llm.components import components
 
 N = 5
@@ -116,8 +118,23 @@ def needed(a, b, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
 
+def parities(grams: np.ndarray) -> bytes:
+    """Whether the n-grams at each place are odd in number; a bit or two for an n-gram, places by the lowest bits."""
+    width = max(64, 1 << (len(grams) - 1).bit_length())
+    return np.packbits(np.bincount((grams & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).tobytes()
+
+
+def most_shared(a: bytes, b: bytes, size_a: int, size_b: int) -> int:
+    """Upper bound of the overlap of two sets, by their sizes and :func:`parities`."""
+    x, y = sorted((np.frombuffer(bits, np.uint8) for bits in (a, b)), key=len)
+    while len(y) > len(x):
+        # The halves together are the parities of half as many places.
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return (size_a + size_b - int(np.bitwise_count(x ^ y).sum())) // 2
+
+
 def nodes(docs: DataFrame, n: int = N) -> DataFrame:
-    """``_row, doc_id, node, size`` of each row of ``docs`` (``_row, doc_id, text``); no node for the empty set."""
+    """``_row, doc_id, node, size, bits`` of each row of ``docs`` (``_row, doc_id, text``); no node for the empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,12 +146,13 @@ def nodes(docs: DataFrame, n: int = N) -> DataFrame:
                         batch.column(1).slice(at, len(texts)),
                         pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()),
                         pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([parities(s) if len(s) else None for s in sets], pa.binary()),
                     ],
-                    names=["_row", "doc_id", "node", "size"],
+                    names=["_row", "doc_id", "node", "size", "bits"],
                 )
 
     return docs.select("_row", F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "_row long, doc_id long, node long, size long"
+        run, "_row long, doc_id long, node long, size long, bits binary"
     )
 
 
@@ -388,6 +406,28 @@ def walk(probe: np.ndarray, members: list[np.ndarray], percent: int) -> list[int
     return links
 
 
+def _possible(pairs: DataFrame, named: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``u, v`` whose bitmaps leave room for the overlap needed."""
+    marks = named.filter("node is not null").select("node", "size", "bits").dropDuplicates(["node"])
+    mark = lambda end: marks.select(
+        F.col("node").alias(end), F.col("size").alias(f"{end}_size"), F.col("bits").alias(f"{end}_bits")
+    ).hint("merge")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes_and_bits = zip(*[c.to_pylist() for c in batch.columns[2:]], strict=True)
+            yield batch.select([0, 1]).filter(
+                pa.array([most_shared(a, b, m, n) >= needed(m, n, percent) for m, n, a, b in sizes_and_bits], pa.bool_())
+            )
+
+    return (
+        pairs.join(mark("u"), "u")
+        .join(mark("v"), "v")
+        .select("u", "v", "u_size", "v_size", "u_bits", "v_bits")
+        .mapInArrow(run, "u long, v long")
+    )
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``u, v`` that reach the threshold. The candidates of a set with many are dealt to several
     trees, each of which gets the set as well."""
@@ -454,6 +494,14 @@ def _sets(docs: DataFrame, named: DataFrame, wanted: DataFrame, common, n: int)
     return docs.join(one.hint("merge"), "_row").select("node", "text").mapInArrow(run, "node long, grams binary")
 
 
+def _links(docs: DataFrame, named: DataFrame, pairs: DataFrame, common, n: int, percent: int) -> DataFrame:
+    """The pairs ``u, v`` that reach the threshold, written; their sets go again."""
+    sets = staged(_sets(docs, named, _ends(pairs), common, n), "sets")
+    links = staged(_verified(pairs, sets, percent), "links")
+    freed(sets)
+    return links
+
+
 def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     """``_row, doc_id, n_shingles, component_id, _class`` for each row of ``docs`` (``_row, doc_id, text``).
 
@@ -481,9 +529,8 @@ def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
         .select(F.col("hub").alias("u"), F.col("node").alias("v"))
     )
     pairs = staged(_distinct(lists.filter("kind = 0").select("u", "v").union(stars)), "pairs")
-    links = staged(
-        _verified(pairs, staged(_sets(docs, named, _ends(pairs), common, n), "sets"), percent), "links"
-    )
+    likely = staged(_possible(pairs, named, percent), "likely")
+    links = _links(docs, named, likely, common, n, percent)
     # What the stars left open in long lists: pairs of sets in different classes.
     labels = staged(components(links), "labels")
     labelled = crowded.join(labels.hint("merge"), "node", "left").withColumn(
@@ -500,16 +547,16 @@ def classes(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
         & (room * (100 + percent) >= percent * (F.col("a.size") + F.col("b.size")))
     )
     rest = _distinct(rest.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")))
-    rest = staged(rest.join(pairs.hint("merge"), ["u", "v"], "left_anti"), "rest")
+    rest = rest.join(pairs.hint("merge"), ["u", "v"], "left_anti")
+    rest = staged(_possible(rest, named, percent), "rest")
     if not rest.isEmpty():
-        more = staged(
-            _verified(rest, staged(_sets(docs, named, _ends(rest), common, n), "more-sets"), percent), "more"
-        )
-        links = links.union(more)
+        links = links.union(_links(docs, named, rest, common, n, percent))
         labels = staged(components(links), "labels")
     joined = staged(
-        named.join(labels.hint("merge"), "node", "left").withColumn("label", F.coalesce("label", "node")), "joined"
+        named.drop("bits").join(labels.hint("merge"), "node", "left").withColumn("label", F.coalesce("label", "node")),
+        "joined",
     )
+    freed(named, lists, pairs, likely, left, rest)
     least = staged(joined.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least")), "least")
     return joined.join(least.hint("merge"), "label", "left").select(
         "_row",

@@ -97,6 +97,44 @@ def test_walk_agrees_with_intersection():
     assert sorted(ngram_join.walk(base, sets, 75)) == want and 0 < len(want) < 60
 
 
+def test_bitmaps_bound_the_overlap():
+    rng = np.random.default_rng(5)
+    draw = lambda n: np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+    apart = 0
+    for n in (1, 2, 63, 64, 65, 127, 129, 500, 513, 3000):
+        for own_a, own_b in ((0, 0), (0, n // 3), (n // 7, n // 7), (n, n), (n, 3 * n)):
+            both = draw(n)
+            a, b = (np.unique(np.concatenate([both, draw(k)])) for k in (own_a, own_b))
+            bound = ngram_join.most_shared(ngram_join.parities(a), ngram_join.parities(b), len(a), len(b))
+            assert len(np.intersect1d(a, b)) <= bound <= (len(a) + len(b)) // 2
+            apart += bound < ngram_join.needed(len(a), len(b), 75)
+        assert bound < ngram_join.needed(len(a), len(b), 75) or n < 63
+    assert apart > 10
+
+
+def test_sets_that_cannot_link_do_not_move(spark, monkeypatch):
+    """Texts that share a passage are candidates; their sets stay where they are, and those that moved are removed again."""
+    tables, stage = [], ngram_join.staged
+
+    def counted(df, name):
+        out = stage(df, name)
+        tables.append((name, out.count(), out._staged_at))
+        return out
+
+    monkeypatch.setattr(ngram_join, "staged", counted)
+    shared = sentence(98, 40)
+    rows = [(i, sentence(4000 + i, 60) + " " + shared) for i in range(8)]
+    rows += [(100 + i, sentence(4100, 100) + f" {i}") for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.Counter(tuple(r) for r in ngram_join.near_duplicates(docs).collect())
+    assert got == brute_classes(rows)
+    assert sum(n for name, n, _ in tables if name == "pairs") > 1
+    sets = [(n, at) for name, n, at in tables if "sets" in name]
+    assert [n for n, _ in sets] == [2]
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sets[0][1])
+    assert not files.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(files)
+
+
 def brute_repeats(rows, length):
     count = collections.Counter()
     for _, text in rows:
